@@ -84,7 +84,108 @@ gamma_accounts AS (
 }
 
 # Dependencies between fixture CTEs (a CTE must follow the ones it reads).
-FIXTURE_DEPS: dict[str, list[str]] = {}
+FIXTURE_DEPS: dict[str, list[str]] = {
+    "alpha_joined": ["alpha_orders", "alpha_codes"],
+    "alpha_derived": ["alpha_joined"],
+    "alpha_processed": ["alpha_derived"],
+    "beta_joined": ["beta_sales", "beta_shows"],
+    "beta_derived": ["beta_joined"],
+    "beta_processed": ["beta_derived"],
+    "gamma_joined": ["gamma_sales", "gamma_accounts"],
+    "gamma_derived": ["gamma_joined"],
+    "gamma_processed": ["gamma_derived"],
+    "client_processed": ["alpha_processed", "beta_processed", "gamma_processed"],
+}
+
+NUM = "TRY_CAST(regexp_replace(trim({x}), '[^0-9.\\-]', '', 'g') AS DOUBLE)"
+MONEY_SUM = "CAST(sum(CAST({x} AS decimal(18,2))) AS DOUBLE)"
+ALPHA_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%-m/%-d/%Y', '%d-%m-%Y', '%d/%m/%Y', '%Y/%m/%d', '%b %-d, %Y', '%B %-d, %Y']"
+BETA_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%-m/%-d/%Y', '%d-%m-%Y', '%d/%m/%Y']"
+GAMMA_FORMATS = "['%Y-%m-%d', '%d-%m-%Y', '%d/%m/%Y', '%m/%d/%Y']"
+
+
+def _multi_date(col: str, formats: str) -> str:
+    return f"CAST(COALESCE(try_strptime({col}, {formats}), TRY_CAST({col} AS TIMESTAMP)) AS DATE)"
+
+
+def _stamp(client: str) -> str:
+    return (f"'{client}' AS client_name, 'ObjectCreated' AS event_name, "
+            f"'{LOAD_IDS[client]}' AS load_id, DATE '{LOAD_EVENT_DATE}' AS event_date")
+
+
+FIXTURE_CTES.update({
+    "alpha_joined": """
+alpha_joined AS (
+  SELECT p.* FROM (
+    SELECT order_date AS order_date_raw, lower(trim(code)) AS code, subtotal_price AS subtotal_price_raw,
+           new_vs_repeat, subs_vs_non FROM alpha_orders) p
+  JOIN (SELECT lower(trim("Promo Code ")) AS code FROM alpha_codes) l ON p.code = l.code)""",
+    "alpha_derived": f"""
+alpha_derived AS (
+  SELECT *, {_multi_date("order_date_raw", ALPHA_FORMATS)} AS date,
+         {NUM.format(x="subtotal_price_raw")} AS subtotal_price, 'alpha' AS client_id, code AS discount_code
+  FROM alpha_joined)""",
+    "alpha_processed": f"""
+alpha_processed AS (
+  SELECT discount_code, count(code) AS orders, {MONEY_SUM.format(x="subtotal_price")} AS revenue,
+         date AS order_date, {_stamp("alpha")}
+  FROM alpha_derived WHERE date IS NOT NULL AND code IS NOT NULL AND subtotal_price IS NOT NULL
+  GROUP BY date, discount_code)""",
+    "beta_joined": """
+beta_joined AS (
+  SELECT p.*, l.discount_code, l.show_id, l.campaign_item FROM (
+    SELECT date AS date_raw, lower(trim("Show")) AS "show", "Promo Code" AS promo_code_raw, "Sales" AS revenue_raw,
+           "Orders" AS orders_raw, COALESCE("Sub Shipments", '0') AS sub_shipments_raw,
+           COALESCE("New", '0') AS new_raw, COALESCE("Lapsed", '0') AS lapsed_raw,
+           COALESCE("Active", '0') AS active_raw
+    FROM beta_sales) p
+  JOIN (SELECT lower(trim("OMAHA SHOWNAME")) AS "show", "CODE" AS discount_code, "ShowID" AS show_id,
+               "Campaign Item?" AS campaign_item FROM beta_shows) l ON p."show" = l."show")""",
+    "beta_derived": f"""
+beta_derived AS (
+  SELECT *, CASE WHEN "New" > 0 THEN split_order_value ELSE 0 END AS new_orders,
+         CASE WHEN "Lapsed" > 0 THEN split_order_value ELSE 0 END AS lapsed_orders,
+         CASE WHEN "Active" > 0 THEN split_order_value ELSE 0 END AS active_orders, 'beta' AS client_id
+  FROM (SELECT *, CASE WHEN active_segment_count > 0 THEN orders / active_segment_count ELSE 0 END AS split_order_value
+        FROM (SELECT *, (CASE WHEN COALESCE("New", 0) > 0 THEN 1 ELSE 0 END) + (CASE WHEN COALESCE("Lapsed", 0) > 0 THEN 1 ELSE 0 END)
+                        + (CASE WHEN COALESCE("Active", 0) > 0 THEN 1 ELSE 0 END) AS active_segment_count
+              FROM (SELECT *, {_multi_date("date_raw", BETA_FORMATS)} AS date, {NUM.format(x="revenue_raw")} AS revenue,
+                           {NUM.format(x="orders_raw")} AS orders, {NUM.format(x="sub_shipments_raw")} AS sub_shipments,
+                           {NUM.format(x="new_raw")} AS "New", {NUM.format(x="lapsed_raw")} AS "Lapsed",
+                           {NUM.format(x="active_raw")} AS "Active"
+                    FROM beta_joined) a) b) c)""",
+    "beta_processed": f"""
+beta_processed AS (
+  SELECT discount_code, CAST(trunc(sum(orders)) AS BIGINT) AS orders, {MONEY_SUM.format(x="revenue")} AS revenue,
+         date AS order_date, {_stamp("beta")}
+  FROM beta_derived
+  WHERE date IS NOT NULL AND "show" IS NOT NULL
+    AND ROUND(new_orders + lapsed_orders + active_orders, 6) = ROUND(orders, 6)
+  GROUP BY date, discount_code)""",
+    "gamma_joined": """
+gamma_joined AS (
+  SELECT p.*, l.account_ref, l.ref_name FROM (
+    SELECT trim(id) AS id, sale_date AS date_raw, value_eur AS revenue_raw, item_id, units AS orders_raw,
+           lower(code) AS discount_code FROM gamma_sales) p
+  JOIN (SELECT trim(id) AS id, account_ref, ref_name FROM gamma_accounts) l ON p.id = l.id)""",
+    "gamma_derived": f"""
+gamma_derived AS (
+  SELECT *, {_multi_date("date_raw", GAMMA_FORMATS)} AS date,
+         TRY_CAST(regexp_replace(regexp_replace(trim(revenue_raw), ',', '.', 'g'), '[^0-9.\\-]', '', 'g') AS DOUBLE) AS revenue,
+         {NUM.format(x="orders_raw")} AS orders, 'gamma' AS client_id
+  FROM gamma_joined)""",
+    "gamma_processed": f"""
+gamma_processed AS (
+  SELECT discount_code, CAST(trunc(sum(orders)) AS BIGINT) AS orders, {MONEY_SUM.format(x="revenue")} AS revenue,
+         date AS order_date, {_stamp("gamma")}
+  FROM gamma_derived
+  WHERE date IS NOT NULL AND id IS NOT NULL AND discount_code IS NOT NULL AND revenue IS NOT NULL
+    AND orders IS NOT NULL
+  GROUP BY date, discount_code)""",
+    "client_processed": """
+client_processed AS (
+  SELECT * FROM alpha_processed UNION ALL SELECT * FROM beta_processed UNION ALL SELECT * FROM gamma_processed)""",
+})
 
 
 def with_fixtures(*names: str) -> str:
