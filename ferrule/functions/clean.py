@@ -45,7 +45,7 @@ def trim_lower(col: Column | str, trim: bool = True, lower: bool = True) -> Colu
 def parse_multi_date(col: Column | str, formats: Sequence[str], formatless_fallback: bool = True) -> Column:
     """C4: first format that parses wins; optionally a format-less last try."""
     c = _c(col).cast("string")
-    attempts = [F.try_to_date(c, F.lit(f)) for f in formats]
+    attempts = [F.try_to_date(c, f) for f in formats]
     if formatless_fallback:
         attempts.append(F.try_to_date(c))
     return F.coalesce(*attempts) if len(attempts) > 1 else attempts[0]
@@ -112,7 +112,8 @@ def clean_number_tokens(col: Column | str, null_tokens: Iterable[str] = ()) -> C
         t = F.replace(t, F.lit(ch), F.lit(""))
     t = F.trim(t)
     valid = t.rlike(NUMERIC_TEXT_PATTERN)
-    return F.when(valid, t.try_cast("double")).otherwise(F.lit(None).cast("double"))
+    # "+ 0.0" folds a parsed "-0" into 0.0 so equal amounts compare and hash equal
+    return F.when(valid, t.try_cast("double") + F.lit(0.0)).otherwise(F.lit(None).cast("double"))
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:

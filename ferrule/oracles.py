@@ -209,3 +209,107 @@ def sql_lit(v: str) -> str:
 
 __all__ = ["FIXTURE_CTES", "with_fixtures", "sql_lit", "LOAD_IDS", "LOAD_EVENT_DATE", "LOAD_EVENT_NAME",
            "PARTNER_BATCH"]
+
+
+# --- partner feed -------------------------------------------------------------
+
+PARTNER_TOKENS = ("N/A", "n/a", "NULL", "null", "None", "none")
+PARTNER_BATCH_ID = "ADSCRIBE#2024-01-01#2024-01-31"
+NUMERIC_TEXT_PATTERN_SQL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def sql_clean_text(col: str, tokens=PARTNER_TOKENS) -> str:
+    toks = ", ".join(sql_lit(t) for t in sorted(set(tokens)))
+    return f"CASE WHEN trim({col}) IN ({toks}) OR trim({col}) = '' THEN NULL ELSE trim({col}) END"
+
+
+def sql_clean_number(col: str, tokens=PARTNER_TOKENS) -> str:
+    from ferrule.functions.clean import ordered_tokens
+    t = f"CAST({col} AS VARCHAR)"
+    for tok in ordered_tokens(tokens):
+        t = f"replace({t}, {sql_lit(tok)}, '')"
+    for ch in (",", "$", "%"):
+        t = f"replace({t}, '{ch}', '')"
+    t = f"trim({t})"
+    return f"CASE WHEN regexp_matches({t}, '{NUMERIC_TEXT_PATTERN_SQL}') THEN TRY_CAST({t} AS DOUBLE) + 0.0 END"
+
+
+PARTNER_DATE_FORMATS = "['%Y-%m-%d', '%m/%d/%Y']"
+
+FIXTURE_DEPS.update({
+    "partner_raw_rows": ["partner_raw_base"],
+    "partner_raw": ["partner_raw_rows"],
+    "partner_cleaned": ["partner_raw"],
+    "partner_flagged": ["partner_cleaned"],
+    "partner_processed": ["partner_flagged"],
+    "partner_quarantine": ["partner_flagged"],
+})
+
+FIXTURE_CTES.update({
+    "partner_raw_base": """
+partner_raw_base AS (
+  SELECT CAST(ts AS DATE) AS d, user_id AS u,
+         CAST(sum(CAST(CASE WHEN event_type = 'purchase' THEN value ELSE 0.0 END AS decimal(18,2))) AS DOUBLE) AS rev,
+         count(CASE WHEN event_type = 'purchase' THEN 1 END) AS ord,
+         count(CASE WHEN event_type = 'view' THEN 1 END) AS imp,
+         min(event_id) AS i
+  FROM events GROUP BY 1, 2)""",
+    "partner_raw_rows": """
+partner_raw_rows AS (
+  SELECT CASE WHEN i % 7 = 0 THEN NULL WHEN i % 7 = 1 THEN strftime(d, '%m/%d/%Y')
+              WHEN i % 53 = 2 THEN 'not a date' ELSE strftime(d, '%Y-%m-%d') END AS "Report Date",
+         strftime(d, '%Y-%m-%d') AS "Day",
+         CASE WHEN u % 3 = 0 THEN 'alpha' WHEN u % 3 = 1 THEN 'beta' ELSE 'gamma' END AS "Client",
+         CASE WHEN i % 47 = 7 THEN '  ' ELSE ' Show_' || CAST(u % 20 AS VARCHAR) || ' ' END AS "Show",
+         CASE WHEN i % 11 = 0 THEN 'NULL' ELSE 'CODE' || CAST(u % 7 AS VARCHAR) END AS "Promo Code",
+         'Campaign ' || CAST(u % 5 AS VARCHAR) AS "Campaign",
+         CASE WHEN i % 13 = 0 THEN '' ELSE CAST(u * 100 + 1 AS VARCHAR) END AS "Campaign Item ID",
+         CASE WHEN i % 41 = 5 THEN 'N/A' WHEN i % 43 = 6 THEN '-' || format('{:,.2f}', rev)
+              ELSE '$' || format('{:,.2f}', rev) END AS "Revenue",
+         CASE WHEN i % 37 = 4 THEN '-' ELSE CAST(ord AS VARCHAR) END AS "Orders",
+         CASE WHEN i % 31 = 3 THEN 'n/a' WHEN i % 29 = 2 THEN '12d' ELSE CAST(imp AS VARCHAR) || ' ' END AS "Impressions",
+         i
+  FROM partner_raw_base)""",
+    "partner_raw": """
+partner_raw AS (
+  SELECT * EXCLUDE (i) FROM partner_raw_rows
+  UNION ALL SELECT * EXCLUDE (i) FROM partner_raw_rows WHERE i % 10 = 0)""",
+    "partner_cleaned": f"""
+partner_cleaned AS (
+  SELECT DISTINCT *, revenue / NULLIF(orders, 0) AS revenue_per_order,
+         revenue / NULLIF(impressions, 0) AS revenue_per_impression,
+         impressions / NULLIF(orders, 0) AS impressions_per_order
+  FROM (SELECT 'adscribe' AS source_type, '{PARTNER_BATCH_ID}' AS batch_id, {sql_lit(PARTNER_BATCH["run_id"])} AS run_id,
+               {sql_lit(PARTNER_BATCH["source_key"])} AS source_key, {sql_lit(PARTNER_BATCH["processed_at"])} AS processed_at,
+               strftime(COALESCE(try_strptime("Report Date", {PARTNER_DATE_FORMATS}),
+                                 try_strptime("Day", {PARTNER_DATE_FORMATS})), '%Y-%m-%d') AS date,
+               {sql_clean_text('"Client"')} AS client_name,
+               {sql_clean_text('"Show"')} AS show_name,
+               {sql_clean_text('"Promo Code"')} AS discount_code,
+               COALESCE({sql_clean_text('"Campaign"')}, 'unknown_campaign') AS campaign_name,
+               {sql_clean_text('"Campaign Item ID"')} AS campaign_item_id,
+               {sql_clean_number('"Revenue"')} AS revenue,
+               {sql_clean_number('"Orders"')} AS orders,
+               COALESCE({sql_clean_number('"Impressions"')}, 0.0) AS impressions
+        FROM partner_raw) x)""",
+    "partner_flagged": f"""
+partner_flagged AS (
+  SELECT *, concat_ws(';',
+           CASE WHEN date IS NULL THEN 'missing_required:date' END,
+           CASE WHEN show_name IS NULL THEN 'missing_required:show_name' END,
+           CASE WHEN revenue < 0 THEN 'negative_value:revenue' END,
+           CASE WHEN orders < 0 THEN 'negative_value:orders' END,
+           CASE WHEN impressions < 0 THEN 'negative_value:impressions' END,
+           CASE WHEN date IS NOT NULL AND COALESCE(try_strptime(date, {PARTNER_DATE_FORMATS}),
+                                                   TRY_CAST(date AS TIMESTAMP)) IS NULL
+                THEN 'invalid_date:date' END) AS quarantine_reason
+  FROM partner_cleaned)""",
+    "partner_processed": """
+partner_processed AS (
+  SELECT CAST(date AS DATE) AS date, source_type, client_name, show_name, discount_code, campaign_name,
+         campaign_item_id, revenue, orders, impressions, revenue_per_order, revenue_per_impression,
+         impressions_per_order, batch_id, run_id, source_key, processed_at
+  FROM partner_flagged WHERE quarantine_reason = '')""",
+    "partner_quarantine": """
+partner_quarantine AS (SELECT * FROM partner_flagged WHERE quarantine_reason <> '')""",
+})

@@ -173,7 +173,7 @@ def partner_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .otherwise(F.concat(F.col("imp").cast("string"), F.lit(" "))))
     show = F.when(i % 47 == 7, F.lit("  ")).otherwise(F.concat(F.lit(" Show_"), (u % 20).cast("string"), F.lit(" ")))
     client = F.when(u % 3 == 0, "alpha").when(u % 3 == 1, "beta").otherwise("gamma")
-    return g.select(
+    rows = g.select(
         report_date.alias("Report Date"),
         F.date_format("d", "yyyy-MM-dd").alias("Day"),
         client.alias("Client"),
@@ -183,7 +183,11 @@ def partner_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 13 == 0, F.lit("")).otherwise((u * 100 + 1).cast("string")).alias("Campaign Item ID"),
         revenue.alias("Revenue"),
         orders.alias("Orders"),
-        impressions.alias("Impressions"))
+        impressions.alias("Impressions"),
+        F.col("first_id"))
+    # Every tenth row arrives twice (exact duplicates for the dedupe step).
+    twice = rows.where(F.col("first_id") % 10 == 0)
+    return rows.unionByName(twice).drop("first_id")
 
 
 # --- upload events (FIXTURES 2.4) ----------------------------------------------

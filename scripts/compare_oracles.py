@@ -28,9 +28,9 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return round(v, 6)
+        return "f" + repr(v)  # strict: the driver hashes exact values
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return "f" + repr(float(v))
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, dt.date):
