@@ -313,3 +313,61 @@ partner_processed AS (
     "partner_quarantine": """
 partner_quarantine AS (SELECT * FROM partner_flagged WHERE quarantine_reason <> '')""",
 })
+
+
+# --- upload events --------------------------------------------------------------
+
+def _upload_name_case() -> str:
+    from ferrule.sources.fixtures import UPLOAD_FILES
+    files = dict(UPLOAD_FILES)
+    files["delta"] = ["d_orders.csv", "d_codes.csv", "d_x.txt"]
+    whens = " ".join(f"WHEN client_raw = {sql_lit(c)} AND slot = {i} THEN {sql_lit(n)}"
+                     for c, names in files.items() for i, n in enumerate(names))
+    return f"CASE {whens} END"
+
+
+FIXTURE_DEPS.update({
+    "upload_records": ["upload_base"],
+    "upload_final": ["upload_records"],
+})
+
+FIXTURE_CTES.update({
+    "upload_base": """
+upload_base AS (
+  SELECT event_id, ts, 'm-' || CAST(event_id AS VARCHAR) AS message_id,
+         CASE WHEN user_id % 4 = 3 THEN 'delta' WHEN user_id % 3 = 0 THEN 'alpha'
+              WHEN user_id % 3 = 1 THEN 'beta' ELSE 'gamma' END AS client_raw,
+         CASE WHEN event_type = 'purchase' THEN 0 WHEN event_type = 'signup' THEN 1 ELSE 2 END AS slot,
+         CASE WHEN event_id % 101 = 0 THEN 'broken' WHEN event_id % 103 = 0 THEN 'empty'
+              WHEN event_id % 9 = 0 THEN 'wrapped' ELSE 'direct' END AS body_kind,
+         event_id % 19 = 0 AS misc_folder, event_id % 23 = 0 AS no_bucket, event_id % 17 = 0 AS encoded,
+         CAST(event_id % 50 AS VARCHAR) AS etag_v,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS event_time
+  FROM events)""",
+    "upload_records": f"""
+upload_records AS (
+  SELECT *, CASE WHEN misc_folder THEN 'misc/' ELSE 'raw/client_uploads/' END || client_raw || '/' || file_name AS object_key,
+         CASE WHEN misc_folder THEN 'misc/' ELSE 'raw/client_uploads/' END || client_raw || '/' ||
+           CASE WHEN encoded THEN replace(replace(orig, '_', '%5F'), 'creator', 'creator+') ELSE orig END AS key_raw
+  FROM (SELECT *, CASE WHEN encoded THEN replace(orig, 'creator', 'creator ') ELSE orig END AS file_name
+        FROM (SELECT *, {_upload_name_case()} AS orig FROM upload_base) a) b)""",
+    "upload_final": """
+upload_final AS (
+  SELECT *, COALESCE(pre_status, CASE WHEN row_number() OVER (PARTITION BY idempotency_key ORDER BY ts, message_id) = 1
+                                      THEN 'stored' ELSE 'duplicate_event' END) AS status
+  FROM (SELECT *, CASE WHEN pre_status IS NULL
+                       THEN client_name || '|' || object_key || '|' || event_date || '|' || etag END AS idempotency_key
+        FROM (SELECT message_id, ts, body_kind, event_time,
+                     CASE WHEN body_kind = 'direct' THEN 0 END AS rec_idx,
+                     CASE WHEN body_kind = 'broken' THEN 'parse_error'
+                          WHEN body_kind IN ('empty', 'wrapped') THEN 'ignored_no_nested_records'
+                          WHEN no_bucket OR misc_folder THEN 'ignored_invalid_s3_record'
+                          WHEN client_raw NOT IN ('alpha', 'beta', 'gamma') THEN 'ignored_unknown_client' END AS pre_status,
+                     CASE WHEN body_kind = 'direct' AND NOT misc_folder THEN client_raw END AS client_name,
+                     CASE WHEN body_kind = 'direct' THEN object_key END AS object_key,
+                     CASE WHEN body_kind = 'direct' THEN file_name END AS file_name,
+                     CASE WHEN body_kind = 'direct' AND NOT no_bucket THEN 'uploads-bucket' END AS bucket_name,
+                     CASE WHEN body_kind = 'direct' THEN strftime(ts, '%Y-%m-%d') END AS event_date,
+                     CASE WHEN body_kind = 'direct' THEN etag_v END AS etag
+              FROM upload_records) a) b)""",
+})
