@@ -250,3 +250,59 @@ def upload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(direct))
     return f.select(F.concat(F.lit("m-"), F.col("event_id").cast("string")).alias("message_id"),
                     body.alias("body"), F.col("ts").cast("timestamp").alias("received_at"))
+
+
+# --- refresh inputs (FIXTURES 2.5) ---------------------------------------------------
+
+def refresh_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Existing client fact: rows before 2001, plus undated rows that must survive."""
+    f = client_fact(spark, sf_dir)
+    base = f.where(F.col("order_date") < F.lit("2001-01-01").cast("date"))
+    undated = (f.where(F.col("order_date") < F.lit("1995-02-01").cast("date"))
+               .withColumns({"order_date": F.lit(None).cast("date"),
+                             "discount_code": F.concat(F.lit("undated-"), F.col("discount_code"))}))
+    return base.unionByName(undated)
+
+
+def refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new load for alpha and beta in June 2000 with every tenth day missing."""
+    f = client_fact(spark, sf_dir)
+    d = F.col("order_date")
+    return (f.where(F.col("client_name").isin("alpha", "beta") &
+                    d.between(F.lit("2000-06-01").cast("date"), F.lit("2000-06-30").cast("date")) &
+                    (F.dayofmonth(d) % 10 != 0))
+            .withColumn("revenue", F.col("revenue") * 2))
+
+
+# --- partner batch ledger ---------------------------------------------------------------
+
+def batch_status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status events of one partner batch per event day (append-only ledger)."""
+    from ferrule.operators.ledger import status_event, truncate_error
+    e = read_table(spark, sf_dir, "events", ["ts"])
+    days = e.groupBy(F.col("ts").cast("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    ds = F.date_format("d", "yyyy-MM-dd")
+    dom = F.dayofmonth("d")
+    key = F.concat(F.lit("ADSCRIBE#"), ds, F.lit("#"), ds)
+    at = lambda h: F.concat(ds, F.lit(f"T0{h}:00:00Z"))
+    none = F.lit(None).cast("string")
+    nrows = F.lit(None).cast("bigint")
+    evs = F.array(
+        status_event(key, F.lit(1), "RECEIVED", at(1), start_date=ds, end_date=ds,
+                     run_id=F.concat(F.lit("ads_"), F.date_format("d", "yyyyMMdd")), raw_key=none,
+                     processed_rows=nrows, error=none),
+        F.when(dom % 5 != 0, status_event(key, F.lit(2), "RAW_LANDED", at(2), start_date=none, end_date=none,
+                                          run_id=none, raw_key=F.concat(F.lit("raw/adscribe/"), ds, F.lit(".csv")),
+                                          processed_rows=nrows, error=none)),
+        F.when((dom % 5 != 0) & (dom % 7 != 0),
+               status_event(key, F.lit(3), "PROCESSED", at(3), start_date=none, end_date=none, run_id=none,
+                            raw_key=none, processed_rows=F.col("n"), error=none)),
+        F.when((dom % 5 != 0) & (dom % 7 != 0) & (dom % 3 != 0),
+               status_event(key, F.lit(4), "LOADED_TO_REDSHIFT", at(4), start_date=none, end_date=none,
+                            run_id=none, raw_key=none, processed_rows=nrows, error=none)),
+        F.when((dom % 5 != 0) & (dom % 7 != 0) & (dom % 3 == 0),
+               status_event(key, F.lit(4), "FAILED", at(4), start_date=none, end_date=none, run_id=none,
+                            raw_key=none, processed_rows=nrows,
+                            error=truncate_error(F.concat(F.lit("load failed for "), ds)))),
+    )
+    return days.select(F.explode(F.array_compact(evs)).alias("ev")).select("ev.*")
