@@ -43,16 +43,21 @@ def derived_columns(df: DataFrame, derived: Sequence[tuple[str, str]]) -> DataFr
     return out
 
 
-def schema_drift(spark: SparkSession, existing: Sequence[str], expected: Sequence[str],
-                 client_name: str | None = None) -> DataFrame:
-    """P10: one row with sorted extra and missing column lists (arrays)."""
+def schema_drift_columns(existing: Sequence[str], expected: Sequence[str]) -> dict[str, Column]:
+    """P10 as columns: sorted extra and missing column lists plus both inputs."""
     ex = F.array(*[F.lit(c) for c in existing]) if existing else F.array().cast("array<string>")
     exp = F.array(*[F.lit(c) for c in expected]) if expected else F.array().cast("array<string>")
-    return spark.range(1).select(
-        F.lit(client_name).cast("string").alias("client_name"),
-        F.array_sort(F.array_except(ex, exp)).alias("extra_columns"),
-        F.array_sort(F.array_except(exp, ex)).alias("missing_columns"),
-        ex.alias("existing_columns"), exp.alias("expected_columns"))
+    return {"extra_columns": F.array_sort(F.array_except(ex, exp)),
+            "missing_columns": F.array_sort(F.array_except(exp, ex)),
+            "existing_columns": ex, "expected_columns": exp}
+
+
+def schema_drift(spark: SparkSession, existing: Sequence[str], expected: Sequence[str],
+                 client_name: str | None = None) -> DataFrame:
+    """P10: one-row drift report (arrays of column names)."""
+    cols = schema_drift_columns(existing, expected)
+    return spark.range(1).select(F.lit(client_name).cast("string").alias("client_name"),
+                                 *[c.alias(n) for n, c in cols.items()])
 
 
 def enforce_final_schema(df: DataFrame, client_name: str, load_id: str, event_date: str,

@@ -28,6 +28,7 @@ _MODULES = (
     "ferrule.plans.refresh_queries",
     "ferrule.plans.ingest_queries",
     "ferrule.plans.sink_queries",
+    "ferrule.plans.stream_queries",
 )
 
 

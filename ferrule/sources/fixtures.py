@@ -201,9 +201,11 @@ UPLOAD_FILES = {
 }
 
 
-def upload_event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat upload-notification fields per ``events`` row (before JSON)."""
-    e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+def upload_event_fields(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Flat upload-notification fields per ``events`` row (before JSON).
+    ``events`` may be a streaming DataFrame over the same table."""
+    e = events if events is not None else read_table(spark, sf_dir, "events",
+                                                     ["event_id", "ts", "user_id", "event_type"])
     client = (F.when(F.col("user_id") % 4 == 3, "delta")
               .when(F.col("user_id") % 3 == 0, "alpha")
               .when(F.col("user_id") % 3 == 1, "beta").otherwise("gamma"))
@@ -227,14 +229,14 @@ def upload_event_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"))
 
 
-def upload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def upload_messages(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Queue messages (``message_id``, ``body``) carrying storage notifications.
 
     Most bodies are direct ``{"Records": [...]}``; every ninth is wrapped in a
     notification ``Message``; every 101st is invalid JSON and every 103rd has
     an empty ``Records`` list.
     """
-    f = upload_event_fields(spark, sf_dir)
+    f = upload_event_fields(spark, sf_dir, events)
     obj = F.when(F.col("upper_etag_field"),
                  F.to_json(F.struct(F.col("key_raw").alias("key"), F.col("etag").alias("eTag"))))\
            .otherwise(F.to_json(F.struct(F.col("key_raw").alias("key"), F.col("etag").alias("etag"))))
