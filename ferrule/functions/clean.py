@@ -217,7 +217,7 @@ def glob_to_regex(pattern: str) -> str:
                 body = pattern[i + 1:j]
                 if body.startswith("!"):
                     body = "^" + body[1:]
-                out.append("[" + body.replace("\\", "\\\\") + "]")
+                out.append("[" + body.replace("\\", "\\\\").replace("[", "\\[") + "]")
                 i = j
         else:
             out.append("\\Q" + ch + "\\E" if not ch.isalnum() else ch)
