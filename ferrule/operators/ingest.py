@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.clean import client_from_path, event_date_from_ts, execution_lock_key, idempotency_key
 from ferrule.operators.lookup import file_type_column, required_specs_table
+from ferrule.operators.rules import fenced_where
 
 # ``object`` is a map so ``eTag`` and ``etag`` stay distinct keys (struct field
 # resolution is case-insensitive).
@@ -108,7 +109,7 @@ def event_status(messages: DataFrame, known_clients: list[str], ledger_keys: Dat
     """
     rows = event_rows(messages, known_clients, unwrap, today)
     order = list(arrival) + ["rec_idx"]
-    candidates = rows.where(F.col("pre_status").isNull())
+    candidates = fenced_where(rows, F.col("pre_status").isNull())
     if ledger_keys is not None:
         seen = ledger_keys.select(F.col("key").alias("idempotency_key")).distinct()
         candidates = candidates.join(seen, "idempotency_key", "left_anti")
@@ -121,7 +122,7 @@ def event_status(messages: DataFrame, known_clients: list[str], ledger_keys: Dat
 
 def received_items(status_rows: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Ledger items (status RECEIVED) for the stored rows."""
-    return status_rows.where(F.col("status") == STORED).select(
+    return fenced_where(status_rows, F.col("status") == STORED).select(
         F.col("idempotency_key").alias("key"), "file_name", F.col("event_timestamp").alias("timestamp"), "etag",
         "client_name", "object_key", "bucket_name", "bucket_arn", "event_date", F.lit(RECEIVED).alias("status"),
         (created_at if created_at is not None else F.current_timestamp().cast("string")).alias("created_at"))
@@ -146,7 +147,7 @@ def latest_per_type(objects: DataFrame, specs: dict, ts_col: str = "last_modifie
     """The latest object per (client, file type); on equal timestamps the
     first in listing (key) order wins."""
     typed = objects.withColumn("file_type", file_type_column(specs, name_col, client_col, True))
-    typed = typed.where(F.col("file_type").isNotNull())
+    typed = fenced_where(typed, F.col("file_type").isNotNull())
     rank = F.struct((-F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("t"), F.col(key_col).alias("k"))
     payload = [c for c in objects.columns if c != client_col]
     agg = typed.groupBy(client_col, "file_type").agg(F.min_by(F.struct(*payload), rank).alias("__o"))
@@ -168,8 +169,8 @@ def readiness_gate(items: DataFrame, specs: dict, exclusive: bool = True) -> Dat
     else:
         typed = received.withColumn("file_type", F.explode(file_type_column(specs, "file_name", "client_name",
                                                                             False)))
-    satisfied = typed.where(F.col("file_type").isNotNull()).select("client_name", "event_date",
-                                                                   "file_type").distinct()
+    satisfied = fenced_where(typed, F.col("file_type").isNotNull()).select("client_name", "event_date",
+                                                                           "file_type").distinct()
     groups = received.select("client_name", "event_date").distinct()
     req = F.broadcast(required_specs_table(spark, specs).select("client_name", "file_type"))
     expected = groups.join(req, "client_name")

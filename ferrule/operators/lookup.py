@@ -116,6 +116,7 @@ def match_file_type(files: DataFrame, specs: dict[str, list], name_col: str = "f
     """Files with the spec type they satisfy; unmatched files dropped.
     Non-exclusive matching yields one row per satisfied type."""
     if exclusive:
-        return (files.withColumn("file_type", file_type_column(specs, name_col, client_col, True))
-                .where(F.col("file_type").isNotNull()))
+        from ferrule.operators.rules import fenced_where
+        typed = files.withColumn("file_type", file_type_column(specs, name_col, client_col, True))
+        return fenced_where(typed, F.col("file_type").isNotNull())
     return files.withColumn("file_type", F.explode(file_type_column(specs, name_col, client_col, False)))

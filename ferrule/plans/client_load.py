@@ -19,7 +19,8 @@ from ferrule.operators.aggregate import aggregate
 from ferrule.operators.conform import (derived_columns, enforce_final_schema, map_output_columns,
                                        normalize_headers, safe_rename, schema_drift)
 from ferrule.operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, lookup_join, normalize_columns, unmatched_rows
-from ferrule.operators.rules import declared_rules, failed_filter_reason, passes, post_processing, reason_array
+from ferrule.operators.rules import (declared_rules, failed_filter_reason, fenced_where, passes, post_processing,
+                                     reason_array)
 from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA
 from ferrule.spec import ClientSpec
 
@@ -107,12 +108,12 @@ def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, l
         joined = mapped.withColumn("__rule_reason", F.element_at(rules_hit, 1))
         reason = F.coalesce(reason, F.col("__rule_reason"))
     flagged = joined.withColumn("quarantine_reason", reason)
-    passed = flagged.where(F.col("quarantine_reason").isNull()).drop("quarantine_reason", "__rule_reason")
+    passed = fenced_where(flagged, F.col("quarantine_reason").isNull()).drop("quarantine_reason", "__rule_reason")
     passed = map_output_columns(passed, spec.post_join_columns)
 
     primary_cols = primary.columns
-    rejected_filter = flagged.where(F.col("quarantine_reason").isNotNull()).select(*primary_cols,
-                                                                                   "quarantine_reason")
+    rejected_filter = fenced_where(flagged, F.col("quarantine_reason").isNotNull()).select(
+        *primary_cols, "quarantine_reason")
     quarantine = rejected_filter
     if spec.join.quarantine_on_unmatched:
         unmatched = unmatched_rows(primary, lookup, key, spec.join.quarantine_reason, broadcast_max_rows)

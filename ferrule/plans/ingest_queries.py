@@ -31,8 +31,24 @@ def statuses(spark, sf, unwrap=False):
     return I.event_status(fx.upload_messages(spark, sf), known_clients(), unwrap=unwrap)
 
 
+_LEDGERS: dict[tuple[str, str], str] = {}
+
+
 def stored_items(spark, sf):
-    return I.received_items(statuses(spark, sf), created_at=F.lit("2024-02-01T00:00:00+00:00"))
+    """The RECEIVED item ledger of the upload events, written once per
+    session to a table in the shared checkpoint folder and read back — the
+    gate, lock and payload steps read the ledger table, as in production,
+    instead of re-parsing every message in each branch of their plans."""
+    from ferrule.session import scratch_path
+    from ferrule.streaming.ingest_stream import ITEM_LEDGER_DDL
+    key = (spark.sparkContext.applicationId, sf)
+    path = _LEDGERS.get(key)
+    if path is None:
+        path = scratch_path(spark, "item-ledger")
+        items = I.received_items(statuses(spark, sf), created_at=F.lit("2024-02-01T00:00:00+00:00"))
+        items.write.mode("overwrite").parquet(path)
+        _LEDGERS[key] = path
+    return spark.read.schema(ITEM_LEDGER_DDL).parquet(path)
 
 
 def lock_ledger(spark, sf):
@@ -142,7 +158,7 @@ SELECT client_name, file_name, ft AS file_type FROM (
   SELECT client_name, file_name, {sql_file_type("file_name", "client_name")} AS ft
   FROM upload_final WHERE status = 'stored') x WHERE ft IS NOT NULL""", ids=("J7", "D6", "K12"))
 def match_file_type_q(spark, sf):
-    s = statuses(spark, sf).where(F.col("status") == I.STORED).select("client_name", "file_name")
+    s = stored_items(spark, sf).select("client_name", "file_name")
     return match_file_type(s, required())
 
 
