@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.clean import glob_to_regex, trim_lower
 
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# A lookup of at most this many rows is broadcast (a few hundred MB for the
+# narrow lookup files the specs describe); larger ones join by shuffle.
+DEFAULT_BROADCAST_MAX_ROWS = 500_000
+MATCH = "__matched"
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -38,6 +41,16 @@ def normalize_columns(df: DataFrame, trim_cols: Sequence[str], lower_cols: Seque
     return df.withColumns(cols) if cols else df
 
 
+def first_row_per_key(df: DataFrame, key: str) -> DataFrame:
+    """One row per key, deterministically the smallest by value (not
+    ``dropDuplicates``, which keeps an arbitrary row)."""
+    rest = [c for c in df.columns if c != key]
+    if not rest:
+        return df.select(key).distinct()
+    picked = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("__row"))
+    return picked.select(key, *[F.col("__row")[c].alias(c) for c in rest])
+
+
 def lookup_join(primary: DataFrame, lookup: DataFrame, key: str, how: str = "left",
                 require_match: bool = False, dedupe_lookup: bool = False,
                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -46,13 +59,25 @@ def lookup_join(primary: DataFrame, lookup: DataFrame, key: str, how: str = "lef
     ``require_match`` is the left-join-plus-not-null form, written as an
     inner join.  Duplicate lookup keys fan out (K1) unless ``dedupe_lookup``.
     """
-    right = lookup.dropDuplicates([key]) if dedupe_lookup else lookup
+    right = first_row_per_key(lookup, key) if dedupe_lookup else lookup
     if broadcast_max_rows:
         right = broadcast_if_small(right, broadcast_max_rows)
     join_type = "inner" if (require_match or how == "inner") else "left"
     return primary.join(right, on=key, how=join_type)
 
 
+def lookup_join_marked(primary: DataFrame, lookup: DataFrame, key: str, dedupe_lookup: bool = False,
+                       broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Left join carrying a ``__matched`` flag: matched rows (fanned out like
+    an inner join) and unmatched rows come out of one pass over the primary,
+    so the quarantine of unmatched rows needs no second scan."""
+    right = first_row_per_key(lookup, key) if dedupe_lookup else lookup
+    right = right.withColumn(MATCH, F.lit(True))
+    if broadcast_max_rows:
+        right = broadcast_if_small(right, broadcast_max_rows)
+    return primary.join(right, on=key, how="left").withColumn(MATCH, F.coalesce(F.col(MATCH), F.lit(False)))
+
+
 def unmatched_rows(primary: DataFrame, lookup: DataFrame, key: str, reason: str | None = None,
                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Primary rows with no lookup match (null keys included)."""

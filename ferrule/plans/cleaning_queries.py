@@ -72,7 +72,7 @@ SELECT CAST(discount_code AS VARCHAR) AS group_key,
        COALESCE(CAST(sum(CAST(revenue AS decimal(18,2))) AS double), 0.0) AS revenue,
        COALESCE(sum(orders), 0.0) AS orders
 FROM partner_processed WHERE date >= DATE '2024-01-01' AND date <= DATE '2024-01-31'
-GROUP BY 1""", ids=("A7",))
+GROUP BY 1""", ids=("A7", "K11"))
 def breakdown_null_key(spark, sf):
     return M.breakdown(partner_load(spark, sf), "adscribe", "discount_code", null_label=None,
                        start_date="2024-01-01", end_date="2024-01-31")
@@ -201,7 +201,7 @@ def fill_nulls(spark, sf):
 @register("parse_multi_date", with_fixtures("alpha_orders") + f"""
 SELECT order_date AS raw_date,
        CAST(COALESCE(try_strptime(order_date, {ALPHA_FORMATS_SQL}), TRY_CAST(order_date AS TIMESTAMP)) AS DATE) AS date
-FROM alpha_orders""", ids=("C4", "K18"))
+FROM alpha_orders""", ids=("C4", "K17", "K18"))
 def parse_multi_date(spark, sf):
     a = fx.alpha_orders(spark, sf)
     return a.select(F.col("order_date").alias("raw_date"),
@@ -251,7 +251,7 @@ def segment_split(spark, sf):
                                       "lapsed_orders", "active_orders")
 
 
-@register("common_cleaning", with_fixtures("alpha_processed") + "SELECT * FROM alpha_processed", ids=("C13",))
+@register("common_cleaning", with_fixtures("alpha_processed") + "SELECT * FROM alpha_processed", ids=("C13", "K16"))
 def common_cleaning(spark, sf):
     """Opt-in declared cleaning blocks; on this input they agree with the spec
     expressions, so the processed rows equal the plain load."""
@@ -314,7 +314,7 @@ def post_processing_q(spark, sf):
 SELECT discount_code, orders, revenue, order_date, client_name,
        'load-audit-0001' AS load_id, COALESCE(discount_code, 'ObjectCreated') AS event_name,
        TIMESTAMP '2024-01-31 00:00:00' AS created_at
-FROM client_fact""", ids=("P8", "W6"))
+FROM client_fact""", ids=("P8", "W6", "K13"))
 def audit_columns_q(spark, sf):
     f = fx.client_fact(spark, sf).withColumn("event_name", F.col("discount_code"))
     return audit_columns(f, {"load_id": "load-audit-0001", "event_name": "ObjectCreated",

@@ -18,7 +18,7 @@ from ferrule.functions.clean import clean_number, parse_multi_date
 from ferrule.operators.aggregate import aggregate
 from ferrule.operators.conform import (derived_columns, enforce_final_schema, map_output_columns,
                                        normalize_headers, safe_rename, schema_drift)
-from ferrule.operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, lookup_join, normalize_columns, unmatched_rows
+from ferrule.operators.lookup import MATCH, DEFAULT_BROADCAST_MAX_ROWS, lookup_join_marked, normalize_columns
 from ferrule.operators.rules import (declared_rules, failed_filter_reason, fenced_where, passes, post_processing,
                                      reason_array)
 from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA
@@ -92,9 +92,11 @@ def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, l
         primary = common_cleaning(primary, spec.common_cleaning)
 
     key = spec.join.key
-    joined = lookup_join(primary, lookup, key, how=spec.join.how,
-                         require_match=spec.join.quarantine_on_unmatched, dedupe_lookup=dedupe_lookup,
-                         broadcast_max_rows=broadcast_max_rows)
+    marked = lookup_join_marked(primary, lookup, key, dedupe_lookup=dedupe_lookup,
+                                broadcast_max_rows=broadcast_max_rows)
+    keep_unmatched = spec.join.how != "inner" and not spec.join.quarantine_on_unmatched
+    joined = marked if keep_unmatched else marked.where(F.col(MATCH))
+    joined = joined.drop(MATCH)
     fills = {k: v for k, v in spec.fill_nulls.items() if k in joined.columns}
     if fills:
         joined = joined.fillna(fills)
@@ -116,8 +118,9 @@ def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, l
         *primary_cols, "quarantine_reason")
     quarantine = rejected_filter
     if spec.join.quarantine_on_unmatched:
-        unmatched = unmatched_rows(primary, lookup, key, spec.join.quarantine_reason, broadcast_max_rows)
-        quarantine = unmatched.select(*primary_cols, "quarantine_reason").unionByName(rejected_filter)
+        unmatched = marked.where(~F.col(MATCH)).select(*primary_cols).withColumn(
+            "quarantine_reason", F.lit(spec.join.quarantine_reason))
+        quarantine = unmatched.unionByName(rejected_filter)
     quarantine = quarantine.withColumns({"client_name": F.lit(ctx.client_name), "load_id": F.lit(ctx.load_id)})
 
     agg = spec.aggregation

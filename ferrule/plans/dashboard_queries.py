@@ -66,7 +66,7 @@ def breakdown_discount_code(spark, sf):
 @register("breakdown_show", PF + f"""
 SELECT COALESCE(CAST(show_name AS VARCHAR), 'UNKNOWN') AS key, {MONEY} AS revenue,
        COALESCE(sum(orders), 0.0) AS orders, COALESCE(sum(impressions), 0.0) AS impressions
-FROM partner_fact WHERE {WINDOW_SQL} GROUP BY 1""", ids=("A5",))
+FROM partner_fact WHERE {WINDOW_SQL} GROUP BY 1""", ids=("A5", "K9"))
 def breakdown_show(spark, sf):
     return M.breakdown(fx.partner_fact(spark, sf), "ascribe", "show", **WINDOW)
 
@@ -105,7 +105,7 @@ SELECT order_date AS date, client_name AS client, discount_code, COALESCE(revenu
        COALESCE(orders, 0) AS orders
 FROM client_fact
 ORDER BY order_date DESC NULLS FIRST, client_name ASC NULLS LAST, discount_code ASC NULLS LAST
-LIMIT 50""", ids=("L4",))
+LIMIT 50""", ids=("L4", "K11", "K21"))
 def details_client_legacy(spark, sf):
     return M.details(fx.client_fact(spark, sf), "client_upload", sort_by="order_date", sort_order="desc",
                      limit=50, offset=0, client_label="client")
@@ -128,7 +128,7 @@ def details_partner(spark, sf):
 @register("dashboard_filter", PF + """
 SELECT * FROM partner_fact
 WHERE date >= DATE '2024-01-05' AND date <= DATE '2024-01-20' AND client_name = 'beta'
-  AND discount_code = 'code1'""", ids=("F5",))
+  AND discount_code = 'code1'""", ids=("F5", "K22"))
 def dashboard_filter(spark, sf):
     return M.dashboard_filter(fx.partner_fact(spark, sf), "adscribe", start_date="2024-01-05",
                               end_date="2024-01-20", client_name=" beta ", discount_code="code1")

@@ -99,7 +99,7 @@ SELECT p.*, 'code_not_found_in_codes_file' AS quarantine_reason, 'alpha' AS clie
 FROM (SELECT order_date AS order_date_raw, lower(trim(code)) AS code, subtotal_price AS subtotal_price_raw,
              new_vs_repeat, subs_vs_non FROM alpha_orders) p
 WHERE NOT EXISTS (SELECT 1 FROM alpha_codes l WHERE lower(trim(l."Promo Code ")) = p.code)""",
-          ids=("Q2", "J3"))
+          ids=("Q2", "J3", "K2"))
 def quarantine_unmatched(spark, sf):
     q = load(spark, sf, "alpha").quarantine
     return q.where(F.col("quarantine_reason") == "code_not_found_in_codes_file")

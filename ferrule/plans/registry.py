@@ -29,6 +29,7 @@ _MODULES = (
     "ferrule.plans.ingest_queries",
     "ferrule.plans.sink_queries",
     "ferrule.plans.stream_queries",
+    "ferrule.plans.table_queries",
 )
 
 

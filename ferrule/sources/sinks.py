@@ -2,8 +2,10 @@
 
 All paths are caller-supplied; tests and registered queries write under the
 session's shared checkpoint folder (``ferrule.session.scratch_path``).
-Partitioned writes repartition by their partition columns first so each
-task writes few, large files instead of one small file per (task, day).
+Partitioned writes use the ``rebalance`` hint on their partition columns:
+rows of one partition value meet in few tasks (few, large files instead of
+one small file per task and day), and AQE splits a skewed value — a day or a
+load holding a third of all rows — across several writers.
 """
 
 from __future__ import annotations
@@ -61,7 +63,7 @@ def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "order_d
     """Drop undated rows, partition by (extras..., year, month, day)."""
     parts = list(extra_partitions) + ["year", "month", "day"]
     out = with_date_parts(df.where(F.col(date_col).isNotNull()), date_col)
-    (out.repartition(*[F.col(p) for p in parts]).write.mode(mode).partitionBy(*parts)
+    (out.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts)
      .format(fmt).save(path))
 
 
@@ -77,7 +79,7 @@ def write_batch_partitioned(df: DataFrame, path: str, date_col: str = "date", ba
 def write_quarantine(df: DataFrame, path: str, batch_col: str = "batch_id", mode: str = "append") -> None:
     """Quarantine rows, one folder per batch."""
     out = df.withColumn("batch", path_safe_key(F.col(batch_col)))
-    out.repartition("batch").write.mode(mode).partitionBy("batch").parquet(path)
+    out.hint("rebalance", "batch").write.mode(mode).partitionBy("batch").parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -119,18 +121,22 @@ def lineage_frame(spark: SparkSession, **fields) -> DataFrame:
 
 
 def write_manifest(spark: SparkSession, files: DataFrame, path: str, url_col: str = "url") -> None:
-    """S5 writer: ``{"entries": [{"url", "mandatory"}]}`` as one multiline JSON
-    document (the manifest is a list of file names, bounded by the file count)."""
-    doc = files.agg(F.sort_array(F.collect_list(F.struct(F.col(url_col).alias("url"),
-                                                         F.lit(True).alias("mandatory")))).alias("entries"))
-    doc.coalesce(1).write.mode("overwrite").json(path)
-
-
-def read_manifest_entries(spark: SparkSession, path: str) -> DataFrame:
-    """Multiline JSON manifest → one row per entry; empty manifests raise."""
-    m = spark.read.option("multiline", True).json(path)
-    entries = m.select(F.explode("entries").alias("e")).select(F.col("e.url").alias("url"),
-                                                               F.col("e.mandatory").alias("mandatory"))
+    """S5 writer: one ``{"url", "mandatory"}`` entry per line, written by as
+    many tasks as the file list has partitions — a load with a million
+    files never becomes one array in one task."""
+    files.select(F.col(url_col).alias("url"), F.lit(True).alias("mandatory")).write.mode("overwrite").json(path)
+
+
+def read_manifest_entries(spark: SparkSession, path: str, multiline_document: bool = False) -> DataFrame:
+    """Manifest → one row per entry; empty manifests raise.  Accepts the
+    line-per-entry form and (``multiline_document``) the single
+    ``{"entries": [...]}`` document."""
+    if multiline_document:
+        m = spark.read.option("multiline", True).json(path)
+        entries = m.select(F.explode("entries").alias("e")).select(F.col("e.url").alias("url"),
+                                                                   F.col("e.mandatory").alias("mandatory"))
+    else:
+        entries = spark.read.schema("url string, mandatory boolean").json(path)
     if entries.isEmpty():
         raise ValueError(f"manifest {path} has no entries")
     return entries
@@ -166,7 +172,7 @@ def assert_nonempty(df: DataFrame, what: str = "load") -> DataFrame:
 def stage_append_parquet(df: DataFrame, path: str, partition_col: str = "load_id") -> None:
     """S10 stand-in for the JDBC append: append into a Parquet staging table
     partitioned by load id."""
-    df.repartition(partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+    df.hint("rebalance", partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
 
 
 def stage_append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
@@ -177,7 +183,7 @@ def stage_append_jdbc(df: DataFrame, url: str, table: str, properties: dict | No
 def replace_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """W3 / W4 publish: dynamic partition overwrite — only the partitions
     present in ``df`` are replaced."""
-    (df.repartition(*partition_cols).write.mode("overwrite")
+    (df.hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
 
 
@@ -191,7 +197,7 @@ def publish_refresh(spark: SparkSession, refreshed: DataFrame, table_path: str,
     overwritten with nothing by writing their survivors (an empty partition
     directory is removed by the caller's retention job).
     """
-    refreshed.repartition(*partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(scratch)
+    refreshed.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(scratch)
     staged = spark.read.schema(refreshed.schema).parquet(scratch)
     replace_partitions(staged, table_path, partition_cols)
 
@@ -202,3 +208,52 @@ def write_lineage(df: DataFrame, path: str) -> None:
 
 def to_json_text(obj: dict) -> str:
     return json.dumps(obj, sort_keys=True)
+
+
+# --- catalog fact table (S13) and its refresh publish (W2, K14) -----------------------
+
+def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType, location: str,
+                            partition_cols: list[str]) -> None:
+    """``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY``."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = ", ".join(f"`{c}`" for c in partition_cols)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY ({parts}) "
+              f"LOCATION '{location}'")
+
+
+def insert_partitions(df: DataFrame, table: str, partition_cols: list[str]) -> None:
+    """Dynamic partition overwrite into a catalog table: only partitions
+    present in ``df`` are replaced."""
+    cols = df.sparkSession.table(table).columns
+    (df.select(*cols).hint("rebalance", *partition_cols).write
+     .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+
+
+def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scratch: str,
+                          client_col: str = "client_name", date_col: str = "order_date",
+                          month_col: str = "month") -> None:
+    """W2 published: recompute only the (client, month) partitions the load's
+    per-client [min, max] range touches, stage them in ``scratch`` (never
+    overwrite what is being read), then swap them in with a dynamic partition
+    overwrite.  Months inside a range that end up with no rows are cleared by
+    a static overwrite of that partition (a short loop over partition specs,
+    bounded by clients × months of one load — never over data)."""
+    from ferrule.operators.refresh import refresh_by_load
+    fact = spark.table(table)
+    bounds = load.groupBy(client_col).agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    months = bounds.select(client_col, F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
+                                                            F.expr("interval 1 month"))).alias("m"))
+    touched = months.select(client_col, F.date_format("m", "yyyy-MM").alias(month_col))
+    cur = fact.join(F.broadcast(touched), [client_col, month_col], "left_semi").drop(month_col)
+    incoming = load.select(*[c for c in cur.columns])
+    refreshed = refresh_by_load(cur, incoming, client_col, date_col).withColumn(
+        month_col, F.date_format(F.col(date_col), "yyyy-MM"))
+    refreshed.write.mode("overwrite").parquet(scratch)
+    staged = spark.read.schema(refreshed.schema).parquet(scratch)
+    insert_partitions(staged, table, [client_col, month_col])
+    present = {(r[0], r[1]) for r in staged.select(client_col, month_col).distinct().collect()}
+    for r in touched.collect():
+        if (r[0], r[1]) not in present:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({client_col} = '{r[0]}', {month_col} = '{r[1]}') "
+                      f"SELECT {', '.join(c for c in staged.columns if c not in (client_col, month_col))} "
+                      f"FROM {table} WHERE false")

@@ -56,3 +56,7 @@ def read_parquet_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not paths:
         raise ValueError("no paths to read")
     return spark.read.parquet(*paths)
+
+# One name per fact table (the reference spelled the partner table three ways).
+CLIENT_FACT_TABLE = "fact_client_upload"
+PARTNER_FACT_TABLE = "fact_partner_performance"

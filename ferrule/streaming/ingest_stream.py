@@ -59,24 +59,28 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, specs: di
     spark = batch.sparkSession
     known = sorted(specs)
     batch = batch.persist()   # read by several plans below; released at the end
-    ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL)
+    # groups touched by this batch, from the batch itself; the ledgers are
+    # partitioned by event date and semi-joined on these dates, so a batch
+    # reads only the ledger partitions of its own days (dynamic pruning)
+    touched = (I.event_rows(batch, known).where(F.col("pre_status").isNull())
+               .select("client_name", "event_date").distinct())
+    days = touched.select("event_date").distinct()
+    ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
     status = I.event_status(batch, known, ledger_keys=ledger.select("key"))
     items = I.received_items(status, created_at=F.current_timestamp().cast("string"))
     items = items.select(*[c.split()[0] for c in ITEM_LEDGER_DDL.split(", ")])
-    items.write.mode("append").parquet(paths.items)
+    items.write.mode("append").partitionBy("event_date").parquet(paths.items)
 
-    ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL)
-    # groups touched by this batch, from the batch itself (``items`` is lazy and
-    # would now anti-join against the rows it just appended)
-    touched = (I.event_rows(batch, known).where(F.col("pre_status").isNull())
-               .select("client_name", "event_date").distinct())
+    ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
     group_items = ledger.join(touched, ["client_name", "event_date"], "left_semi")
     ready = I.readiness_gate(group_items, specs, exclusive=exclusive)
-    locks = _read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL)
+    locks = _read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
     fired = I.fire_once(ready, locks)
-    fired.select("key", "client_name", "event_date", F.lit(I.EXECUTION_STARTED).alias("status"),
-                 F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode("append").parquet(paths.locks)
-    new_locks = _read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).where(F.col("batch_id") == batch_id)
+    (fired.select("key", "client_name", "event_date", F.lit(I.EXECUTION_STARTED).alias("status"),
+                  F.lit(batch_id).cast("bigint").alias("batch_id"))
+     .write.mode("append").partitionBy("event_date").parquet(paths.locks))
+    new_locks = (_read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
+                 .where(F.col("batch_id") == batch_id))
     I.trigger_payload(new_locks.select("key", "client_name", "event_date"), group_items) \
         .write.mode("append").parquet(paths.payloads)
     batch.unpersist()
