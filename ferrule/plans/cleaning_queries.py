@@ -318,7 +318,7 @@ FROM client_fact""", ids=("P8", "W6", "K13"))
 def audit_columns_q(spark, sf):
     f = fx.client_fact(spark, sf).withColumn("event_name", F.col("discount_code"))
     return audit_columns(f, {"load_id": "load-audit-0001", "event_name": "ObjectCreated",
-                             "created_at": F.lit("2024-01-31 00:00:00").cast("timestamp")},
+                             "created_at": F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")},
                          backfill=["event_name", "created_at"])
 
 

@@ -247,13 +247,13 @@ def first_per_file(spark, sf):
 @register("latest_per_type", UP + f"""
 SELECT client_name, file_type, key, last_modified FROM (
   SELECT *, row_number() OVER (PARTITION BY client_name, file_type ORDER BY last_modified DESC, key ASC) AS rn
-  FROM (SELECT client_name, object_key AS key, CAST(event_time AS TIMESTAMP) AS last_modified,
+  FROM (SELECT client_name, object_key AS key, event_time AS last_modified,
                {sql_file_type("file_name", "client_name")} AS file_type
         FROM upload_final WHERE status = 'stored') a WHERE file_type IS NOT NULL) x WHERE rn = 1""", ids=("D4",))
 def latest_per_type(spark, sf):
     items = stored_items(spark, sf)
     objects = items.select("client_name", F.col("object_key").alias("key"), "file_name",
-                           F.col("timestamp").cast("timestamp").alias("last_modified"))
+                           F.col("timestamp").alias("last_modified"))
     out = I.latest_per_type(objects, required())
     return out.select("client_name", "file_type", "key", "last_modified")
 

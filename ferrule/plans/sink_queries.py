@@ -111,12 +111,12 @@ def schema_drift_sample(spark, sf):
 SELECT *, TIMESTAMP '2024-01-31 12:00:00' AS created_at FROM client_processed""", ids=("S10", "P8"))
 def stage_append(spark, sf):
     path = scratch_path(spark, "stage-append")
-    stamp = F.lit("2024-01-31 12:00:00").cast("timestamp")
+    stamp = F.lit("2024-01-31 12:00:00").cast("timestamp_ntz")   # zone-free audit stamp
     S.stage_append_parquet(load(spark, sf, "alpha").processed.withColumn("created_at", stamp), path)
     rest = load(spark, sf, "beta").processed.unionByName(load(spark, sf, "gamma").processed)
     S.stage_append_parquet(rest.withColumn("created_at", stamp), path)
     schema = T.StructType([f for f in CLIENT_PROCESSED_SCHEMA.fields if f.name != "load_id"] +
-                          [T.StructField("created_at", T.TimestampType())])
+                          [T.StructField("created_at", T.TimestampNTZType())])
     return S.read_partitioned(spark, path, schema, ("load_id",))
 
 
