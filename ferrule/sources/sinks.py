@@ -244,7 +244,8 @@ def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scra
     months = bounds.select(client_col, F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
                                                             F.expr("interval 1 month"))).alias("m"))
     touched = months.select(client_col, F.date_format("m", "yyyy-MM").alias(month_col))
-    cur = fact.join(F.broadcast(touched), [client_col, month_col], "left_semi").drop(month_col)
+    from ferrule.operators.lookup import broadcast_if_small
+    cur = fact.join(broadcast_if_small(touched), [client_col, month_col], "left_semi").drop(month_col)
     incoming = load.select(*[c for c in cur.columns])
     refreshed = refresh_by_load(cur, incoming, client_col, date_col).withColumn(
         month_col, F.date_format(F.col(date_col), "yyyy-MM"))

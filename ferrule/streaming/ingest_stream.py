@@ -4,11 +4,14 @@
   ``dropDuplicatesWithinWatermark`` on the idempotency key.  State is bounded
   by the watermark.
 * ``run_ingest_stream``: ``foreachBatch`` applies the same batch functions as
-  ``ferrule.operators.ingest`` against two append-only tables in the shared
-  folder — the item ledger (RECEIVED items) and the lock ledger (execution
-  locks).  A replayed micro-batch finds its keys already in the ledger, so
-  appends are idempotent across retries; the readiness check reads only the
-  ledger rows of the groups the batch touched.
+  ``ferrule.operators.ingest`` against tables in the shared folder — the item
+  ledger (RECEIVED items), the lock ledger (execution locks) and the payload
+  rows — each partitioned by (event date, micro-batch id).  A batch judges
+  its rows against the ledger *without its own batch id*, and writes its
+  partitions with a dynamic partition overwrite, so re-running a batch (a
+  lost executor recomputing a stage, or a replay after a driver restart)
+  yields and writes exactly the same rows.  Reads are pruned to the batch's
+  event dates.
 """
 
 from __future__ import annotations
@@ -22,9 +25,12 @@ from pyspark.sql.streaming import StreamingQuery
 from ferrule.operators import ingest as I
 
 ITEM_LEDGER_DDL = ("key string, file_name string, timestamp string, etag string, client_name string, "
-                   "object_key string, bucket_name string, bucket_arn string, event_date string, status string, "
-                   "created_at string")
-LOCK_LEDGER_DDL = "key string, client_name string, event_date string, status string, batch_id bigint"
+                   "object_key string, bucket_name string, bucket_arn string, status string, "
+                   "created_at string, event_date string, batch_id bigint")
+LOCK_LEDGER_DDL = "key string, client_name string, status string, event_date string, batch_id bigint"
+PAYLOAD_DDL = ("idempotency_group_key string, client_name string, event_date string, bucket_name string, "
+               "file_name string, object_key string, etag string, batch_id bigint")
+PARTS = ["event_date", "batch_id"]
 
 
 def stream_dedupe(messages: DataFrame, known_clients: list[str], watermark: str = "30 days") -> DataFrame:
@@ -52,38 +58,42 @@ def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
         return spark.createDataFrame([], ddl)
 
 
+def _replace_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
+    """Write a micro-batch's rows so that a re-run replaces them (dynamic
+    partition overwrite on partitions that include the batch id)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partitions).parquet(path))
+
+
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, specs: dict,
                   exclusive: bool = True) -> None:
-    """One micro-batch: status vs the ledger, append new items, gate the
-    touched groups, take new locks, append payload rows."""
+    """One micro-batch: status vs the earlier ledger, write new items, gate
+    the touched groups, take new locks, write payload rows."""
     spark = batch.sparkSession
     known = sorted(specs)
-    batch = batch.persist()   # read by several plans below; released at the end
-    # groups touched by this batch, from the batch itself; the ledgers are
-    # partitioned by event date and semi-joined on these dates, so a batch
-    # reads only the ledger partitions of its own days (dynamic pruning)
-    touched = (I.event_rows(batch, known).where(F.col("pre_status").isNull())
-               .select("client_name", "event_date").distinct())
-    days = touched.select("event_date").distinct()
+    bid = F.lit(batch_id).cast("bigint")
+    days = I.event_rows(batch, known).where(F.col("pre_status").isNull()).select("event_date").distinct()
     ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
-    status = I.event_status(batch, known, ledger_keys=ledger.select("key"))
-    items = I.received_items(status, created_at=F.current_timestamp().cast("string"))
+    earlier = ledger.where(F.col("batch_id") != batch_id)
+    status = I.event_status(batch, known, ledger_keys=earlier.select("key"))
+    items = I.received_items(status, created_at=F.current_timestamp().cast("string")).withColumn("batch_id", bid)
     items = items.select(*[c.split()[0] for c in ITEM_LEDGER_DDL.split(", ")])
-    items.write.mode("append").partitionBy("event_date").parquet(paths.items)
+    _replace_batch(items, paths.items, PARTS)
 
+    touched = (_read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).where(F.col("batch_id") == batch_id)
+               .select("client_name", "event_date").distinct())
     ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
     group_items = ledger.join(touched, ["client_name", "event_date"], "left_semi")
     ready = I.readiness_gate(group_items, specs, exclusive=exclusive)
-    locks = _read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
+    locks = (_read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
+             .where(F.col("batch_id") != batch_id))
     fired = I.fire_once(ready, locks)
-    (fired.select("key", "client_name", "event_date", F.lit(I.EXECUTION_STARTED).alias("status"),
-                  F.lit(batch_id).cast("bigint").alias("batch_id"))
-     .write.mode("append").partitionBy("event_date").parquet(paths.locks))
+    _replace_batch(fired.select("key", "client_name", F.lit(I.EXECUTION_STARTED).alias("status"), "event_date",
+                                bid.alias("batch_id")), paths.locks, PARTS)
     new_locks = (_read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
                  .where(F.col("batch_id") == batch_id))
-    I.trigger_payload(new_locks.select("key", "client_name", "event_date"), group_items) \
-        .write.mode("append").parquet(paths.payloads)
-    batch.unpersist()
+    payload = I.trigger_payload(new_locks.select("key", "client_name", "event_date"), group_items)
+    _replace_batch(payload.withColumn("batch_id", bid), paths.payloads, ["batch_id"])
 
 
 def run_ingest_stream(messages: DataFrame, paths: IngestPaths, specs: dict, checkpoint: str,
