@@ -164,13 +164,15 @@ def load_manifest(spark, sf):
     return S.read_manifest_entries(spark, mpath)
 
 
-@register("raw_landing", None, ids=("S14",))
+@register("raw_landing", with_fixtures("partner_raw") + """
+SELECT count(*) + 1 AS landed_lines, count(*) AS data_rows FROM partner_raw""", ids=("S14",))
 def raw_landing(spark, sf):
-    """Land the raw partner CSV unchanged, then read the landed bytes back as text lines."""
+    """Land the raw partner CSV unchanged, then count what was landed: every
+    data line plus the header line."""
     src = scratch_path(spark, "partner-raw-src")
     S.write_csv(fx.partner_raw(spark, sf).coalesce(1), src)
     dest = scratch_path(spark, "partner-raw-landed")
     S.land_raw(spark, f"{src}/*.csv", dest)
-    landed = spark.read.parquet(dest)
-    return landed.select(F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line")).where(
-        F.length("line") > 0)
+    lines = spark.read.text(dest).where(F.length("value") > 0)
+    return lines.agg(F.count(F.lit(1)).alias("landed_lines"),
+                     F.count(F.when(~F.col("value").startswith("Report Date,"), 1)).alias("data_rows"))

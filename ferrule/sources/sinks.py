@@ -142,22 +142,22 @@ def read_manifest_entries(spark: SparkSession, path: str, multiline_document: bo
     return entries
 
 
-def files_written_since(spark: SparkSession, path: str, not_before: str) -> DataFrame:
-    """Parquet files under ``path`` modified at or after ``not_before``
-    (from the hidden ``_metadata`` column, no driver-side listing loop)."""
-    df = spark.read.parquet(path)
-    meta = df.select(F.col("_metadata.file_path").alias("url"),
-                     F.col("_metadata.file_modification_time").alias("modified_at")).distinct()
-    return meta.where(F.col("modified_at") >= F.lit(not_before).cast("timestamp"))
+def files_written_since(spark: SparkSession, path: str, not_before: str, glob: str = "*.parquet") -> DataFrame:
+    """Files under ``path`` modified at or after ``not_before``.  The
+    ``binaryFile`` source lists files in parallel and, with ``content`` not
+    selected, reads no file bodies — no driver-side listing loop."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+             .load(path).select(F.col("path").alias("url"), F.col("modificationTime").alias("modified_at")))
+    return files.where(F.col("modified_at") >= F.lit(not_before).cast("timestamp"))
 
 
 def land_raw(spark: SparkSession, source: str, dest: str) -> DataFrame:
-    """Copy source files unchanged (binary) before transforming; returns
-    (path, length) of what was landed.  The caller passes the new raw file;
-    ``input_file_name`` style lineage goes into ``source_key``."""
-    raw = spark.read.format("binaryFile").load(source)
-    raw.select("path", "content").write.mode("append").parquet(dest)
-    return raw.select(F.col("path").alias("source_key"), F.col("length"))
+    """Land the raw text unchanged before transforming it — split into
+    lines and spread over tasks like any scan (a multi-GB upload is not one
+    row), with each line's source file kept as ``source_key``."""
+    raw = spark.read.text(source).select("value", F.col("_metadata.file_path").alias("source_key"))
+    raw.select("value").write.mode("append").text(dest)
+    return raw.groupBy("source_key").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def assert_nonempty(df: DataFrame, what: str = "load") -> DataFrame:
