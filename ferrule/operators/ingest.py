@@ -113,8 +113,14 @@ def event_status(messages: DataFrame, known_clients: list[str], ledger_keys: Dat
     if ledger_keys is not None:
         seen = ledger_keys.select(F.col("key").alias("idempotency_key")).distinct()
         candidates = candidates.join(seen, "idempotency_key", "left_anti")
-    winners = first_per_key(candidates, "idempotency_key", order)
-    flagged = rows.join(winners, "idempotency_key", "left")
+    winners = first_per_key(candidates, "idempotency_key", order).withColumnRenamed("idempotency_key", "__jk")
+    # rows without a key (parse errors, invalid or unknown records) get a
+    # unique, deterministic join key so they spread over partitions instead
+    # of all hashing to the null-key partition; such keys match no winner
+    join_key = F.coalesce(F.col("idempotency_key"),
+                          F.concat(F.lit("\u0000"), F.col("message_id").cast("string"), F.lit("#"),
+                                   F.coalesce(F.col("rec_idx").cast("string"), F.lit(""))))
+    flagged = (rows.withColumn("__jk", join_key).join(winners, "__jk", "left").drop("__jk"))
     is_first = F.coalesce(F.struct(*[F.col(c) for c in order]) == F.col("__first"), F.lit(False))
     status = F.coalesce(F.col("pre_status"), F.when(is_first, F.lit(STORED)).otherwise(F.lit(DUPLICATE)))
     return flagged.withColumn("status", status).drop("__first")
