@@ -176,3 +176,20 @@ def raw_landing(spark, sf):
     lines = spark.read.text(dest).where(F.length("value") > 0)
     return lines.agg(F.count(F.lit(1)).alias("landed_lines"),
                      F.count(F.when(~F.col("value").startswith("Report Date,"), 1)).alias("data_rows"))
+
+
+@register("client_load_alpha_csv", with_fixtures("alpha_processed") + "SELECT * FROM alpha_processed",
+          ids=("S1", "P1", "J1", "A1", "P5"))
+def client_load_alpha_csv(spark, sf):
+    """The alpha load from CSV files on disk: both inputs are written as CSV
+    (headers included, the lookup header with a stray trailing space), read
+    back as all-string columns and loaded."""
+    from ferrule.plans.client_load import run_client_load
+    from ferrule.plans.load_queries import client_ctx, spec
+    orders, codes = fx.alpha_orders(spark, sf), fx.alpha_codes(spark, sf)
+    p_orders, p_codes = scratch_path(spark, "alpha-orders-csv"), scratch_path(spark, "alpha-codes-csv")
+    S.write_csv(orders, p_orders)
+    S.write_csv(codes, p_codes)
+    primary = S.read_csv_strings(spark, p_orders, orders.columns)
+    lookup = S.read_csv_strings(spark, p_codes, codes.columns)
+    return run_client_load(spark, spec("alpha"), primary, lookup, client_ctx("alpha")).processed
