@@ -224,9 +224,17 @@ def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType
 def insert_partitions(df: DataFrame, table: str, partition_cols: list[str]) -> None:
     """Dynamic partition overwrite into a catalog table: only partitions
     present in ``df`` are replaced."""
-    cols = df.sparkSession.table(table).columns
-    (df.select(*cols).hint("rebalance", *partition_cols).write
-     .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
+    spark = df.sparkSession
+    cols = spark.table(table).columns
+    # insertInto reads the overwrite mode from the session, not from writer
+    # options; set it for this insert only and restore the caller's value
+    key = "spark.sql.sources.partitionOverwriteMode"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        df.select(*cols).hint("rebalance", *partition_cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, previous)
 
 
 def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scratch: str,
