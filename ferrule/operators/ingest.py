@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.functions.clean import client_from_path, event_date_from_ts, execution_lock_key, idempotency_key
-from ferrule.operators.lookup import file_type_column, required_specs_table
+from ferrule.operators.lookup import file_type_column
 from ferrule.operators.rules import fenced_where
 
 # ``object`` is a map so ``eTag`` and ``etag`` stay distinct keys (struct field
@@ -160,33 +160,42 @@ def latest_per_type(objects: DataFrame, specs: dict, ts_col: str = "last_modifie
     return agg.select(client_col, "file_type", *[F.col("__o")[c].alias(c) for c in payload])
 
 
+def required_types_column(specs: dict, client_col: str = "client_name") -> Column:
+    """The sorted required file types of the row's client (a spec constant
+    compiled into a map literal; unknown clients get an empty list)."""
+    from ferrule.operators.lookup import _spec_items
+    per_client: dict[str, list[str]] = {}
+    for client, ftype, _, _, _ in _spec_items(specs):
+        per_client.setdefault(client, [])
+        if ftype not in per_client[client]:
+            per_client[client].append(ftype)
+    if not per_client:
+        return F.array().cast("array<string>")
+    literal = F.create_map(*[x for c, types in per_client.items()
+                             for x in (F.lit(c), F.array(*[F.lit(t) for t in sorted(types)]))])
+    return F.coalesce(F.try_element_at(literal, F.col(client_col)), F.array().cast("array<string>"))
+
+
 def readiness_gate(items: DataFrame, specs: dict, exclusive: bool = True) -> DataFrame:
     """T5 + D5: per (client, event date) of RECEIVED items, the sorted list of
     required file types nothing satisfies yet, and ``ready`` when none is missing.
 
-    The required-spec table is a spec-sized constant (broadcast); groups ×
-    specs is bounded by the number of specs per client; the missing lists are
-    collected per group from that bounded set only.
+    One aggregation: the set of spec types the group's files satisfy.  The
+    set is bounded by the number of spec types (non-matching files add
+    nothing), and it is combined map-side, so a group holding a third of all
+    files is reduced before the shuffle.  The missing list is the client's
+    required types minus that set.
     """
-    spark = items.sparkSession
     received = items.where(F.col("status") == RECEIVED) if "status" in items.columns else items
     if exclusive:
-        typed = received.withColumn("file_type", file_type_column(specs, "file_name", "client_name", True))
+        have = F.collect_set(file_type_column(specs, "file_name", "client_name", True))
     else:
-        typed = received.withColumn("file_type", F.explode(file_type_column(specs, "file_name", "client_name",
-                                                                            False)))
-    satisfied = fenced_where(typed, F.col("file_type").isNotNull()).select("client_name", "event_date",
-                                                                           "file_type").distinct()
-    groups = received.select("client_name", "event_date").distinct()
-    req = F.broadcast(required_specs_table(spark, specs).select("client_name", "file_type"))
-    expected = groups.join(req, "client_name")
-    missing = expected.join(satisfied, ["client_name", "event_date", "file_type"], "left_anti")
-    lists = missing.groupBy("client_name", "event_date").agg(
-        F.array_sort(F.collect_list("file_type")).alias("missing_files"))
-    out = groups.join(lists, ["client_name", "event_date"], "left")
-    missing_col = F.coalesce(F.col("missing_files"), F.array().cast("array<string>"))
-    return out.select("client_name", "event_date", missing_col.alias("missing_files"),
-                      (F.size(missing_col) == 0).alias("ready"))
+        have = F.array_distinct(F.flatten(F.collect_set(file_type_column(specs, "file_name", "client_name",
+                                                                         False))))
+    groups = received.groupBy("client_name", "event_date").agg(have.alias("__have"))
+    missing = F.array_sort(F.array_except(required_types_column(specs), F.col("__have")))
+    return groups.select("client_name", "event_date", missing.alias("missing_files"),
+                         (F.size(missing) == 0).alias("ready"))
 
 
 def fire_once(ready: DataFrame, lock_ledger: DataFrame | None = None) -> DataFrame:
