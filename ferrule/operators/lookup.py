@@ -101,16 +101,6 @@ def _spec_items(specs: dict[str, list]) -> list[tuple[str, str, str, int, int]]:
     return out
 
 
-def required_specs_table(spark, specs: dict[str, list]) -> DataFrame:
-    """One row per (client, required file type); a spec-sized constant."""
-    seen, rows = set(), []
-    for client, ftype, _, _, order in _spec_items(specs):
-        if (client, ftype) not in seen:
-            seen.add((client, ftype))
-            rows.append((client, ftype, order))
-    return spark.createDataFrame(rows, "client_name string, file_type string, spec_order int")
-
-
 def file_type_column(specs: dict[str, list], name_col: str = "file_name",
                      client_col: str = "client_name", exclusive: bool = True):
     """J7 / D6 as a projection: glob patterns compiled to anchored,

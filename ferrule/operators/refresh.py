@@ -1,8 +1,9 @@
 """Idempotent table refresh as pure DataFrame → DataFrame functions.
 
 Applying a refresh twice gives the same table as applying it once.  The
-publish step (write to scratch, then dynamic partition overwrite of only the
-touched partitions) lives in ``ferrule.sources.sinks``.
+publish step for a catalog table (recompute only the touched partitions,
+stage them, dynamic partition overwrite) is
+``ferrule.sources.sinks.refresh_table_by_load``.
 """
 
 from __future__ import annotations

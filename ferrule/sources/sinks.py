@@ -1,4 +1,4 @@
-"""Sources and sinks (S1, S3-S14) and the refresh publish.
+"""Sources and sinks (S1, S3-S14) and the partition-scoped refresh publish.
 
 All paths are caller-supplied; tests and registered queries write under the
 session's shared checkpoint folder (``ferrule.session.scratch_path``).
@@ -10,8 +10,6 @@ load holding a third of all rows — across several writers.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -113,13 +111,6 @@ def drift_sample(df: DataFrame, client_name: str, extra_columns: list[str]) -> D
     return s.select(*keep)
 
 
-def lineage_frame(spark: SparkSession, **fields) -> DataFrame:
-    """One-row lineage record (batch id, run id, source, window, location, time)."""
-    names = list(fields)
-    return spark.createDataFrame([tuple(str(fields[n]) if fields[n] is not None else None for n in names)],
-                                 all_string_schema(names))
-
-
 def write_manifest(spark: SparkSession, files: DataFrame, path: str, url_col: str = "url") -> None:
     """S5 writer: one ``{"url", "mandatory"}`` entry per line, written by as
     many tasks as the file list has partitions — a load with a million
@@ -187,82 +178,5 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> N
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
 
 
-def publish_refresh(spark: SparkSession, refreshed: DataFrame, table_path: str, partition_cols: list[str],
-                    scratch: str) -> None:
-    """Atomic-per-partition publish of a refresh whose input reads ``table_path``.
-
-    The refreshed rows of the touched partitions are written to ``scratch``
-    first (never overwrite a path that is being read), then swapped in with a
-    dynamic partition overwrite.  Partitions left empty by the refresh are
-    overwritten with nothing by writing their survivors (an empty partition
-    directory is removed by the caller's retention job).
-    """
-    refreshed.hint("rebalance", *partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(scratch)
-    staged = spark.read.schema(refreshed.schema).parquet(scratch)
-    replace_partitions(staged, table_path, partition_cols)
-
-
 def write_lineage(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").json(path)
-
-
-def to_json_text(obj: dict) -> str:
-    return json.dumps(obj, sort_keys=True)
-
-
-# --- catalog fact table (S13) and its refresh publish (W2, K14) -----------------------
-
-def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType, location: str,
-                            partition_cols: list[str]) -> None:
-    """``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY``."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parts = ", ".join(f"`{c}`" for c in partition_cols)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY ({parts}) "
-              f"LOCATION '{location}'")
-
-
-def insert_partitions(df: DataFrame, table: str, partition_cols: list[str]) -> None:
-    """Dynamic partition overwrite into a catalog table: only partitions
-    present in ``df`` are replaced."""
-    spark = df.sparkSession
-    cols = spark.table(table).columns
-    # insertInto reads the overwrite mode from the session, not from writer
-    # options; set it for this insert only and restore the caller's value
-    key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        df.select(*cols).hint("rebalance", *partition_cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, previous)
-
-
-def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scratch: str,
-                          client_col: str = "client_name", date_col: str = "order_date",
-                          month_col: str = "month") -> None:
-    """W2 published: recompute only the (client, month) partitions the load's
-    per-client [min, max] range touches, stage them in ``scratch`` (never
-    overwrite what is being read), then swap them in with a dynamic partition
-    overwrite.  Months inside a range that end up with no rows are cleared by
-    a static overwrite of that partition (a short loop over partition specs,
-    bounded by clients × months of one load — never over data)."""
-    from ferrule.operators.refresh import refresh_by_load
-    fact = spark.table(table)
-    bounds = load.groupBy(client_col).agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    months = bounds.select(client_col, F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
-                                                            F.expr("interval 1 month"))).alias("m"))
-    touched = months.select(client_col, F.date_format("m", "yyyy-MM").alias(month_col))
-    from ferrule.operators.lookup import broadcast_if_small
-    cur = fact.join(broadcast_if_small(touched), [client_col, month_col], "left_semi").drop(month_col)
-    incoming = load.select(*[c for c in cur.columns])
-    refreshed = refresh_by_load(cur, incoming, client_col, date_col).withColumn(
-        month_col, F.date_format(F.col(date_col), "yyyy-MM"))
-    refreshed.write.mode("overwrite").parquet(scratch)
-    staged = spark.read.schema(refreshed.schema).parquet(scratch)
-    insert_partitions(staged, table, [client_col, month_col])
-    present = {(r[0], r[1]) for r in staged.select(client_col, month_col).distinct().collect()}
-    for r in touched.collect():
-        if (r[0], r[1]) not in present:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({client_col} = '{r[0]}', {month_col} = '{r[1]}') "
-                      f"SELECT {', '.join(c for c in staged.columns if c not in (client_col, month_col))} "
-                      f"FROM {table} WHERE false")
