@@ -52,8 +52,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+        root = spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master or ""
         if not master.startswith("local"):
