@@ -185,9 +185,10 @@ def partner_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders.alias("Orders"),
         impressions.alias("Impressions"),
         F.col("first_id"))
-    # Every tenth row arrives twice (exact duplicates for the dedupe step).
-    twice = rows.where(F.col("first_id") % 10 == 0)
-    return rows.unionByName(twice).drop("first_id")
+    # Every tenth row arrives twice (exact duplicates for the dedupe step);
+    # a generator emits the copy, so the events are aggregated once.
+    copies = F.explode(F.when(F.col("first_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return rows.select("*", copies.alias("__copy")).drop("first_id", "__copy")
 
 
 # --- upload events (FIXTURES 2.4) ----------------------------------------------
