@@ -72,6 +72,9 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, specs: di
     spark = batch.sparkSession
     known = sorted(specs)
     bid = F.lit(batch_id).cast("bigint")
+    # a cache only to avoid re-reading the batch's files in each plan below;
+    # every result is the same if it is recomputed
+    batch = batch.persist()
     days = I.event_rows(batch, known).where(F.col("pre_status").isNull()).select("event_date").distinct()
     ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
     earlier = ledger.where(F.col("batch_id") != batch_id)
@@ -94,6 +97,7 @@ def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, specs: di
                  .where(F.col("batch_id") == batch_id))
     payload = I.trigger_payload(new_locks.select("key", "client_name", "event_date"), group_items)
     _replace_batch(payload.withColumn("batch_id", bid), paths.payloads, ["batch_id"])
+    batch.unpersist()
 
 
 def run_ingest_stream(messages: DataFrame, paths: IngestPaths, specs: dict, checkpoint: str,
