@@ -14,13 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.functions.clean import clean_number, parse_multi_date
+from ferrule.functions.clean import parse_multi_date
 from ferrule.operators.aggregate import aggregate
 from ferrule.operators.conform import (derived_columns, enforce_final_schema, map_output_columns,
                                        normalize_headers, safe_rename, schema_drift)
 from ferrule.operators.lookup import MATCH, DEFAULT_BROADCAST_MAX_ROWS, lookup_join_marked, normalize_columns
-from ferrule.operators.rules import (declared_rules, failed_filter_reason, fenced_where, passes, post_processing,
-                                     reason_array)
+from ferrule.operators.rules import declared_rules, failed_filter_reason, fenced_where, post_processing, reason_array
 from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA
 from ferrule.spec import ClientSpec
 
@@ -58,7 +57,9 @@ def common_cleaning(df: DataFrame, cfg: dict) -> DataFrame:
                 v = F.regexp_replace(F.regexp_replace(v, r"\.", ""), ",", ".")
             elif nc.get("remove_thousands_separators"):
                 v = F.regexp_replace(v, ",", "")
-            out = out.withColumn(c, clean_number(v).cast("string"))
+            # stays text: the spec's own cast reads it later, and a double
+            # rendered back to text (1.2E7) would be corrupted by its regex
+            out = out.withColumn(c, v)
     mv = cfg.get("missing_value_strategy") or {}
     fills = {k: v for k, v in (mv.get("fill_defaults") or {}).items() if k in out.columns}
     if fills:
@@ -135,4 +136,4 @@ def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, l
                       drift=drift_in)
 
 
-__all__ = ["LoadContext", "LoadResult", "run_client_load", "common_cleaning", "passes"]
+__all__ = ["LoadContext", "LoadResult", "run_client_load", "common_cleaning"]

@@ -4,8 +4,6 @@ the sink back."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ferrule.oracles import with_fixtures
 from ferrule.plans.ingest_queries import _sql_readiness, known_clients, required
 from ferrule.plans.registry import register
@@ -65,5 +63,3 @@ def stream_item_ledger(spark, sf):
     return (spark.read.schema(ITEM_LEDGER_DDL).parquet(paths.items)
             .select("key", "client_name", "object_key", "event_date", "etag"))
 
-
-__all__ = ["event_stream", "F"]

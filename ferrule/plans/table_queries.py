@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferrule.operators.aggregate import aggregate
 from ferrule.operators.conform import normalize_headers, safe_rename
 from ferrule.operators.lookup import lookup_join, normalize_columns
 from ferrule.oracles import with_fixtures
@@ -17,7 +16,6 @@ from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources import sinks as S
 from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA
-from ferrule.spec import Metric
 
 FACT_SCHEMA = T.StructType([f for f in CLIENT_PROCESSED_SCHEMA.fields
                             if f.name in ("discount_code", "orders", "revenue", "order_date", "client_name")]
@@ -104,5 +102,3 @@ def processed_idempotent_write(spark, sf):
     schema = T.StructType([f for f in CLIENT_PROCESSED_SCHEMA.fields if f.name != "load_id"])
     return S.read_partitioned(spark, path, schema, ("load_id",)).select(*CLIENT_PROCESSED_SCHEMA.fieldNames())
 
-
-__all__ = ["aggregate", "Metric"]
