@@ -233,8 +233,10 @@ def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scra
     staged = spark.read.schema(refreshed.schema).parquet(scratch)
     insert_partitions(staged, table, [client_col, month_col])
     present = {(r[0], r[1]) for r in staged.select(client_col, month_col).distinct().collect()}
+    data_cols = [f for f in spark.table(table).schema.fields if f.name not in (client_col, month_col)]
+    empty_select = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data_cols)
     for r in touched.collect():
         if (r[0], r[1]) not in present:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({client_col} = '{r[0]}', {month_col} = '{r[1]}') "
-                      f"SELECT {', '.join(c for c in staged.columns if c not in (client_col, month_col))} "
-                      f"FROM {table} WHERE false")
+            client_lit, month_lit = str(r[0]).replace("'", "''"), str(r[1]).replace("'", "''")
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({client_col} = '{client_lit}', "
+                      f"{month_col} = '{month_lit}') SELECT {empty_select} FROM (SELECT 1) AS one WHERE false")
