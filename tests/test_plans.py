@@ -62,3 +62,16 @@ def test_hot_key_first_wins_uses_partial_aggregate(spark):
     df = spark.range(1000).select((F.col("id") % 3 == 0).cast("string").alias("k"), F.col("id").alias("t"))
     text = plan_text(first_per_key(df, "k", ["t"]), "simple")
     assert text.count("HashAggregate") + text.count("ObjectHashAggregate") + text.count("SortAggregate") >= 2
+
+
+def test_details_page_is_top_k_not_global_sort(spark, sf):
+    text = plan_text(M.details(fx.client_fact(spark, sf), "client_upload", sort_by="revenue", limit=50,
+                               offset=10), "simple")
+    assert "TakeOrderedAndProject" in text
+    assert "Exchange rangepartitioning" not in text
+
+
+def test_readiness_gate_is_one_aggregation(spark, sf):
+    from ferrule.plans.ingest_queries import _readiness
+    text = plan_text(_readiness(spark, sf), "simple")
+    assert text.count("Exchange hashpartitioning") == 1
