@@ -75,3 +75,10 @@ def test_readiness_gate_is_one_aggregation(spark, sf):
     from ferrule.plans.ingest_queries import _readiness
     text = plan_text(_readiness(spark, sf), "simple")
     assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name", ["event_status", "first_per_file", "latest_per_type", "batch_ledger_fold",
+                                  "dedupe_events"])
+def test_first_wins_never_uses_a_window(spark, sf, name):
+    # a window puts a whole key in one task; first/latest-per-key must be aggregations
+    assert "Window" not in plan_text(all_queries()[name].build(spark, sf), "simple")
