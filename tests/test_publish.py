@@ -47,3 +47,27 @@ def test_common_cleaning_keeps_large_amounts(spark):
     parsed = common_cleaning(df, cfg).selectExpr(
         "TRY_CAST(regexp_replace(trim(subtotal_price_raw), '[^0-9.\\\\-]', '') AS DOUBLE) AS v").collect()
     assert [r.v for r in parsed] == [12345678.9, 1000.0]
+
+
+def test_manifest_formats(spark):
+    import json
+    import os
+    from ferrule.session import scratch_path
+    doc_dir = scratch_path(spark, "t-manifest-doc").replace("file:", "")
+    os.makedirs(doc_dir, exist_ok=True)
+    with open(os.path.join(doc_dir, "m.json"), "w") as fh:
+        json.dump({"entries": [{"url": "s3://b/p/1.parquet", "mandatory": True},
+                               {"url": "s3://b/p/2.parquet", "mandatory": True}]}, fh, indent=2)
+    doc = S.read_manifest_entries(spark, doc_dir, multiline_document=True)
+    assert sorted(r.url for r in doc.collect()) == ["s3://b/p/1.parquet", "s3://b/p/2.parquet"]
+    lines = scratch_path(spark, "t-manifest-lines")
+    S.write_manifest(spark, doc, lines)
+    assert sorted(r.url for r in S.read_manifest_entries(spark, lines).collect()) == [
+        "s3://b/p/1.parquet", "s3://b/p/2.parquet"]
+    empty = scratch_path(spark, "t-manifest-empty")
+    S.write_manifest(spark, doc.where("false"), empty)
+    try:
+        S.read_manifest_entries(spark, empty)
+        raise AssertionError("empty manifest accepted")
+    except ValueError:
+        pass
