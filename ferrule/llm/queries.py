@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm import byte_bpe, chat, token_counts
+from ferrule.llm import ann, byte_bpe, chat, near_vectors, simhash, token_counts
 from ferrule.llm.common import read_documents
 from ferrule.session import scratch_path
 from ferrule.sources.tables import table_path
 
 TOKEN_LIMIT = 1024
+SHINGLE_WORDS, SIMHASH_BITS = 4, 4
+COSINE = 0.98
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
@@ -48,6 +50,19 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: the rows whose id is divisible by 100; candidates: every row."""
+    return ann.nearest(spark, spark.read.parquet(table_path(sf_dir, "embeddings")), F.col("id") % 100 == 0, k=10)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, read_documents(spark, sf_dir), SHINGLE_WORDS, SIMHASH_BITS)
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(spark, spark.read.parquet(table_path(sf_dir, "embeddings")), COSINE)
+
+
 OP8_SQL = f"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -71,6 +86,9 @@ FROM o GROUP BY conv_id
 QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_nearest_vectors": op7_nearest_vectors,
     "op8_chat_format": op8_chat_format,
+    "op9_simhash": op9_simhash,
+    "op10_near_vectors": op10_near_vectors,
 }
 ORACLES = {"op8_chat_format": OP8_SQL}
