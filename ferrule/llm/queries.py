@@ -6,17 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm import ann, byte_bpe, chat, near_vectors, simhash, token_counts
+from ferrule.llm import ann, byte_bpe, chat, near_vectors, simhash, substrings, token_counts
 from ferrule.llm.common import read_documents
 from ferrule.session import scratch_path
 from ferrule.sources.tables import table_path
 
+PASSAGE_WORDS = 50
 TOKEN_LIMIT = 1024
 SHINGLE_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.98
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(spark, read_documents(spark, sf_dir), PASSAGE_WORDS)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over a cache of its own, empty at the start, so every distinct text is encoded."""
     return token_counts.count_tokens(
@@ -84,6 +90,7 @@ FROM o GROUP BY conv_id
 """
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_nearest_vectors": op7_nearest_vectors,
