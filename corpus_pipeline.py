@@ -3,20 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ferrule.llm import byte_bpe
+from ferrule.llm import byte_bpe, mixing, pii, quality, simhash
 from ferrule.llm.common import read_documents, stage_table
-from ferrule.llm.queries import op6_vocabulary
+from ferrule.llm.queries import (
+    MIXTURE,
+    QUALITY_CUT,
+    SHINGLE_WORDS,
+    SIMHASH_BITS,
+    op6_vocabulary,
+    quality_model,
+)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of the top grade reaches the cut."""
+    return quality.select_documents(spark, docs, quality_model(spark, docs, sf_dir), QUALITY_CUT)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    found = simhash.near_duplicates(spark, docs, SHINGLE_WORDS, SIMHASH_BITS)
+    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data masked."""
+    return pii.redact(spark, docs, pii.train(spark, docs))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents sampled to the target mixture."""
+    return mixing.sample_documents(spark, docs, **MIXTURE)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every kept text, checked by decoding them."""
+    """Byte-level BPE ids of every text, checked by decoding them: counts and digests."""
     path, pattern = op6_vocabulary()
     encoded = byte_bpe.encode(spark, docs, path, pattern)
     return byte_bpe.digests(byte_bpe.decode(spark, encoded, path))
 
 
-STAGES = [("byte-level BPE encoding and decoding", tokenise)]
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", keep_one_of_each),
+    ("PII", mask_personal_data),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding and decoding", tokenise),
+]
 ORACLE_SQL = None
 
 

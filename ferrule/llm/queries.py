@@ -6,23 +6,44 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrule.llm import ann, byte_bpe, chat, near_vectors, simhash, substrings, token_counts
+from ferrule.llm import (
+    ann, byte_bpe, chat, mixing, near_vectors, pii, quality, simhash, substrings, token_counts,
+)
 from ferrule.llm.common import read_documents
 from ferrule.session import scratch_path
 from ferrule.sources.tables import table_path
 
 PASSAGE_WORDS = 50
+QUALITY_CUT = 0.5
+#: The target mixture: shares of tokens by source, language and topic, and the share of all tokens to sample.
+MIXTURE = {
+    "sources": {f"src{k}": 0.05 for k in range(20)},
+    "languages": {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11},
+    "topics": [("license", "(?i)licen[sc]e", 0.05), ("contact", "@|\\+[0-9]", 0.08), ("long", "(?s)\\A.{6000}", 0.25),
+               ("prose", "", 0.62)],
+    "rest": "prose",
+    "budget": 0.6,
+}
 TOKEN_LIMIT = 1024
 SHINGLE_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.98
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return pii.find(spark, docs, pii.train(spark, docs))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.remove_repeats(spark, read_documents(spark, sf_dir), PASSAGE_WORDS)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, read_documents(spark, sf_dir), **MIXTURE)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over a cache of its own, empty at the start, so every distinct text is encoded."""
     return token_counts.count_tokens(
@@ -30,6 +51,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         scratch_path(spark, "token-counts"), TOKEN_LIMIT)
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.OrdinalModel | None:
+    """Fitted on the labelled rows among ``docs``."""
+    labels = spark.read.parquet(table_path(sf_dir, "labels"))
+    return quality.fit(spark, docs, quality.ratings_of(labels))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    scored = quality.score_documents(spark, docs, quality_model(spark, docs, sf_dir))
+    return scored.withColumn("kept", F.col("p_top") >= QUALITY_CUT)
+
+
 def op6_vocabulary() -> tuple[str, str]:
     """The rank file and the pattern that cuts texts before its merges."""
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -90,8 +123,11 @@ FROM o GROUP BY conv_id
 """
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_mixing": op3_mixing,
     "op4_token_counts": op4_token_counts,
+    "op5_quality": op5_quality,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_nearest_vectors": op7_nearest_vectors,
     "op8_chat_format": op8_chat_format,
