@@ -129,8 +129,12 @@ def spans_of(tags: np.ndarray, start: int, length: int) -> list[Span]:
 
 
 def reconcile(text: str, base: list[Span], found: list[Span]) -> list[Span]:
-    """Base spans and the windows' spans over the whole text, none of the added overlapping another."""
-    votes = Counter(found)
+    """Base spans and the windows' spans, without blank ends, over the whole text, none of the added
+    overlapping another."""
+    votes = Counter()
+    for s, k, e in found:
+        part = text[s:e]
+        votes[s + len(part) - len(part.lstrip()), k, e - len(part) + len(part.rstrip())] += 1
     taken = sorted((s, e) for s, _, e in base)
     out = list(base)
     for s, k, e in sorted(votes, key=lambda x: (-votes[x], x[0] - x[2], x)):

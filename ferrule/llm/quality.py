@@ -119,7 +119,7 @@ class OrdinalModel:
             first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
             w -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-9)
             w[:len(telling)] = np.minimum(0, w[:len(telling)])
-            w[len(telling):] = np.maximum.accumulate(w[len(telling):])
+            w[len(telling):] = ordered(w[len(telling):])
         weights = np.zeros(size, np.float32)
         weights[telling] = w[:len(telling)]
         return OrdinalModel(weights, w[len(telling):])
@@ -130,6 +130,17 @@ class OrdinalModel:
         return tails.sum(1), tails[:, -1]
 
 
+def ordered(x: np.ndarray) -> np.ndarray:
+    """The nearest non-decreasing values: neighbours out of order are averaged."""
+    groups: list[list[float]] = []
+    for v in x.tolist():
+        groups.append([v])
+        while len(groups) > 1 and np.mean(groups[-2]) > np.mean(groups[-1]):
+            last = groups.pop()
+            groups[-1] += last
+    return np.array([np.mean(g) for g in groups for _ in g])
+
+
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
