@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.llm.common import file_bytes, text_of
-from ferrule.llm.pieces import PieceMemo
+from ferrule.llm.pieces import MEMO_PARTS, PieceMemo
 
 UNKNOWN = "<unknown>"
 #: Piece types and the model type of the library's public file format.
@@ -90,25 +90,30 @@ class Codec:
         self.token = dict(zip(ids, order, strict=True))
         self.find = regex.compile(pattern).findall
         self.table = dict(zip(range(256), byte_chars(), strict=True))
+        self.known: dict[str, bytes] = {}
         self.memo = PieceMemo(self._many)
 
-    def _pre_tokens(self, found: list[str]) -> list[bytes]:
-        """Ids of pre-tokens, as bytes; a pre-token that is a vocabulary entry is that entry."""
-        raw = [x.encode("utf-8") for x in found]
-        open_ = [i for i, x in enumerate(raw) if x not in self.ranks]
-        got = self.library.encode([raw[i].decode("latin-1").translate(self.table) for i in open_]) if open_ else []
-        parts = dict(zip(open_, got, strict=True))
-        return [self.ids[parts[i]].tobytes() if i in parts else struct.pack("<I", self.ranks[x])
-                for i, x in enumerate(raw)]
+    def _learn(self, found: list[str]) -> None:
+        """Put the ids of new pre-tokens into the memo; one that is a vocabulary entry is that entry."""
+        open_ = []
+        for x in found:
+            raw = x.encode("utf-8")
+            if raw in self.ranks:
+                self.known[x] = struct.pack("<I", self.ranks[raw])
+            else:
+                open_.append((x, raw.decode("latin-1").translate(self.table)))
+        for (x, _), ids in zip(open_, self.library.encode([m for _, m in open_], num_threads=1), strict=True):
+            self.known[x] = self.ids[ids].tobytes()
 
     def _many(self, texts: list[str]) -> list[bytes]:
         cut = [self.find(x) for x in texts]
-        flat = self._pre_tokens([p for c in cut for p in c])
-        out, at = [], 0
-        for c in cut:
-            out.append(b"".join(flat[at:at + len(c)]))
-            at += len(c)
-        return out
+        known = self.known
+        if len(known) > MEMO_PARTS:
+            known.clear()
+        new = {p for c in cut for p in c if p not in known}
+        if new:
+            self._learn(list(new))
+        return [b"".join([known[p] for p in c]) for c in cut]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

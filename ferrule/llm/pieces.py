@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-MEMO_PARTS = 300_000
+MEMO_PARTS = 200_000
 MEMO_CHARS = 48
 
 
