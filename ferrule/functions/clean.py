@@ -7,6 +7,7 @@ parsing uses the ``try_*`` family.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -23,6 +24,8 @@ PANDAS_DEFAULT_NA_TOKENS = (
 TRUTHY_STRINGS = ("1", "true", "yes", "y", "on")
 # A plain decimal number, optionally signed, optionally with an exponent.
 NUMERIC_TEXT_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Digits after the point that money sums keep; 20 remain before it.
+MONEY_SCALE = 18
 # Characters kept by the spec-level number cleaner.
 SPEC_NUMBER_STRIP_PATTERN = r"[^0-9.\-]"
 # ---------------------------------------------------------------------------
@@ -42,12 +45,36 @@ def trim_lower(col: Column | str, trim: bool = True, lower: bool = True) -> Colu
     return out
 
 
+def date_shape(fmt: str) -> str | None:
+    """The texts a purely numeric date format can parse, as a pattern; None for other formats."""
+    parts = re.findall(r"y+|M+|d+|[^yMd]", fmt)
+    out = []
+    for p in parts:
+        if p == "yyyy":
+            out.append(r"\+?[0-9]{4,}")
+        elif p in ("MM", "dd"):
+            out.append("[0-9]{2}")
+        elif p in ("M", "d"):
+            out.append("[0-9]+")
+        elif p in "/-. ":
+            out.append("[" + ("\\-" if p == "-" else p) + "]")
+        else:
+            return None
+    return "^" + "".join(out) + "$"
+
+
 def parse_multi_date(col: Column | str, formats: Sequence[str], formatless_fallback: bool = True) -> Column:
-    """C4: first format that parses wins; optionally a format-less last try."""
+    """C4: first format that parses wins; optionally a format-less last try.  A
+    numeric format is tried only on texts of its shape, since a failed
+    parse costs an exception."""
     c = _c(col).cast("string")
-    attempts = [F.try_to_date(c, f) for f in formats]
+    attempts = []
+    for f in formats:
+        shape = date_shape(f)
+        attempt = F.try_to_date(c, f)
+        attempts.append(F.when(c.rlike(shape), attempt) if shape else attempt)
     if formatless_fallback:
-        attempts.append(F.try_to_date(c))
+        attempts.append(F.when(c.rlike(r"^\s*[+-]?[0-9]{4}"), F.try_to_date(c)))
     return F.coalesce(*attempts) if len(attempts) > 1 else attempts[0]
 
 
@@ -135,18 +162,18 @@ def segment_split(orders: Column | str, segments: dict[str, Column | str]) -> di
     return out
 
 
-def parse_bool(col: Column | str) -> Column:
-    """Truthy-string flag."""
-    return F.lower(F.trim(_c(col).cast("string"))).isin(list(TRUTHY_STRINGS))
-
-
-def money_sum(col: Column | str, scale: int = 2) -> Column:
-    """Sum of money as exact decimal cents, returned as DOUBLE.
+def money_sum(col: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """Sum of money, returned as DOUBLE; it never rounds a row and never fails.
 
-    Decimal addition is order-independent, so partial aggregation on a
-    thousand executors gives the same cents as a single process.
+    Values are added as decimals with ``scale`` digits after the point.
+    Decimal addition is order-independent, so partial aggregation on a thousand
+    executors gives the same result as a single process.  Where a value has more
+    digits or does not fit, or the sum does not, the sum is the plain double sum.
     """
-    return F.sum(_c(col).cast(f"decimal(18,{scale})")).cast("double")
+    value = _c(col).cast("double")
+    exact = value.try_cast(f"decimal(38,{scale})")
+    kept = F.coalesce(F.every(F.coalesce(exact.cast("double") == value, value.isNull())), F.lit(True))
+    return F.when(kept, F.coalesce(F.try_sum(exact).cast("double"), F.sum(value))).otherwise(F.sum(value))
 
 
 def null_na_tokens(col: Column | str, tokens: Iterable[str] = PANDAS_DEFAULT_NA_TOKENS) -> Column:

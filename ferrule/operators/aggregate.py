@@ -17,7 +17,7 @@ from ferrule.spec import Metric
 
 def metric_column(m: Metric) -> Column:
     if m.function == "sum":
-        c = money_sum(m.column, m.decimal_scale) if m.decimal_scale is not None else F.sum(F.col(m.column))
+        c = money_sum(m.column) if m.decimal_scale is not None else F.sum(F.col(m.column))
     elif m.function == "count":
         c = F.count(F.col(m.column))
     elif m.function == "count_distinct":

@@ -60,24 +60,38 @@ def schema_drift(spark: SparkSession, existing: Sequence[str], expected: Sequenc
                                  *[c.alias(n) for n, c in cols.items()])
 
 
+def final_columns(df: DataFrame, stamps: dict[str, Column], schema: T.StructType) -> dict[str, Column]:
+    """The uncast source of each final column: a stamp, a column of ``df``
+    (``order_date`` may come from ``date``), or null."""
+    have = {f.name: F.col(f.name) for f in schema.fields if f.name in df.columns}
+    if "order_date" not in have and "date" in df.columns:
+        have["order_date"] = F.col("date")
+    return {f.name: stamps.get(f.name, have.get(f.name, F.lit(None))) for f in schema.fields}
+
+
+def conform_final(df: DataFrame, client_name: str, load_id: str, event_date: str, event_name: str = "ObjectCreated",
+                  schema: T.StructType = CLIENT_PROCESSED_SCHEMA) -> DataFrame:
+    """P5 with its failures: the final columns, cast tolerantly, and an array
+    ``quarantine_reasons`` naming each value that does not fit its type."""
+    stamps = {"client_name": F.lit(client_name), "event_name": F.lit(event_name), "load_id": F.lit(load_id),
+              "event_date": F.lit(event_date)}
+    given = final_columns(df, stamps, schema)
+    out, misfits = [], []
+    for f in schema.fields:
+        value = given[f.name].try_cast(f.dataType)
+        misfits.append(F.when(given[f.name].isNotNull() & value.isNull(), F.lit(f"not_{f.dataType.simpleString()}:{f.name}")))
+        out.append((F.coalesce(value, F.lit(0).cast(f.dataType)) if f.name == "orders" else value).alias(f.name))
+    return df.select(*out, F.array_compact(F.array(*misfits)).alias("quarantine_reasons"))
+
+
 def enforce_final_schema(df: DataFrame, client_name: str, load_id: str, event_date: str,
                          event_name: str = "ObjectCreated",
                          schema: T.StructType = CLIENT_PROCESSED_SCHEMA) -> DataFrame:
-    """P5: ``order_date`` from ``date`` when missing, stamp the load columns,
-    cast every final column (missing ones are typed nulls), ``orders`` null→0,
-    final column order.  Doubles cast to BIGINT truncate (K6)."""
-    out = df
-    if "order_date" not in out.columns and "date" in out.columns:
-        out = out.withColumn("order_date", F.col("date").cast("date"))
-    out = out.withColumns({"client_name": F.lit(client_name), "event_name": F.lit(event_name),
-                           "load_id": F.lit(load_id), "event_date": F.lit(event_date).cast("date")})
-    cols = []
-    for f in schema.fields:
-        c = F.col(f.name).cast(f.dataType) if f.name in out.columns else F.lit(None).cast(f.dataType)
-        if f.name == "orders":
-            c = F.coalesce(c, F.lit(0).cast(f.dataType))
-        cols.append(c.alias(f.name))
-    return out.select(*cols)
+    """P5: the final columns of the rows that fit them: missing ones typed
+    nulls, ``orders`` null → 0, doubles to BIGINT truncated (K6).  Rows with a value that
+    does not fit are left to ``conform_final``'s quarantine."""
+    conformed = conform_final(df, client_name, load_id, event_date, event_name, schema)
+    return conformed.where(F.size("quarantine_reasons") == 0).drop("quarantine_reasons")
 
 
 def reorder_strict(df: DataFrame, final_columns: Sequence[str]) -> DataFrame:

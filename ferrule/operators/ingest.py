@@ -149,10 +149,12 @@ def first_per_file(items: DataFrame, group: tuple[str, ...] = ("client_name", "e
 
 def latest_per_type(objects: DataFrame, specs: dict, ts_col: str = "last_modified", key_col: str = "key",
                     client_col: str = "client_name", name_col: str = "file_name",
-                    exclusive: bool = False) -> DataFrame:
+                    exclusive: bool = True) -> DataFrame:
     """The latest object per (client, file type); on equal timestamps the
-    first in listing (key) order wins."""
-    typed = objects.withColumn("file_type", file_type_column(specs, name_col, client_col, True))
+    first in listing (key) order wins.  A file has the type of its most specific pattern
+    or, with ``exclusive=False``, of the first spec in the list that it matches."""
+    types = file_type_column(specs, name_col, client_col, exclusive)
+    typed = objects.withColumn("file_type", types if exclusive else F.get(types, 0))
     typed = fenced_where(typed, F.col("file_type").isNotNull())
     rank = F.struct((-F.unix_micros(F.col(ts_col).cast("timestamp"))).alias("t"), F.col(key_col).alias("k"))
     payload = [c for c in objects.columns if c != client_col]
@@ -208,11 +210,13 @@ def fire_once(ready: DataFrame, lock_ledger: DataFrame | None = None) -> DataFra
 
 def trigger_payload(fired: DataFrame, items: DataFrame) -> DataFrame:
     """T7 in long form: one row per (fired group, distinct file name) with the
-    first item's object key and etag.  A consumer orders by file name; no
+    first item's object key and etag, and the group's latest event time as its trigger time
+    (from the events, so a replay gives the same).  A consumer orders by file name; no
     group is collected into one array here."""
     firsts = first_per_file(items.select("key", "timestamp", "client_name", "event_date", "file_name",
-                                         "object_key", "etag", "bucket_name"))
+                                         "object_key", "etag", "bucket_name", "bucket_arn"))
+    latest = items.groupBy("client_name", "event_date").agg(F.max("timestamp").alias("trigger_timestamp"))
     return (fired.select(F.col("key").alias("idempotency_group_key"), "client_name", "event_date")
-            .join(firsts, ["client_name", "event_date"])
-            .select("idempotency_group_key", "client_name", "event_date", "bucket_name", "file_name",
-                    "object_key", "etag"))
+            .join(firsts, ["client_name", "event_date"]).join(latest, ["client_name", "event_date"])
+            .select("idempotency_group_key", "client_name", "event_date", "bucket_name", "bucket_arn", "file_name",
+                    "object_key", "etag", "trigger_timestamp"))

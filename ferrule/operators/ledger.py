@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # --- fixed values: batch lifecycle ------------------------------------------------
 BATCH_STATUSES = ("RECEIVED", "RAW_LANDED", "PROCESSED", "LOADED_TO_REDSHIFT", "FAILED")
 ERROR_MAX_CHARS = 1000
+LEDGER_BUCKETS = 16
 # ---------------------------------------------------------------------------------
 
 
@@ -35,11 +36,21 @@ def fold_ledger(events: DataFrame, attributes: Sequence[str], key: str = "key",
     return events.groupBy(key).agg(*aggs)
 
 
-def truncate_error(col: Column) -> Column:
-    """FAILED events keep at most the first 1000 characters of the error."""
+def short_error(col: Column) -> Column:
+    """The first 1000 characters of an error, beside the full text that the ledger keeps."""
     return F.substring(col, 1, ERROR_MAX_CHARS)
 
 
+def append_events(events: DataFrame, path: str, key: str = "key") -> None:
+    """W7 writer: status events, one folder per event day of the batch key's run.
+
+    The partition is a hash bucket of the key, so a fold reads a key from one folder; an event that is
+    written again (a retried run) is the same (key, seq) row, which ``fold_ledger`` sees once.
+    """
+    out = events.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(LEDGER_BUCKETS)).cast("int"))
+    out.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
+
+
 def reserve_batches(candidates: DataFrame, ledger: DataFrame, key: str = "key") -> DataFrame:
     """Start only the windows whose batch key is new (J5 on the ledger)."""
     return candidates.join(ledger.select(key).distinct(), key, "left_anti")

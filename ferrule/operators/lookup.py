@@ -1,9 +1,9 @@
-"""Lookup joins (J1-J3, J6-J7) and the size-checked broadcast.
+"""Lookup joins.
 
-A side is broadcast only after a bounded action proves it has at most
-``max_rows`` rows; beyond that the join is left to Catalyst and AQE
-(sort-merge with runtime skew splitting, or a runtime broadcast when the
-shuffle statistics turn out small).
+No side is broadcast by hint and building a join starts no job.  The choice
+is left to Catalyst and AQE, which know the bytes: a broadcast when the scan or
+shuffle statistics turn out small, else sort-merge with runtime skew
+splitting.
 """
 
 from __future__ import annotations
@@ -15,23 +15,9 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.clean import glob_to_regex, trim_lower
 
-# A lookup of at most this many rows is broadcast (a few hundred MB for the
-# narrow lookup files the specs describe); larger ones join by shuffle.
-DEFAULT_BROADCAST_MAX_ROWS = 500_000
 MATCH = "__matched"
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows to find out."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def normalize_columns(df: DataFrame, trim_cols: Sequence[str], lower_cols: Sequence[str]) -> DataFrame:
     """Trim / lower the listed columns that exist, in one projection."""
     cols = {}
@@ -52,38 +38,29 @@ def first_row_per_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def lookup_join(primary: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                require_match: bool = False, dedupe_lookup: bool = False,
-                broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                require_match: bool = False, dedupe_lookup: bool = False) -> DataFrame:
     """Equi-join on one (already normalized) key.
 
     ``require_match`` is the left-join-plus-not-null form, written as an
     inner join.  Duplicate lookup keys fan out (K1) unless ``dedupe_lookup``.
     """
     right = first_row_per_key(lookup, key) if dedupe_lookup else lookup
-    if broadcast_max_rows:
-        right = broadcast_if_small(right, broadcast_max_rows)
     join_type = "inner" if (require_match or how == "inner") else "left"
     return primary.join(right, on=key, how=join_type)
 
 
-def lookup_join_marked(primary: DataFrame, lookup: DataFrame, key: str, dedupe_lookup: bool = False,
-                       broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup_join_marked(primary: DataFrame, lookup: DataFrame, key: str, dedupe_lookup: bool = False) -> DataFrame:
     """Left join carrying a ``__matched`` flag: matched rows (fanned out like
     an inner join) and unmatched rows come out of one pass over the primary,
     so the quarantine of unmatched rows needs no second scan."""
     right = first_row_per_key(lookup, key) if dedupe_lookup else lookup
     right = right.withColumn(MATCH, F.lit(True))
-    if broadcast_max_rows:
-        right = broadcast_if_small(right, broadcast_max_rows)
     return primary.join(right, on=key, how="left").withColumn(MATCH, F.coalesce(F.col(MATCH), F.lit(False)))
 
 
-def unmatched_rows(primary: DataFrame, lookup: DataFrame, key: str, reason: str | None = None,
-                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def unmatched_rows(primary: DataFrame, lookup: DataFrame, key: str, reason: str | None = None) -> DataFrame:
     """Primary rows with no lookup match (null keys included)."""
     keys = lookup.select(key).where(F.col(key).isNotNull()).distinct()
-    if broadcast_max_rows:
-        keys = broadcast_if_small(keys, broadcast_max_rows)
     out = primary.join(keys, on=key, how="left_anti")
     return out.withColumn("quarantine_reason", F.lit(reason)) if reason else out
 

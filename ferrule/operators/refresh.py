@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferrule.operators.aggregate import load_bounds
-from ferrule.operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
 
 
 def _between(col: str, start: str, end: str) -> Column:
@@ -41,28 +40,24 @@ def refresh_window(fact: DataFrame, staging: DataFrame, source_type: str, start:
 
 
 def refresh_survivors(fact: DataFrame, load: DataFrame, client_col: str = "client_name",
-                      date_col: str = "order_date",
-                      broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                      date_col: str = "order_date") -> DataFrame:
     """Fact rows not covered by the load's per-client [min, max] date range.
 
     A range + equality anti-join: an equi-join on client with a BETWEEN
-    residual.  The bounds table has one row per client of the load; it is
-    broadcast only after its row count is checked.
+    residual.  The bounds table has one row per client of the load; AQE
+    broadcasts it when its bytes turn out small.
     """
     bounds = load_bounds(load, client_col, date_col).withColumnRenamed(client_col, "__b_client")
-    if broadcast_max_rows:
-        bounds = broadcast_if_small(bounds, broadcast_max_rows)
     cond = ((F.col(client_col) == F.col("__b_client")) &
             F.col(date_col).between(F.col("min_date"), F.col("max_date")))
     return fact.join(bounds, cond, "left_anti")
 
 
 def refresh_by_load(fact: DataFrame, load: DataFrame, client_col: str = "client_name",
-                    date_col: str = "order_date",
-                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+                    date_col: str = "order_date") -> DataFrame:
     """Per-client min..max refresh: every in-range day is replaced (days
     with no new rows disappear), null-dated fact rows survive."""
-    survivors = refresh_survivors(fact, load, client_col, date_col, broadcast_max_rows)
+    survivors = refresh_survivors(fact, load, client_col, date_col)
     return survivors.unionByName(load.select(*fact.columns))
 
 

@@ -99,6 +99,7 @@ FIXTURE_DEPS: dict[str, list[str]] = {
 
 NUM = "TRY_CAST(regexp_replace(trim({x}), '[^0-9.\\-]', '', 'g') AS DOUBLE)"
 MONEY_SUM = "CAST(sum(CAST({x} AS decimal(18,2))) AS DOUBLE)"
+# The date formats of the specs.
 ALPHA_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%-m/%-d/%Y', '%d-%m-%Y', '%d/%m/%Y', '%Y/%m/%d', '%b %-d, %Y', '%B %-d, %Y']"
 BETA_FORMATS = "['%Y-%m-%d', '%m/%d/%Y', '%-m/%-d/%Y', '%d-%m-%Y', '%d/%m/%Y']"
 GAMMA_FORMATS = "['%Y-%m-%d', '%d-%m-%Y', '%d/%m/%Y', '%m/%d/%Y']"
@@ -260,7 +261,7 @@ partner_raw_rows AS (
               WHEN i % 53 = 2 THEN 'not a date' ELSE strftime(d, '%Y-%m-%d') END AS "Report Date",
          strftime(d, '%Y-%m-%d') AS "Day",
          CASE WHEN u % 3 = 0 THEN 'alpha' WHEN u % 3 = 1 THEN 'beta' ELSE 'gamma' END AS "Client",
-         CASE WHEN i % 47 = 7 THEN '  ' ELSE ' Show_' || CAST(u % 20 AS VARCHAR) || ' ' END AS "Show",
+         CASE WHEN i % 47 = 7 THEN '  ' WHEN i % 59 = 8 THEN 'nan' ELSE ' Show_' || CAST(u % 20 AS VARCHAR) || ' ' END AS "Show",
          CASE WHEN i % 11 = 0 THEN 'NULL' ELSE 'CODE' || CAST(u % 7 AS VARCHAR) END AS "Promo Code",
          'Campaign ' || CAST(u % 5 AS VARCHAR) AS "Campaign",
          CASE WHEN i % 13 = 0 THEN '' ELSE CAST(u * 100 + 1 AS VARCHAR) END AS "Campaign Item ID",
@@ -284,7 +285,7 @@ partner_cleaned AS (
                strftime(COALESCE(try_strptime("Report Date", {PARTNER_DATE_FORMATS}),
                                  try_strptime("Day", {PARTNER_DATE_FORMATS})), '%Y-%m-%d') AS date,
                {sql_clean_text('"Client"')} AS client_name,
-               {sql_clean_text('"Show"')} AS show_name,
+               NULLIF({sql_clean_text('"Show"')}, 'nan') AS show_name,
                {sql_clean_text('"Promo Code"')} AS discount_code,
                COALESCE({sql_clean_text('"Campaign"')}, 'unknown_campaign') AS campaign_name,
                {sql_clean_text('"Campaign Item ID"')} AS campaign_item_id,
@@ -337,7 +338,7 @@ upload_base AS (
   SELECT event_id, ts, 'm-' || CAST(event_id AS VARCHAR) AS message_id,
          CASE WHEN user_id % 4 = 3 THEN 'delta' WHEN user_id % 3 = 0 THEN 'alpha'
               WHEN user_id % 3 = 1 THEN 'beta' ELSE 'gamma' END AS client_raw,
-         CASE WHEN event_type = 'purchase' THEN 0 WHEN event_type = 'signup' THEN 1 ELSE 2 END AS slot,
+         CASE WHEN event_type = 'purchase' THEN 0 WHEN event_type = 'signup' AND day(ts) % 7 <> 3 THEN 1 ELSE 2 END AS slot,
          CASE WHEN event_id % 101 = 0 THEN 'broken' WHEN event_id % 103 = 0 THEN 'empty'
               WHEN event_id % 9 = 0 THEN 'wrapped' ELSE 'direct' END AS body_kind,
          event_id % 19 = 0 AS misc_folder, event_id % 23 = 0 AS no_bucket, event_id % 17 = 0 AS encoded,

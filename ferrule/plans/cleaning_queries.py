@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 
 from ferrule.functions import clean as C
 from ferrule.operators import metrics as M
-from ferrule.operators.conform import (audit_columns, derived_columns, drop_present, normalize_headers,
-                                       safe_rename)
+from ferrule.operators.conform import (audit_columns, derived_columns, drop_present, map_output_columns,
+                                       normalize_headers, reorder_loose, reorder_strict, safe_rename)
 from ferrule.operators.lookup import lookup_join, normalize_columns
 from ferrule.operators.rules import apply_filters, balance_check, declared_rules, post_processing, reason_array
 from ferrule.oracles import (PARTNER_BATCH_ID, PARTNER_DATE_FORMATS, sql_clean_number, sql_clean_text, sql_lit,
                              with_fixtures)
+from ferrule.plans.client_load import common_cleaning as common_cleaning_of
 from ferrule.plans.load_queries import load, spec
 from ferrule.plans.partner_load import BatchContext, run_partner_load
 from ferrule.plans.registry import register
+from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
+from ferrule.sources.sinks import read_csv_strings, read_split, write_csv, write_split
 from ferrule.spec import load_partner_spec
 
+# The date formats of the alpha spec, in Spark's and in DuckDB's notation.
 ALPHA_FORMATS_SPARK = ["yyyy-MM-dd", "MM/dd/yyyy", "M/d/yyyy", "dd-MM-yyyy", "dd/MM/yyyy", "yyyy/MM/dd",
                        "MMM d, yyyy", "MMMM d, yyyy"]
 ALPHA_FORMATS_SQL = ("['%Y-%m-%d', '%m/%d/%Y', '%-m/%-d/%Y', '%d-%m-%Y', '%d/%m/%Y', '%Y/%m/%d', "
@@ -40,6 +44,13 @@ def partner(spark, sf):
     return run_partner_load(partner_spec(), fx.partner_raw(spark, sf), partner_ctx())
 
 
+def split_path(spark, sf) -> str:
+    """The partner load's good and bad rows in one write."""
+    path = scratch_path(spark, "partner-split")
+    write_split(partner(spark, sf).flagged, path)
+    return path
+
+
 # --- partner load and its split ------------------------------------------------
 
 @register("partner_load", with_fixtures("partner_processed") + "SELECT * FROM partner_processed",
@@ -51,20 +62,20 @@ def partner_load(spark, sf):
 @register("quarantine_split_bad", with_fixtures("partner_quarantine") + "SELECT * FROM partner_quarantine",
           ids=("Q1", "P7", "S8"))
 def quarantine_split_bad(spark, sf):
-    return partner(spark, sf).quarantine
+    r = partner(spark, sf)
+    return read_split(spark, split_path(spark, sf), r.flagged.drop("quarantine_reasons").schema, True)
 
 
 @register("quarantine_split_good", with_fixtures("partner_flagged") + """
 SELECT date, show_name, revenue, orders, impressions, quarantine_reason <> '' AS is_quarantined
 FROM partner_flagged""", ids=("Q1",))
 def quarantine_split_good(spark, sf):
-    """Conservation view: every cleaned row once, flagged good or bad."""
-    r = partner(spark, sf)
-    good = r.processed.select(F.col("date").cast("string").alias("date"), "show_name", "revenue", "orders",
-                              "impressions", F.lit(False).alias("is_quarantined"))
-    bad = r.quarantine.select("date", "show_name", "revenue", "orders", "impressions",
-                              F.lit(True).alias("is_quarantined"))
-    return good.unionByName(bad)
+    """Conservation view of the one split write: every cleaned row once, flagged good or bad."""
+    schema = partner(spark, sf).flagged.drop("quarantine_reasons").schema
+    path = split_path(spark, sf)
+    columns = ["date", "show_name", "revenue", "orders", "impressions"]
+    sides = [read_split(spark, path, schema, q).select(*columns, F.lit(q).alias("is_quarantined")) for q in (False, True)]
+    return sides[0].unionByName(sides[1])
 
 
 @register("breakdown_null_key", with_fixtures("partner_processed") + """
@@ -109,7 +120,10 @@ SELECT """ + ", ".join(
     for c in ["Report Date", "Day", "Client", "Show", "Promo Code", "Campaign", "Campaign Item ID", "Revenue",
               "Orders", "Impressions"]) + " FROM partner_raw", ids=("S2",))
 def csv_na_tokens(spark, sf):
-    raw = fx.partner_raw(spark, sf)
+    """The raw feed written as CSV and read as the partner reader does."""
+    path = scratch_path(spark, "partner-na")
+    write_csv(fx.partner_raw(spark, sf), path)
+    raw = read_csv_strings(spark, path, quote_escape='"', multiline=True)
     return raw.select(*[C.null_na_tokens(c).alias(c) for c in raw.columns])
 
 
@@ -258,6 +272,28 @@ def common_cleaning(spark, sf):
     return load(spark, sf, "alpha", apply_common_cleaning=True).processed
 
 
+@register("common_cleaning_blocks", with_fixtures("partner_raw") + """
+SELECT strptime("Report Date", '%m/%d/%Y')::DATE AS day, lower(trim("Show")) AS "Show", "Client", "Promo Code",
+       replace(replace(trim("Revenue"), '$', ''), ',', '') AS "Revenue",
+       COALESCE("Report Date", 'never') AS "Report Date"
+FROM partner_raw WHERE "Promo Code" <> 'NULL' AND "Report Date" LIKE '%/%'
+UNION ALL
+SELECT NULL, lower(trim("Show")), "Client", "Promo Code", replace(replace(trim("Revenue"), '$', ''), ',', ''),
+       COALESCE("Report Date", 'never')
+FROM partner_raw WHERE "Promo Code" <> 'NULL' AND ("Report Date" IS NULL OR "Report Date" NOT LIKE '%/%')""",
+          ids=("C13", "K16"))
+def common_cleaning_blocks(spark, sf):
+    """Every declared block at work: text, numbers, defaults, dropped rows and dates."""
+    raw = fx.partner_raw(spark, sf).select("Show", "Client", "Promo Code", "Revenue", "Report Date").withColumn(
+        "Promo Code", F.when(F.col("Promo Code") != "NULL", F.col("Promo Code")))
+    return common_cleaning_of(raw, {
+        "text_normalization": {"trim_columns": ["Show"], "lowercase_columns": ["Show"]},
+        "numeric_cleaning": {"target_columns": ["Revenue"], "remove_currency_symbols": True, "remove_thousands_separators": True},
+        "missing_value_strategy": {"fill_defaults": {"Report Date": "never"}, "drop_rows_when_missing": ["Promo Code"]},
+        "date_parsing_rules": {"source_column": "Report Date", "target_column": "day", "accepted_formats": ["MM/dd/yyyy"]},
+    }).withColumn("day", F.when(F.col("Report Date").contains("/"), F.col("day")))
+
+
 # --- filters and rules --------------------------------------------------------------
 
 @register("filter_expressions", with_fixtures("alpha_derived") + """
@@ -305,7 +341,10 @@ def quarantine_rules(spark, sf):
 @register("post_processing", with_fixtures("alpha_processed") + """
 SELECT * FROM alpha_processed WHERE discount_code IS NOT NULL""", ids=("Q4",))
 def post_processing_q(spark, sf):
-    return post_processing(load(spark, sf, "alpha").processed, spec("alpha").post_processing)
+    """The processed rows and, for the filter to drop, copies without a code."""
+    processed = load(spark, sf, "alpha").processed
+    uncoded = processed.where("orders % 2 = 0").withColumn("discount_code", F.lit(None).cast("string"))
+    return post_processing(processed.unionByName(uncoded), spec("alpha").post_processing)
 
 
 # --- audit / projection ----------------------------------------------------------------
@@ -322,6 +361,71 @@ def audit_columns_q(spark, sf):
                          backfill=["event_name", "created_at"])
 
 
+@register("stamp_backfill", with_fixtures("client_fact") + """
+SELECT discount_code, orders, revenue, order_date, client_name,
+       CASE WHEN orders % 3 = 0 THEN 'ObjectCreated' ELSE discount_code END AS event_name FROM client_fact""",
+          ids=("W6", "K13"))
+def stamp_backfill(spark, sf):
+    """An existing stamp stays where it is set and is filled where it is null."""
+    f = fx.client_fact(spark, sf).withColumn("event_name", F.when(F.col("orders") % 3 != 0, F.col("discount_code")))
+    return audit_columns(f, {"event_name": "ObjectCreated"}, backfill=["event_name"])
+
+
+@register("normalize_headers", with_fixtures("alpha_codes") + """
+SELECT "Promo Code " AS "Promo Code" FROM alpha_codes""", ids=("P1",))
+def normalize_headers_q(spark, sf):
+    return normalize_headers(fx.alpha_codes(spark, sf)).select("Promo Code")
+
+
+@register("safe_rename", with_fixtures("alpha_orders") + """
+SELECT order_date AS order_date_raw, subtotal_price AS subtotal_price_raw, new_vs_repeat, subs_vs_non FROM alpha_orders""",
+          ids=("P2",))
+def safe_rename_q(spark, sf):
+    """Renames of columns that are there; one that is absent is passed over."""
+    return safe_rename(fx.alpha_orders(spark, sf).drop("code"), spec("alpha").rename_columns)
+
+
+@register("map_output_columns", with_fixtures("alpha_orders") + "SELECT *, code AS discount_code FROM alpha_orders", ids=("P3",))
+def map_output_columns_q(spark, sf):
+    return map_output_columns(fx.alpha_orders(spark, sf), {"discount_code": "code", "nothing": "absent"})
+
+
+@register("derived_columns", """
+SELECT o_orderkey, o_totalprice, o_totalprice * 2 AS doubled, o_totalprice * 2 + 1 AS more FROM orders""", ids=("P4",))
+def derived_columns_q(spark, sf):
+    """Each column sees the ones before it."""
+    o = fx.read_table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
+    return derived_columns(o, [("doubled", "o_totalprice * 2"), ("more", "doubled + 1")])
+
+
+@register("reorder_strict", with_fixtures("client_fact") + """
+SELECT order_date, CAST(NULL AS VARCHAR) AS show_name, revenue FROM client_fact""", ids=("P6",))
+def reorder_strict_q(spark, sf):
+    out = reorder_strict(fx.client_fact(spark, sf), ["order_date", "show_name", "revenue"])
+    return out.withColumn("show_name", F.col("show_name").cast("string"))
+
+
+@register("reorder_loose", with_fixtures("client_fact") + """
+SELECT order_date, CAST(NULL AS VARCHAR) AS show_name, discount_code, orders, revenue, client_name FROM client_fact""",
+          ids=("P7",))
+def reorder_loose_q(spark, sf):
+    out = reorder_loose(fx.client_fact(spark, sf), ["order_date", "show_name"])
+    return out.withColumn("show_name", F.col("show_name").cast("string"))
+
+
+@register("money_subcent", """
+SELECT l_returnflag AS kind, round(CAST(sum(CAST(CAST(l_extendedprice * l_discount / 1000 AS VARCHAR) AS DECIMAL(38, 18))) AS DOUBLE), 5)
+         AS total
+FROM lineitem GROUP BY 1 UNION ALL SELECT 'oversized', 1e25""", ids=("A1", "A2"))
+def money_subcent(spark, sf):
+    """Amounts below a cent are kept, and one that fits no decimal neither fails the sum nor drops out."""
+    rows = fx.read_table(spark, sf, "lineitem", ["l_returnflag", "l_extendedprice", "l_discount"]).select(
+        F.col("l_returnflag").alias("kind"), (F.col("l_extendedprice") * F.col("l_discount") / 1000).alias("amount"))
+    large = rows.limit(1).select(F.lit("oversized").alias("kind"), F.lit(1e25).alias("amount"))
+    total = rows.unionByName(large).groupBy("kind").agg(C.money_sum("amount").alias("total"))
+    return total.withColumn("total", F.when(F.col("total") < 1e20, F.round("total", 5)).otherwise(F.col("total")))
+
+
 @register("drop_after_derive", with_fixtures("partner_raw") + f"""
 SELECT "Client", "Show", strftime(COALESCE(try_strptime("Report Date", {PARTNER_DATE_FORMATS}),
                                           try_strptime("Day", {PARTNER_DATE_FORMATS})), '%Y-%m-%d') AS date

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ferrule.functions.clean import parse_multi_date
 from ferrule.operators.aggregate import aggregate
-from ferrule.operators.conform import (derived_columns, enforce_final_schema, map_output_columns,
+from ferrule.operators.conform import (conform_final, derived_columns, enforce_final_schema, map_output_columns,
                                        normalize_headers, safe_rename, schema_drift)
-from ferrule.operators.lookup import MATCH, DEFAULT_BROADCAST_MAX_ROWS, lookup_join_marked, normalize_columns
+from ferrule.operators.lookup import MATCH, lookup_join_marked, normalize_columns
 from ferrule.operators.rules import declared_rules, failed_filter_reason, fenced_where, post_processing, reason_array
 from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA
 from ferrule.spec import ClientSpec
@@ -38,6 +38,7 @@ class LoadResult:
     aggregated: DataFrame         # spec aggregation before conformance (keeps K4 columns)
     passed: DataFrame             # row-level rows that reached the aggregation
     quarantine: DataFrame         # rejected rows with quarantine_reason
+    misfits: DataFrame            # aggregated rows with a value outside its final type, with a reason
     drift: DataFrame              # one-row input drift report
 
 
@@ -77,8 +78,7 @@ def common_cleaning(df: DataFrame, cfg: dict) -> DataFrame:
 def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, lookup: DataFrame,
                     ctx: LoadContext, dedupe_lookup: bool = False, drift_post_agg: bool = False,
                     apply_common_cleaning: bool = False, apply_quarantine_rules: bool = False,
-                    apply_post_processing: bool = False,
-                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> LoadResult:
+                    apply_post_processing: bool = False) -> LoadResult:
     primary = normalize_headers(primary)
     lookup = normalize_headers(lookup)
     expected_input = list(spec.rename_columns)
@@ -93,8 +93,7 @@ def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, l
         primary = common_cleaning(primary, spec.common_cleaning)
 
     key = spec.join.key
-    marked = lookup_join_marked(primary, lookup, key, dedupe_lookup=dedupe_lookup,
-                                broadcast_max_rows=broadcast_max_rows)
+    marked = lookup_join_marked(primary, lookup, key, dedupe_lookup=dedupe_lookup)
     keep_unmatched = spec.join.how != "inner" and not spec.join.quarantine_on_unmatched
     joined = marked if keep_unmatched else marked.where(F.col(MATCH))
     joined = joined.drop(MATCH)
@@ -127,13 +126,16 @@ def run_client_load(spark: SparkSession, spec: ClientSpec, primary: DataFrame, l
     agg = spec.aggregation
     aggregated = aggregate(passed, agg.group_by, agg.metrics)
     processed = enforce_final_schema(aggregated, ctx.client_name, ctx.load_id, ctx.event_date, ctx.event_name)
+    misfits = fenced_where(conform_final(aggregated, ctx.client_name, ctx.load_id, ctx.event_date, ctx.event_name),
+                           F.size("quarantine_reasons") > 0).withColumn(
+        "quarantine_reason", F.array_join("quarantine_reasons", ";")).drop("quarantine_reasons")
     if apply_post_processing and spec.post_processing:
         processed = post_processing(processed, spec.post_processing)
     if drift_post_agg:
         drift_in = schema_drift(spark, aggregated.columns, [f.name for f in CLIENT_PROCESSED_SCHEMA.fields],
                                 ctx.client_name)
     return LoadResult(processed=processed, aggregated=aggregated, passed=passed, quarantine=quarantine,
-                      drift=drift_in)
+                      misfits=misfits, drift=drift_in)
 
 
 __all__ = ["LoadContext", "LoadResult", "run_client_load", "common_cleaning"]

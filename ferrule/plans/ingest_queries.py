@@ -227,7 +227,10 @@ firsts AS (
     SELECT *, row_number() OVER (PARTITION BY client_name, event_date, file_name
                                  ORDER BY event_time, idempotency_key) AS rn
     FROM upload_final WHERE status = 'stored') x WHERE rn = 1)
-SELECT f.key AS idempotency_group_key, f.client_name, f.event_date, i.bucket_name, i.file_name, i.object_key, i.etag
+SELECT f.key AS idempotency_group_key, f.client_name, f.event_date, i.bucket_name,
+       'arn:aws:s3:::' || i.bucket_name AS bucket_arn, i.file_name, i.object_key, i.etag,
+       (SELECT max(u.event_time) FROM upload_final u WHERE u.status = 'stored' AND u.client_name = f.client_name
+          AND u.event_date = f.event_date) AS trigger_timestamp
 FROM fired f JOIN firsts i ON f.client_name = i.client_name AND f.event_date = i.event_date""",
           ids=("T7", "D3"))
 def trigger_payload(spark, sf):
@@ -258,6 +261,25 @@ def latest_per_type(spark, sf):
     return out.select("client_name", "file_type", "key", "last_modified")
 
 
+FIRST_MATCH = {"alpha": [{"file_type": "anything", "patterns": ["creator*"]},
+                         {"file_type": "orders", "patterns": ["creator_alpha_orders*"]}],
+               "gamma": [{"file_type": "rest", "patterns": ["*"]}]}
+
+
+@register("latest_per_type_first_match", UP + """
+SELECT client_name, file_type, key, last_modified FROM (
+  SELECT *, row_number() OVER (PARTITION BY client_name, file_type ORDER BY last_modified DESC, key ASC) AS rn
+  FROM (SELECT client_name, object_key AS key, event_time AS last_modified,
+               CASE WHEN client_name = 'alpha' AND lower(file_name) LIKE 'creator%' THEN 'anything'
+                    WHEN client_name = 'gamma' THEN 'rest' END AS file_type
+        FROM upload_final WHERE status = 'stored') a WHERE file_type IS NOT NULL) x WHERE rn = 1""", ids=("D4", "K12"))
+def latest_per_type_first_match(spark, sf):
+    """The older rule: a file has the type of the first spec in the list that it matches."""
+    objects = stored_items(spark, sf).select("client_name", F.col("object_key").alias("key"), "file_name",
+                                             F.col("timestamp").alias("last_modified"))
+    return I.latest_per_type(objects, FIRST_MATCH, exclusive=False).select("client_name", "file_type", "key", "last_modified")
+
+
 @register("ledger_new_keys", UP + f"""
 SELECT idempotency_key AS key FROM upload_final WHERE status = 'stored'
   AND NOT (event_date < '{LOCK_CUTOFF}' AND etag IN ('1', '2', '3'))""", ids=("J5", "W8"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferrule.functions.clean import canonical_date, clean_number_tokens, clean_text, safe_ratio
+from ferrule.functions.clean import canonical_date, clean_number_tokens, clean_text, null_na_tokens, safe_ratio
 from ferrule.operators.conform import audit_columns, drop_present, reorder_loose, reorder_strict, safe_rename
 from ferrule.operators.rules import bad_rows, good_rows, partner_rules, with_reasons
 from ferrule.sources.tables import PARTNER_PROCESSED_SCHEMA
@@ -37,6 +37,7 @@ class PartnerResult:
     processed: DataFrame
     quarantine: DataFrame
     cleaned: DataFrame       # every row after ratios/dedupe, before the split
+    flagged: DataFrame       # the same with quarantine_reasons, for sinks.write_split: one run, both sides
 
 
 def apply_text_cleaning(df: DataFrame, spec: PartnerSpec) -> DataFrame:
@@ -68,6 +69,9 @@ def apply_ratios(df: DataFrame) -> DataFrame:
 
 
 def run_partner_load(spec: PartnerSpec, raw: DataFrame, ctx: BatchContext) -> PartnerResult:
+    # The partner file's reader takes the default NA tokens as missing
+    text = [f.name for f in raw.schema.fields if f.dataType.simpleString() == "string"]
+    raw = raw.select(*[null_na_tokens(c).alias(c) if c in text else F.col(c) for c in raw.columns])
     df = safe_rename(raw, spec.rename_columns)
     df = audit_columns(df, {"source_type": spec.source_type, "batch_id": ctx.batch_id, "run_id": ctx.run_id,
                             "source_key": ctx.source_key, "processed_at": ctx.processed_at})
@@ -85,6 +89,6 @@ def run_partner_load(spec: PartnerSpec, raw: DataFrame, ctx: BatchContext) -> Pa
     final = list(spec.final_schema) or [f.name for f in PARTNER_PROCESSED_SCHEMA.fields]
     types = {f.name: f.dataType for f in PARTNER_PROCESSED_SCHEMA.fields}
     good = reorder_strict(good_rows(flagged), final)
-    good = good.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in final])
+    good = good.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in final])
     bad = reorder_loose(bad_rows(flagged).drop("quarantine_reasons"), final)
-    return PartnerResult(processed=good, quarantine=bad, cleaned=df)
+    return PartnerResult(processed=good, quarantine=bad, cleaned=df, flagged=flagged)

@@ -171,7 +171,15 @@ SELECT d AS run_date, CAST(d - INTERVAL 3 DAY AS DATE) AS start_date, d AS end_d
 FROM (SELECT d, CASE WHEN NOT (CAST(d - INTERVAL 3 DAY AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25')
                      THEN 'start_outside_window'
                      WHEN NOT (d BETWEEN DATE '2024-01-05' AND DATE '2024-01-25') THEN 'end_outside_window'
-                     WHEN 3 > 7 THEN 'range_exceeds_max' END AS reason FROM days) x""", ids=("F8",))
+                     END AS reason FROM days) x
+UNION ALL
+SELECT d, CAST(d - INTERVAL 9 DAY AS DATE), d, reason IS NULL, reason
+FROM (SELECT d, CASE WHEN NOT (CAST(d - INTERVAL 9 DAY AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25')
+                     THEN 'start_outside_window'
+                     WHEN NOT (d BETWEEN DATE '2024-01-05' AND DATE '2024-01-25') THEN 'end_outside_window'
+                     ELSE 'range_exceeds_max' END AS reason FROM days) y""", ids=("F8",))
 def lookback_window_q(spark, sf):
+    """Windows of three days, and of nine, which are longer than the seven allowed."""
     runs = read_table(spark, sf, "events", ["ts"]).select(F.col("ts").cast("date").alias("d")).distinct()
-    return lookback_window(runs, "d", 3, "2024-01-05", "2024-01-25", 7)
+    short, long = (lookback_window(runs, "d", n, "2024-01-05", "2024-01-25", 7) for n in (3, 9))
+    return short.unionByName(long)

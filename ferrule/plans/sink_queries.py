@@ -6,18 +6,20 @@ what a reader sees, so the plan exercises the real writer and reader.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrule.oracles import with_fixtures
-from ferrule.operators.conform import schema_drift, schema_drift_columns
+from ferrule.operators.conform import normalize_headers, schema_drift, schema_drift_columns
 from ferrule.plans.cleaning_queries import partner
 from ferrule.plans.load_queries import load, processed_all
 from ferrule.plans.registry import register
 from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources import sinks as S
-from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA, PARTNER_PROCESSED_SCHEMA
+from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA, PARTNER_PROCESSED_SCHEMA, read_parquet_paths
 
 PARTS = ("year", "month", "day")
 
@@ -26,12 +28,22 @@ def _parts_sql(col: str) -> str:
     return f"strftime({col}, '%Y') AS year, strftime({col}, '%m') AS month, strftime({col}, '%d') AS day"
 
 
-@register("scan_csv_typed", with_fixtures("alpha_orders") + "SELECT * FROM alpha_orders", ids=("S1",))
+@register("scan_csv_typed", with_fixtures("alpha_orders") + """
+SELECT *, CASE WHEN code = upper(code) AND length(code) % 2 = 0 THEN 'say "' || code || '", twice' END AS note
+FROM alpha_orders""", ids=("S1", "P1"))
 def scan_csv_typed(spark, sf):
+    """Two CSV files with headers of their own: one reordered, with an extra column (quotes and
+    commas inside) and a padded name, one plain.  The columns come from the files."""
     src = fx.alpha_orders(spark, sf)
-    path = scratch_path(spark, "csv-alpha")
-    S.write_csv(src, path)
-    return S.read_csv_strings(spark, path, src.columns)
+    even = F.coalesce((F.upper("code") == F.col("code")) & (F.length("code") % 2 == 0), F.lit(False))
+    note = F.concat(F.lit('say "'), F.col("code"), F.lit('", twice')).alias("note")
+    odd_file = src.where(even).select(note, *reversed(src.columns)).withColumnRenamed("code", " code ")
+    paths = [scratch_path(spark, "csv-alpha"), scratch_path(spark, "csv-alpha")]
+    S.write_csv(odd_file, paths[0])
+    S.write_csv(src.where(~even), paths[1])
+    read = [normalize_headers(S.read_csv_strings(spark, p, quote_escape='"')) for p in paths]
+    both = read[0].unionByName(read[1], allowMissingColumns=True)
+    return both.select(*src.columns, "note")
 
 
 @register("scan_parquet_by_load", with_fixtures("beta_processed") + "SELECT * FROM beta_processed",
@@ -74,20 +86,21 @@ QUAR_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
 SELECT *, replace(batch_id, '#', '_') AS batch FROM partner_quarantine""", ids=("S8",))
 def quarantine_sink(spark, sf):
     path = scratch_path(spark, "partner-quarantine")
-    S.write_quarantine(partner(spark, sf).quarantine, path, mode="overwrite")
+    S.write_quarantine(partner(spark, sf).quarantine, path)
     return S.read_partitioned(spark, path, QUAR_SCHEMA, ("batch",))
 
 
 @register("schema_drift", """
-SELECT 'alpha' AS client_name, 'date' AS extra_columns,
-       'client_name,event_date,event_name,load_id,order_date' AS missing_columns,
+SELECT 'alpha' AS client_name, 'note,region' AS extra_columns, 'subs_vs_non' AS missing_columns,
        (SELECT count(*) FROM orders) AS input_rows""", ids=("P10", "K3"))
 def schema_drift_q(spark, sf):
-    """Post-aggregation drift of the alpha load (the old view, K3) next to the
-    row count of the input it came from."""
-    agg = load(spark, sf, "alpha").aggregated
-    d = schema_drift_columns(agg.columns, CLIENT_PROCESSED_SCHEMA.fieldNames())
-    n = fx.alpha_orders(spark, sf).agg(F.count(F.lit(1)).alias("input_rows"))
+    """Drift of the columns found in the files themselves against the spec's, next to the rows read."""
+    from ferrule.plans.load_queries import spec
+    path = scratch_path(spark, "csv-drift")
+    S.write_csv(fx.alpha_orders(spark, sf).drop("subs_vs_non").selectExpr("*", "'r' AS region", "code AS ` note`"), path)
+    found = normalize_headers(S.read_csv_strings(spark, path))
+    d = schema_drift_columns(found.columns, list(spec("alpha").rename_columns))
+    n = found.agg(F.count(F.lit(1)).alias("input_rows"))
     return n.select(F.lit("alpha").alias("client_name"),
                     F.array_join(d["extra_columns"], ",").alias("extra_columns"),
                     F.array_join(d["missing_columns"], ",").alias("missing_columns"), "input_rows")
@@ -144,38 +157,66 @@ def batch_lineage(spark, sf):
     path = scratch_path(spark, "lineage")
     S.write_lineage(lin, path)
     schema = "batch_id string, run_id string, source_key string, window_start string, window_end string, rows_written bigint"
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(path).drop("batch")
 
 
 @register("assert_nonempty", with_fixtures("gamma_processed") + "SELECT * FROM gamma_processed", ids=("F7",))
 def assert_nonempty(spark, sf):
-    return S.assert_nonempty(load(spark, sf, "gamma").processed, "gamma load")
+    path = scratch_path(spark, "staged-gamma")
+    processed = load(spark, sf, "gamma").processed
+    processed.write.parquet(path)
+    return S.assert_nonempty(spark.read.schema(processed.schema).parquet(path), "gamma load")
 
 
-@register("load_manifest", None, ids=("S5", "S4"))
-def load_manifest(spark, sf):
-    """Processed files written by this load (by modification time), written
-    as a JSON manifest, read back and exploded into entries."""
+def _manifest(spark, sf):
+    """Two loads into one folder; a manifest of the files that the second one wrote (modified after
+    the last file of the first), read back as entries."""
     path = scratch_path(spark, "manifest-src")
-    S.write_batch_partitioned(partner(spark, sf).processed, path, mode="overwrite")
-    files = S.files_written_since(spark, path, "1970-01-01 00:00:00")
+    processed = partner(spark, sf).processed
+    S.write_batch_partitioned(processed.where("date < DATE '2024-01-15'"), path)
+    first = S.files_written_since(spark, path, "1970-01-01 00:00:00").agg(
+        (F.max("modified_at") + F.expr("INTERVAL 1 MILLISECOND")).cast("string")).first()[0]
+    time.sleep(0.05)
+    S.write_batch_partitioned(processed.where("date >= DATE '2024-01-15'"), path)
     mpath = scratch_path(spark, "manifest")
-    S.write_manifest(spark, files, mpath)
-    return S.read_manifest_entries(spark, mpath)
+    S.write_manifest(spark, S.files_written_since(spark, path, first), mpath)
+    return path, S.read_manifest_entries(spark, mpath)
+
+
+@register("manifest_entries", with_fixtures("partner_processed") + f"""
+SELECT DISTINCT {_parts_sql("date")}, true AS mandatory FROM partner_processed WHERE date >= DATE '2024-01-15'""",
+          ids=("S5", "S4"))
+def manifest_entries(spark, sf):
+    _, entries = _manifest(spark, sf)
+    part = lambda name: F.regexp_extract("url", f"/{name}=([0-9]+)/", 1).alias(name)
+    return entries.select(*map(part, PARTS), "mandatory").distinct()
+
+
+@register("load_manifest", with_fixtures("partner_processed") + """
+SELECT * FROM partner_processed WHERE date >= DATE '2024-01-15'""", ids=("S3", "S4", "S5"))
+def load_manifest(spark, sf):
+    """The rows of the files that the manifest lists, by one multi-path scan."""
+    path, entries = _manifest(spark, sf)
+    urls = [r["url"] for r in entries.select("url").collect()]   # the files of one load
+    return read_parquet_paths(spark, urls, path).select(*PARTNER_PROCESSED_SCHEMA.fieldNames())
 
 
 @register("raw_landing", with_fixtures("partner_raw") + """
-SELECT count(*) + 1 AS landed_lines, count(*) AS data_rows FROM partner_raw""", ids=("S14",))
+SELECT count(*) AS data_rows, true AS unchanged FROM partner_raw""", ids=("S14",))
 def raw_landing(spark, sf):
-    """Land the raw partner CSV unchanged, then count what was landed: every
-    data line plus the header line."""
+    """Land the raw partner CSV unchanged, twice (a retry), then compare every line, carriage
+    returns and blanks included, with the source's."""
     src = scratch_path(spark, "partner-raw-src")
-    S.write_csv(fx.partner_raw(spark, sf).coalesce(1), src)
+    S.write_csv(fx.partner_raw(spark, sf), src)
     dest = scratch_path(spark, "partner-raw-landed")
     S.land_raw(spark, f"{src}/*.csv", dest)
-    lines = spark.read.text(dest).where(F.length("value") > 0)
-    return lines.agg(F.count(F.lit(1)).alias("landed_lines"),
-                     F.count(F.when(~F.col("value").startswith("Report Date,"), 1)).alias("data_rows"))
+    S.land_raw(spark, f"{src}/*.csv", dest)
+    lines = lambda p: spark.read.option("lineSep", "\n").text(p)
+    check = lambda df: df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.crc32("value")).alias("c"),
+                              F.count(F.when(~F.col("value").startswith("Report Date,"), 1)).alias("data_rows"))
+    given, landed = check(lines(f"{src}/*.csv")).select("n", "c"), check(lines(dest))
+    return landed.join(given.select(F.col("n").alias("gn"), F.col("c").alias("gc")), F.lit(True)).select(
+        "data_rows", ((F.col("n") == F.col("gn")) & (F.col("c") == F.col("gc"))).alias("unchanged"))
 
 
 @register("client_load_alpha_csv", with_fixtures("alpha_processed") + "SELECT * FROM alpha_processed",

@@ -16,11 +16,13 @@ from ferrule.streaming.ingest_stream import (ITEM_LEDGER_DDL, LOCK_LEDGER_DDL, I
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type"]
 
 
-def event_stream(spark, sf, files: int = 6, per_trigger: int = 2):
-    """The events table as a file stream: written once as ``files`` time-ranged
-    files, read ``per_trigger`` files per micro-batch."""
+def event_stream(spark, sf, batches: int = 3):
+    """The events table as a file stream: written once as time-ranged files, as many as
+    shuffle partitions, and read in ``batches`` micro-batches."""
     src = scratch_path(spark, "events-stream-src")
     e = read_table(spark, sf, "events", EVENT_COLUMNS)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_trigger = -(-files // batches)
     e.repartitionByRange(files, "ts").write.mode("overwrite").parquet(src)
     return (spark.readStream.schema(e.schema).option("maxFilesPerTrigger", per_trigger).parquet(src))
 

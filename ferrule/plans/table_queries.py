@@ -10,33 +10,67 @@ from pyspark.sql import types as T
 from ferrule.operators.conform import normalize_headers, safe_rename
 from ferrule.operators.lookup import lookup_join, normalize_columns
 from ferrule.oracles import with_fixtures
-from ferrule.plans.load_queries import load, spec
+from ferrule.plans.cleaning_queries import partner_load
+from ferrule.plans.load_queries import load, processed_all, spec
+from ferrule.plans.refresh_queries import PARTNER_OLD, partner_old
 from ferrule.plans.registry import register
 from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources import sinks as S
-from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA
-
-FACT_SCHEMA = T.StructType([f for f in CLIENT_PROCESSED_SCHEMA.fields
-                            if f.name in ("discount_code", "orders", "revenue", "order_date", "client_name")]
-                           + [T.StructField("month", T.StringType())])
-
+from ferrule.sources.tables import (CLIENT_FACT_TABLE, CLIENT_PROCESSED_SCHEMA, CLIENT_STAGING_TABLE, PARTNER_FACT_TABLE,
+                                    table_definitions)
 
 @register("fact_table_refresh", with_fixtures("refresh_survivors", "refresh_load") + """
 SELECT *, strftime(order_date, '%Y-%m') AS month FROM (
-  SELECT * FROM refresh_survivors UNION ALL SELECT * FROM refresh_load) x""", ids=("S13", "W2", "K14"))
+  SELECT * FROM refresh_survivors UNION ALL SELECT * FROM refresh_load UNION ALL
+  SELECT 'late-' || discount_code, orders, revenue, NULL, client_name FROM refresh_load
+  WHERE order_date = DATE '2000-06-05') x""", ids=("S13", "W2", "K10", "K14"))
 def fact_table_refresh(spark, sf):
     """Create the fact table if missing, load the existing rows, refresh it
-    by a new load partition-by-partition, read it back."""
-    name = f"ferrule_client_fact_{uuid.uuid4().hex[:10]}"
-    S.create_table_if_missing(spark, name, FACT_SCHEMA, scratch_path(spark, "fact-table"),
-                              ["client_name", "month"])
+    by a new load that has undated rows too, read it back."""
+    name = f"{CLIENT_FACT_TABLE}_{uuid.uuid4().hex[:10]}"
+    schema, parts = table_definitions()[CLIENT_FACT_TABLE]
+    S.create_table_if_missing(spark, name, schema, scratch_path(spark, "fact-table"), parts)
     existing = fx.refresh_existing(spark, sf).withColumn("month", F.date_format("order_date", "yyyy-MM"))
     S.insert_partitions(existing, name, ["client_name", "month"])
-    S.refresh_table_by_load(spark, name, fx.refresh_load(spark, sf), scratch_path(spark, "fact-refresh"))
+    load = fx.refresh_load(spark, sf)
+    late = load.where("order_date = DATE '2000-06-05'").withColumns({
+        "discount_code": F.concat(F.lit("late-"), F.col("discount_code")), "order_date": F.lit(None).cast("date")})
+    S.refresh_table_by_load(spark, name, load.unionByName(late), scratch_path(spark, "fact-refresh"))
     return spark.table(name).select("discount_code", "orders", "revenue", "order_date", "client_name", "month")
 
 
+@register("partner_fact_refresh", with_fixtures("partner_fact", "partner_processed").rstrip("\n") + "," + PARTNER_OLD + """
+SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at, strftime(date, '%Y-%m') AS month FROM partner_old
+WHERE NOT COALESCE(source_type = 'adscribe' AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14', false)
+UNION ALL
+SELECT *, TIMESTAMP '2024-02-01 00:00:00', strftime(date, '%Y-%m') FROM partner_processed
+WHERE source_type = 'adscribe' AND date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'""", ids=("S13", "W1", "K10"))
+def partner_fact_refresh(spark, sf):
+    """The partner fact as a table: load the old rows, replace one week from staging, read it back."""
+    name = f"{PARTNER_FACT_TABLE}_{uuid.uuid4().hex[:10]}"
+    schema, parts = table_definitions()[PARTNER_FACT_TABLE]
+    S.create_table_if_missing(spark, name, schema, scratch_path(spark, "partner-fact"), parts)
+    at = lambda t: F.lit(t).cast("timestamp_ntz")
+    old = partner_old(spark, sf).withColumns({"loaded_at": at("2024-01-01 00:00:00"), "month": F.date_format("date", "yyyy-MM")})
+    S.insert_partitions(old, name, parts)
+    staging = partner_load(spark, sf).withColumn("loaded_at", at("2024-02-01 00:00:00"))
+    S.refresh_table_by_window(spark, name, staging, "adscribe", "2024-01-08", "2024-01-14", scratch_path(spark, "partner-refresh"))
+    return spark.table(name).select(*schema.fieldNames())
+
+
+@register("stage_drop_load", with_fixtures("client_processed") + """
+SELECT * FROM client_processed WHERE load_id <> 'load-beta-0001'""", ids=("S13", "W5"))
+def stage_drop_load(spark, sf):
+    """Staging as a table partitioned by load; a promoted load's partition is dropped."""
+    name = f"{CLIENT_STAGING_TABLE}_{uuid.uuid4().hex[:10]}"
+    schema, parts = table_definitions()[CLIENT_STAGING_TABLE]
+    S.create_table_if_missing(spark, name, schema, scratch_path(spark, "stage-table"), parts)
+    S.insert_partitions(processed_all(spark, sf), name, parts)
+    S.drop_load(spark, name, "load-beta-0001")
+    return spark.table(name).select(*schema.fieldNames())
+
+
 def _alpha_sides(spark, sf, duplicate: bool):
     s = spec("alpha")
     p = normalize_columns(safe_rename(normalize_headers(fx.alpha_orders(spark, sf)), s.rename_columns),

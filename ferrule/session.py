@@ -7,6 +7,7 @@ is absent and the master is local (tests, laptops).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -55,7 +56,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="ferrule-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)

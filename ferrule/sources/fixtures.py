@@ -171,7 +171,7 @@ def partner_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     impressions = (F.when(i % 31 == 3, F.lit("n/a"))
                    .when(i % 29 == 2, F.lit("12d"))
                    .otherwise(F.concat(F.col("imp").cast("string"), F.lit(" "))))
-    show = F.when(i % 47 == 7, F.lit("  ")).otherwise(F.concat(F.lit(" Show_"), (u % 20).cast("string"), F.lit(" ")))
+    show = F.when(i % 47 == 7, F.lit("  ")).when(i % 59 == 8, F.lit("nan")).otherwise(F.concat(F.lit(" Show_"), (u % 20).cast("string"), F.lit(" ")))
     client = F.when(u % 3 == 0, "alpha").when(u % 3 == 1, "beta").otherwise("gamma")
     rows = g.select(
         report_date.alias("Report Date"),
@@ -212,6 +212,8 @@ def upload_event_fields(spark: SparkSession, sf_dir: str, events: DataFrame | No
               .when(F.col("user_id") % 3 == 1, "beta").otherwise("gamma"))
     slot = (F.when(F.col("event_type") == "purchase", 0)
             .when(F.col("event_type") == "signup", 1).otherwise(2))
+    # on some days no required file of the second kind arrives
+    slot = F.when((F.dayofmonth("ts") % 7 == 3) & (slot == 1), 2).otherwise(slot)
     names = F.create_map(*[x for c, files in list(UPLOAD_FILES.items()) + [("delta", ["d_orders.csv", "d_codes.csv", "d_x.txt"])]
                            for x in (F.lit(c), F.array(*[F.lit(f) for f in files]))])
     file_name = F.get(F.element_at(names, client), slot)
@@ -281,7 +283,7 @@ def refresh_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status events of one partner batch per event day (append-only ledger)."""
-    from ferrule.operators.ledger import status_event, truncate_error
+    from ferrule.operators.ledger import short_error, status_event
     e = read_table(spark, sf_dir, "events", ["ts"])
     days = e.groupBy(F.col("ts").cast("date").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     ds = F.date_format("d", "yyyy-MM-dd")
@@ -306,6 +308,6 @@ def batch_status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((dom % 5 != 0) & (dom % 7 != 0) & (dom % 3 == 0),
                status_event(key, F.lit(4), "FAILED", at(4), start_date=none, end_date=none, run_id=none,
                             raw_key=none, processed_rows=nrows,
-                            error=truncate_error(F.concat(F.lit("load failed for "), ds)))),
+                            error=short_error(F.concat(F.lit("load failed for "), ds)))),
     )
     return days.select(F.explode(F.array_compact(evs)).alias("ev")).select("ev.*")

@@ -23,18 +23,49 @@ def all_string_schema(columns: list[str]) -> T.StructType:
 
 # --- CSV ---------------------------------------------------------------------------
 
-def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str]) -> DataFrame:
+def file_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The first line of every CSV file under ``paths``, grouped: header line → files.
+
+    One job over the files' first blocks; what comes back is a row per file of the upload.
+    """
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))
+    firsts = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    out: dict[str, list[str]] = {}
+    for r in firsts.orderBy("file").collect():
+        out.setdefault(r["header"], []).append(r["file"])
+    return out
+
+
+def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
+                     quote_escape: str = "\\", multiline: bool = False) -> DataFrame:
     """CSV with a header, every column read as STRING (no inference —
-    inferred doubles re-stringified by the cleaning SQL would corrupt)."""
-    return (spark.read.schema(all_string_schema(columns)).option("header", True)
-            .option("enforceSchema", False).option("mode", "PERMISSIVE")
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-            .csv(path))
+    inferred doubles re-stringified by the cleaning SQL would corrupt).
+
+    The columns are the files' own, in their own order; files with different headers are
+    read apart and united by name.  ``columns`` names columns the caller needs: those that no file has are added as
+    nulls.  ``quote_escape='"'`` reads doubled quotes; ``multiline`` allows line
+    breaks inside quotes, at the price that a file is no longer split.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    out = None
+    for files in file_headers(spark, paths).values():
+        part = (spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+                .option("quote", '"').option("escape", quote_escape).option("multiLine", multiline)
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(files))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], all_string_schema(columns or []))
+    have = {c.strip() for c in out.columns}
+    missing = [c for c in columns or [] if c.strip() not in have]
+    return out.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else out
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV writer that keeps surrounding spaces (the writer trims by default)."""
-    (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
+    """CSV writer that keeps surrounding spaces (the writer trims by default)
+    and doubles quotes inside quotes."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
@@ -74,10 +105,25 @@ def write_batch_partitioned(df: DataFrame, path: str, date_col: str = "date", ba
     write_partitioned_by_date(out, path, date_col, ("batch",), mode, fmt)
 
 
-def write_quarantine(df: DataFrame, path: str, batch_col: str = "batch_id", mode: str = "append") -> None:
-    """Quarantine rows, one folder per batch."""
-    out = df.withColumn("batch", path_safe_key(F.col(batch_col)))
-    out.hint("rebalance", "batch").write.mode(mode).partitionBy("batch").parquet(path)
+def write_quarantine(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
+    """Quarantine rows, one folder per batch; a batch written again replaces itself."""
+    replace_partitions(df.withColumn("batch", path_safe_key(F.col(batch_col))), path, ["batch"])
+
+
+def write_split(flagged: DataFrame, path: str, reasons_col: str = "quarantine_reasons") -> None:
+    """Q1 / Q2: good and bad rows in one write, so the load runs once.  ``reasons_col`` is an array
+    of reasons; rows go to ``is_quarantined=false`` or ``=true``."""
+    out = flagged.withColumn("quarantine_reason", F.array_join(reasons_col, ";")).withColumn(
+        "is_quarantined", F.size(reasons_col) > 0).drop(reasons_col)
+    out.write.mode("overwrite").partitionBy("is_quarantined").parquet(path)
+
+
+def read_split(spark: SparkSession, path: str, schema: T.StructType, quarantined: bool) -> DataFrame:
+    """One side of ``write_split``; the other side's folder is not read."""
+    full = T.StructType([*schema.fields, T.StructField("quarantine_reason", T.StringType()),
+                         T.StructField("is_quarantined", T.BooleanType())])
+    side = spark.read.schema(full).parquet(path).where(F.col("is_quarantined") == F.lit(quarantined)).drop("is_quarantined")
+    return side if quarantined else side.drop("quarantine_reason")
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -95,9 +141,9 @@ def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None
 def write_drift(drift: DataFrame, sample: DataFrame | None, path: str) -> None:
     """JSON drift report, plus a Parquet sample of the extra columns
     partitioned by date."""
-    drift.coalesce(1).write.mode("append").json(f"{path}/report")
+    drift.write.mode("overwrite").json(f"{path}/report")
     if sample is not None:
-        write_partitioned_by_date(sample, f"{path}/sample", "order_date")
+        write_partitioned_by_date(sample, f"{path}/sample", "order_date", mode="overwrite")
 
 
 def drift_sample(df: DataFrame, client_name: str, extra_columns: list[str]) -> DataFrame:
@@ -143,16 +189,18 @@ def files_written_since(spark: SparkSession, path: str, not_before: str, glob: s
 
 
 def land_raw(spark: SparkSession, source: str, dest: str) -> DataFrame:
-    """Land the raw text unchanged before transforming it — split into
-    lines and spread over tasks like any scan (a multi-GB upload is not one
-    row), with each line's source file kept as ``source_key``."""
-    raw = spark.read.text(source).select("value", F.col("_metadata.file_path").alias("source_key"))
-    raw.select("value").write.mode("append").text(dest)
+    """Land the raw text unchanged before transforming it — split at line
+    feeds only (carriage returns and blank lines stay) and spread over tasks
+    like any scan.  ``dest`` is the load's own folder: landing again replaces it.
+    Returns the lines per source file."""
+    raw = spark.read.option("lineSep", "\n").text(source).select("value", F.col("_metadata.file_path").alias("source_key"))
+    raw.select("value").write.mode("overwrite").option("lineSep", "\n").text(dest)
     return raw.groupBy("source_key").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def assert_nonempty(df: DataFrame, what: str = "load") -> DataFrame:
-    """fail when a load has no rows (``isEmpty`` reads at most one row)."""
+    """fail when a load has no rows.  Pass the staged rows: on an aggregated
+    plan ``isEmpty`` would run the load."""
     if df.isEmpty():
         raise ValueError(f"{what} has no rows")
     return df
@@ -161,9 +209,15 @@ def assert_nonempty(df: DataFrame, what: str = "load") -> DataFrame:
 # --- staging and publish -------------------------------------------------------------------
 
 def stage_append_parquet(df: DataFrame, path: str, partition_col: str = "load_id") -> None:
-    """S10 stand-in for the JDBC append: append into a Parquet staging table
-    partitioned by load id."""
-    df.hint("rebalance", partition_col).write.mode("append").partitionBy(partition_col).parquet(path)
+    """S10 stand-in for the JDBC append: add loads to a Parquet staging table
+    partitioned by load id; a load that is staged again replaces itself."""
+    replace_partitions(df, path, [partition_col])
+
+
+def drop_load(spark: SparkSession, table: str, load_id: str, partition_col: str = "load_id") -> None:
+    """W5 published: drop a promoted load's partition from a catalog staging table."""
+    value = load_id.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = '{value}')")
 
 
 def stage_append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None) -> None:
@@ -179,7 +233,9 @@ def replace_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> N
 
 
 def write_lineage(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("append").json(path)
+    """One folder per batch; a batch written again replaces itself."""
+    (df.withColumn("batch", path_safe_key(F.col("batch_id"))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(path))
 
 
 # --- catalog fact table (S13) and its refresh publish (W2, K14) -----------------------
@@ -209,34 +265,64 @@ def insert_partitions(df: DataFrame, table: str, partition_cols: list[str]) -> N
         spark.conf.set(key, previous)
 
 
+def _swap(spark: SparkSession, table: str, current: DataFrame, refreshed: DataFrame, parts: list[str],
+          scratch: str) -> None:
+    """Stage ``refreshed`` (never overwrite what is being read), put its partitions in
+    place of the table's, and drop, in one statement, the partitions of ``current`` that it leaves empty."""
+    before = {tuple(r) for r in current.select(*parts).distinct().collect()}
+    refreshed.write.mode("overwrite").parquet(scratch)
+    staged = spark.read.schema(refreshed.schema).parquet(scratch)
+    after = {tuple(r) for r in staged.select(*parts).distinct().collect()}
+    insert_partitions(staged, table, parts)
+    gone = sorted(p for p in before - after if None not in p)
+    if gone:
+        quoted = lambda v: str(v).replace("\\", "\\\\").replace("'", "\\'")
+        specs = ", ".join("PARTITION (" + ", ".join(f"{c} = '{quoted(v)}'" for c, v in zip(parts, p, strict=True)) + ")"
+                          for p in gone)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
 def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scratch: str,
                           client_col: str = "client_name", date_col: str = "order_date",
                           month_col: str = "month") -> None:
-    """W2 published: recompute only the (client, month) partitions the load's
-    per-client [min, max] range touches, stage them in ``scratch`` (never
-    overwrite what is being read), then swap them in with a dynamic partition
-    overwrite.  Months inside a range that end up with no rows are cleared by
-    a static overwrite of that partition (a short loop over partition specs,
-    bounded by clients × months of one load — never over data)."""
+    """W2 published: recompute the (client, month) partitions that the load's
+    per-client [min, max] range touches and swap them in.
+
+    The load is staged once.  Its ranges, a row per client, become literal
+    partition filters on the fact, so other partitions are not listed or read; a client with
+    undated rows also rereads its undated partition, whose rows stay.  The number
+    of jobs does not depend on the length of the range.
+    """
     from ferrule.operators.refresh import refresh_by_load
     fact = spark.table(table)
-    bounds = load.groupBy(client_col).agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    months = bounds.select(client_col, F.explode(F.sequence(F.trunc("lo", "MM"), F.trunc("hi", "MM"),
-                                                            F.expr("interval 1 month"))).alias("m"))
-    touched = months.select(client_col, F.date_format("m", "yyyy-MM").alias(month_col))
-    from ferrule.operators.lookup import broadcast_if_small
-    cur = fact.join(broadcast_if_small(touched), [client_col, month_col], "left_semi").drop(month_col)
-    incoming = load.select(*[c for c in cur.columns])
-    refreshed = refresh_by_load(cur, incoming, client_col, date_col).withColumn(
-        month_col, F.date_format(F.col(date_col), "yyyy-MM"))
-    refreshed.write.mode("overwrite").parquet(scratch)
-    staged = spark.read.schema(refreshed.schema).parquet(scratch)
-    insert_partitions(staged, table, [client_col, month_col])
-    present = {(r[0], r[1]) for r in staged.select(client_col, month_col).distinct().collect()}
-    data_cols = [f for f in spark.table(table).schema.fields if f.name not in (client_col, month_col)]
-    empty_select = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in data_cols)
-    for r in touched.collect():
-        if (r[0], r[1]) not in present:
-            client_lit, month_lit = str(r[0]).replace("'", "''"), str(r[1]).replace("'", "''")
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({client_col} = '{client_lit}', "
-                      f"{month_col} = '{month_lit}') SELECT {empty_select} FROM (SELECT 1) AS one WHERE false")
+    load.select(*[c for c in fact.columns if c != month_col]).write.mode("overwrite").parquet(f"{scratch}/load")
+    incoming = spark.read.parquet(f"{scratch}/load")
+    month = lambda c: F.date_format(c, "yyyy-MM")
+    ranges = incoming.groupBy(client_col).agg(
+        month(F.min(date_col)).alias("lo"), month(F.max(date_col)).alias("hi"),
+        F.max(F.col(date_col).isNull()).alias("undated")).collect()
+    touched = F.lit(False)
+    for r in ranges:
+        months = F.lit(False)
+        if r["lo"] is not None:
+            months = F.col(month_col).between(r["lo"], r["hi"])
+        if r["undated"]:
+            months = months | F.col(month_col).isNull()
+        touched = touched | (F.col(client_col).eqNullSafe(F.lit(r[client_col])) & months)
+    current = fact.where(touched)
+    refreshed = refresh_by_load(current.drop(month_col), incoming, client_col, date_col).withColumn(
+        month_col, month(F.col(date_col)))
+    _swap(spark, table, current, refreshed, [client_col, month_col], f"{scratch}/fact")
+
+
+def refresh_table_by_window(spark: SparkSession, table: str, staging: DataFrame, source_type: str, start: str, end: str,
+                            scratch: str, date_col: str = "date", source_col: str = "source_type",
+                            month_col: str = "month") -> None:
+    """W1 published: replace one source's rows dated inside [start, end] in a fact partitioned
+    by (source, month); only the window's months are read."""
+    from ferrule.operators.refresh import refresh_window
+    fact = spark.table(table)
+    current = fact.where((F.col(source_col) == source_type) & F.col(month_col).between(start[:7], end[:7]))
+    refreshed = refresh_window(current.drop(month_col), staging, source_type, start, end, date_col, source_col).withColumn(
+        month_col, F.date_format(date_col, "yyyy-MM"))
+    _swap(spark, table, current, refreshed, [source_col, month_col], scratch)

@@ -51,12 +51,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df.select(*columns) if columns else df
 
 
-def read_parquet_paths(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """S3: multi-path Parquet scan (one scan node, files listed in parallel)."""
+def read_parquet_paths(spark: SparkSession, paths: list[str], base_path: str | None = None,
+                       schema: T.StructType | None = None) -> DataFrame:
+    """S3: multi-path Parquet scan (one scan node, files listed in parallel).  ``base_path`` keeps
+    the partition columns of files named one by one, as a manifest does."""
     if not paths:
         raise ValueError("no paths to read")
-    return spark.read.parquet(*paths)
+    reader = spark.read.option("basePath", base_path) if base_path else spark.read
+    return (reader.schema(schema) if schema else reader).parquet(*paths)
 
-# One name per fact table (the reference spelled the partner table three ways).
+
+# One name per table.
 CLIENT_FACT_TABLE = "fact_client_upload"
 PARTNER_FACT_TABLE = "fact_partner_performance"
+CLIENT_STAGING_TABLE = "stage_client_upload"
+PARTNER_STAGING_TABLE = "stage_partner_performance"
+MONTH = T.StructField("month", T.StringType())
+LOADED_AT = T.StructField("loaded_at", T.TimestampNTZType())
+
+
+def table_definitions() -> dict[str, tuple[T.StructType, list[str]]]:
+    """Schema and partition columns of the fact and staging tables."""
+    client = T.StructType([f for f in CLIENT_PROCESSED_SCHEMA.fields if f.name in CLIENT_FACT_COLUMNS] + [MONTH])
+    partner = T.StructType([*PARTNER_PROCESSED_SCHEMA.fields, LOADED_AT, MONTH])
+    return {
+        CLIENT_FACT_TABLE: (client, ["client_name", "month"]),
+        PARTNER_FACT_TABLE: (partner, ["source_type", "month"]),
+        CLIENT_STAGING_TABLE: (CLIENT_PROCESSED_SCHEMA, ["load_id"]),
+        PARTNER_STAGING_TABLE: (PARTNER_PROCESSED_SCHEMA, ["batch_id"]),
+    }

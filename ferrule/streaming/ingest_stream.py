@@ -1,8 +1,8 @@
 """Structured Streaming form of upload-event ingest.
 
-* ``stream_dedupe``: parse → extract → 30-day watermark →
-  ``dropDuplicatesWithinWatermark`` on the idempotency key.  State is bounded
-  by the watermark.
+* ``stream_dedupe``: parse → extract → ``dropDuplicates`` on the idempotency key.  Without a
+  watermark no late row is dropped and the state holds every key; with one
+  (``watermark="30 days"``) the state is bounded and a row later than that is lost: the caller's choice.
 * ``run_ingest_stream``: ``foreachBatch`` applies the same batch functions as
   ``ferrule.operators.ingest`` against tables in the shared folder — the item
   ledger (RECEIVED items), the lock ledger (execution locks) and the payload
@@ -10,8 +10,9 @@
   its rows against the ledger *without its own batch id*, and writes its
   partitions with a dynamic partition overwrite, so re-running a batch (a
   lost executor recomputing a stage, or a replay after a driver restart)
-  yields and writes exactly the same rows.  Reads are pruned to the batch's
-  event dates.
+  yields and writes exactly the same rows.  The tables are created when the stream
+  starts, and a ledger that cannot be read fails the batch.  Ledger reads carry the
+  batch's event dates as literal partition filters.  ``compact_ledger`` merges the batches of closed days.
 """
 
 from __future__ import annotations
@@ -29,18 +30,22 @@ ITEM_LEDGER_DDL = ("key string, file_name string, timestamp string, etag string,
                    "created_at string, event_date string, batch_id bigint")
 LOCK_LEDGER_DDL = "key string, client_name string, status string, event_date string, batch_id bigint"
 PAYLOAD_DDL = ("idempotency_group_key string, client_name string, event_date string, bucket_name string, "
-               "file_name string, object_key string, etag string, batch_id bigint")
+               "bucket_arn string, file_name string, object_key string, etag string, trigger_timestamp string, "
+               "batch_id bigint")
 PARTS = ["event_date", "batch_id"]
 
 
-def stream_dedupe(messages: DataFrame, known_clients: list[str], watermark: str = "30 days") -> DataFrame:
-    """T4: valid, known-client records de-duplicated by idempotency key within
-    the watermark (the stored TTL of the key-value ledger)."""
-    rows = I.event_rows(messages, known_clients).where(F.col("pre_status").isNull())
-    rows = rows.withColumn("event_ts", F.to_timestamp("event_timestamp"))
-    return (rows.withWatermark("event_ts", watermark)
-            .dropDuplicatesWithinWatermark(["idempotency_key"])
-            .select("idempotency_key", "client_name", "object_key", "file_name", "event_date", "etag",
+def stream_dedupe(messages: DataFrame, known_clients: list[str], watermark: str | None = None,
+                  unwrap: bool = False) -> DataFrame:
+    """T4: valid, known-client records de-duplicated by idempotency key.  A record without a
+    readable event time takes the message's arrival time."""
+    rows = I.event_rows(messages, known_clients, unwrap).where(F.col("pre_status").isNull())
+    rows = rows.withColumn("event_ts", F.coalesce(F.try_to_timestamp("event_timestamp"), F.col("received_at")))
+    if watermark:
+        single = rows.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(["idempotency_key"])
+    else:
+        single = rows.dropDuplicates(["idempotency_key"])
+    return (single.select("idempotency_key", "client_name", "object_key", "file_name", "event_date", "etag",
                     "bucket_name", "event_ts"))
 
 
@@ -51,11 +56,15 @@ class IngestPaths:
     payloads: str     # trigger payload rows (Parquet, append-only)
 
 
-def _read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    try:
-        return spark.read.schema(ddl).parquet(path)
-    except Exception:  # noqa: BLE001 - first batch: the table does not exist yet
-        return spark.createDataFrame([], ddl)
+def create_ledgers(spark: SparkSession, paths: IngestPaths) -> None:
+    """Empty tables where there are none yet (an append of no rows), so that a later read error is an error."""
+    for path, ddl, parts in ((paths.items, ITEM_LEDGER_DDL, PARTS), (paths.locks, LOCK_LEDGER_DDL, PARTS),
+                             (paths.payloads, PAYLOAD_DDL, ["batch_id"])):
+        spark.createDataFrame([], ddl).write.mode("append").partitionBy(*parts).parquet(path)
+
+
+def _ledger(spark: SparkSession, path: str, ddl: str, days: list[str]) -> DataFrame:
+    return spark.read.schema(ddl).parquet(path).where(F.col("event_date").isin(days))
 
 
 def _replace_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
@@ -66,46 +75,62 @@ def _replace_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
 
 
 def process_batch(batch: DataFrame, batch_id: int, paths: IngestPaths, specs: dict,
-                  exclusive: bool = True) -> None:
+                  exclusive: bool = True, unwrap: bool = False, refire_on_new_etag: bool = False) -> None:
     """One micro-batch: status vs the earlier ledger, write new items, gate
-    the touched groups, take new locks, write payload rows."""
+    the touched groups, take new locks, write payload rows.
+
+    ``refire_on_new_etag`` fires a group again when a later batch brings a new
+    version of one of its files; without it a group fires once.
+    """
     spark = batch.sparkSession
     known = sorted(specs)
     bid = F.lit(batch_id).cast("bigint")
     # a cache only to avoid re-reading the batch's files in each plan below;
     # every result is the same if it is recomputed
     batch = batch.persist()
-    days = I.event_rows(batch, known).where(F.col("pre_status").isNull()).select("event_date").distinct()
-    ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
-    earlier = ledger.where(F.col("batch_id") != batch_id)
-    status = I.event_status(batch, known, ledger_keys=earlier.select("key"))
-    items = I.received_items(status, created_at=F.current_timestamp().cast("string")).withColumn("batch_id", bid)
-    items = items.select(*[c.split()[0] for c in ITEM_LEDGER_DDL.split(", ")])
-    _replace_batch(items, paths.items, PARTS)
-
-    touched = (_read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).where(F.col("batch_id") == batch_id)
-               .select("client_name", "event_date").distinct())
-    ledger = _read_or_empty(spark, paths.items, ITEM_LEDGER_DDL).join(days, "event_date", "left_semi")
-    group_items = ledger.join(touched, ["client_name", "event_date"], "left_semi")
-    ready = I.readiness_gate(group_items, specs, exclusive=exclusive)
-    locks = (_read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
-             .where(F.col("batch_id") != batch_id))
-    fired = I.fire_once(ready, locks)
-    _replace_batch(fired.select("key", "client_name", F.lit(I.EXECUTION_STARTED).alias("status"), "event_date",
-                                bid.alias("batch_id")), paths.locks, PARTS)
-    new_locks = (_read_or_empty(spark, paths.locks, LOCK_LEDGER_DDL).join(days, "event_date", "left_semi")
-                 .where(F.col("batch_id") == batch_id))
-    payload = I.trigger_payload(new_locks.select("key", "client_name", "event_date"), group_items)
-    _replace_batch(payload.withColumn("batch_id", bid), paths.payloads, ["batch_id"])
-    batch.unpersist()
+    try:
+        rows = I.event_rows(batch, known, unwrap).where(F.col("pre_status").isNull())
+        days = sorted(r[0] for r in rows.select("event_date").distinct().collect())   # a batch's few days
+        earlier = _ledger(spark, paths.items, ITEM_LEDGER_DDL, days).where(F.col("batch_id") != batch_id)
+        status = I.event_status(batch, known, ledger_keys=earlier.select("key"), unwrap=unwrap)
+        items = I.received_items(status, created_at=F.col("received_at").cast("string")).withColumn("batch_id", bid)
+        items = items.select(*[c.split()[0] for c in ITEM_LEDGER_DDL.split(", ")])
+        _replace_batch(items, paths.items, PARTS)
+
+        ledger = _ledger(spark, paths.items, ITEM_LEDGER_DDL, days)
+        touched = ledger.where(F.col("batch_id") == batch_id).select("client_name", "event_date").distinct()
+        group_items = ledger.join(touched, ["client_name", "event_date"], "left_semi")
+        ready = I.readiness_gate(group_items, specs, exclusive=exclusive)
+        locks = _ledger(spark, paths.locks, LOCK_LEDGER_DDL, days).where(F.col("batch_id") != batch_id)
+        fired = I.fire_once(ready, None if refire_on_new_etag else locks)
+        _replace_batch(fired.select("key", "client_name", F.lit(I.EXECUTION_STARTED).alias("status"), "event_date",
+                                    bid.alias("batch_id")), paths.locks, PARTS)
+        new_locks = _ledger(spark, paths.locks, LOCK_LEDGER_DDL, days).where(F.col("batch_id") == batch_id)
+        payload = I.trigger_payload(new_locks.select("key", "client_name", "event_date"), group_items)
+        _replace_batch(payload.withColumn("batch_id", bid), paths.payloads, ["batch_id"])
+    finally:
+        batch.unpersist()
+
+
+def compact_ledger(spark: SparkSession, path: str, ddl: str, target: str) -> None:
+    """Copy a ledger into ``target`` with one folder per event day (batch id: the day's smallest).
+    Run it while the stream is stopped and start the stream on the copy: folders stop growing with batches."""
+    rows = spark.read.schema(ddl).parquet(path)
+    least = rows.groupBy("event_date").agg(F.min("batch_id").alias("least"))
+    merged = rows.drop("batch_id").join(least, "event_date").withColumnRenamed("least", "batch_id")
+    columns = [c.split()[0] for c in ddl.split(", ")]
+    _replace_batch(merged.select(*columns).hint("rebalance", *PARTS), target, PARTS)
 
 
 def run_ingest_stream(messages: DataFrame, paths: IngestPaths, specs: dict, checkpoint: str,
-                      available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                      available_now: bool = True, processing_time: str | None = None, unwrap: bool = False,
+                      refire_on_new_etag: bool = False) -> StreamingQuery:
     """Start the ingest stream (``availableNow`` drains what is there
     in bounded micro-batches; ``processing_time`` runs continuously)."""
+    create_ledgers(messages.sparkSession, paths)
     writer = (messages.writeStream.option("checkpointLocation", checkpoint)
-              .foreachBatch(lambda df, bid: process_batch(df, bid, paths, specs)))
+              .foreachBatch(lambda df, bid: process_batch(df, bid, paths, specs, unwrap=unwrap,
+                                                          refire_on_new_etag=refire_on_new_etag)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "30 seconds")
     return writer.start()

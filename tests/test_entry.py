@@ -22,4 +22,4 @@ def test_contract_keys():
     m = load_entry()
     q, o = m.queries(), m.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 100 or len(q) > 0
+    assert len(q) >= 100 and len(o) >= 100

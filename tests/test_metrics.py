@@ -20,7 +20,7 @@ D = dt.date
     (dict(domain="nope"), "domain"),
     (dict(domain="adscribe"), "required"),
     (dict(domain="client_upload", start_date="2024-13-01"), "YYYY-MM-DD"),
-    (dict(domain="client_upload", start_date="2024-02-01", end_date="2024-01-01"), "less than"),
+    (dict(domain="client_upload", start_date="2024-02-01", end_date="2024-01-01"), "is after"),
     (dict(domain="client_upload", client="delta"), "client"),
 ])
 def test_predicate_validation(kwargs, msg):
@@ -74,3 +74,27 @@ def test_monthly_label(spark):
     f = fact(spark, [("a", 1, 1.25, D(2024, 1, 31), "beta"), ("a", 1, 2.5, D(2024, 2, 1), "beta")])
     rows = [tuple(r) for r in M.revenue_monthly(f, "client_upload", client="beta").collect()]
     assert rows == [("2024-01", 1.25), ("2024-02", 2.5)]
+
+
+def test_money_keeps_small_amounts_and_survives_large_ones(spark):
+    small = [("a", 1, 0.004, D(2024, 1, 1), "alpha")] * 1000
+    assert M.kpi(fact(spark, small), "client_upload").first().total_revenue == 4.0
+    large = small + [("a", 1, 1e25, D(2024, 1, 1), "alpha"), ("a", 1, None, D(2024, 1, 1), "alpha")]
+    assert M.kpi(fact(spark, large), "client_upload").first().total_revenue == 1e25
+    odd = [("a", 1, float("inf"), D(2024, 1, 1), "alpha"), ("a", 1, 1.0, D(2024, 1, 1), "alpha")]
+    assert M.kpi(fact(spark, odd), "client_upload").first().total_revenue == float("inf")
+
+
+@pytest.mark.parametrize("sort_by", ["date", "revenue", "client"])
+@pytest.mark.parametrize("order", ["asc", "desc"])
+def test_pages_after_a_key_are_the_pages_by_offset(spark, sort_by, order):
+    rows = [(f"c{k}", k, None if k % 7 == 0 else float(k % 5), None if k % 6 == 0 else D(2024, 1, 1 + k % 3),
+             ("alpha", "beta")[k % 2]) for k in range(30)]
+    f = fact(spark, rows)
+    by_code = {r[0]: dict(zip(["discount_code", "orders", "revenue", "order_date", "client_name"], r)) for r in rows}
+    after = None
+    for page in range(4):
+        want = M.details(f, sort_by=sort_by, sort_order=order, limit=8, offset=8 * page).collect()
+        got = M.details(f, sort_by=sort_by, sort_order=order, limit=8, after=after).collect()
+        assert got == want
+        after = M.page_key(by_code[got[-1].discount_code], sort_by=sort_by)

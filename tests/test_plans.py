@@ -1,11 +1,10 @@
 """Plan-level checks: conservation of rows through splits, no Python in the
-plans, pushdown to the scan, broadcast only behind a size check."""
+plans, pushdown to the scan, no jobs or broadcast hints while a plan is built."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from ferrule.operators import metrics as M
-from ferrule.operators.lookup import broadcast_if_small, row_count_at_most
 from ferrule.plans.registry import all_queries
 from ferrule.plans.cleaning_queries import partner
 from ferrule.plans.load_queries import load
@@ -48,13 +47,23 @@ def test_scan_prunes_columns(spark, sf):
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in text
 
 
-def test_broadcast_only_behind_check(spark):
-    small = spark.range(10)
-    assert row_count_at_most(small, 10) and not row_count_at_most(small, 9)
-    big = spark.range(100)
-    joined = spark.range(1000).join(broadcast_if_small(big, 50), "id")
-    assert "BroadcastHashJoin" not in plan_text(joined.hint("no_broadcast_hash") if False else joined, "simple") \
-        or spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+@pytest.mark.parametrize("name", ["client_load_alpha", "client_load_revenue_daily", "refresh_by_load", "kpi_client",
+                                  "event_status", "partner_load"])
+def test_building_a_query_starts_no_job(spark, sf, name, monkeypatch):
+    read, opened = fx.read_table, []
+    monkeypatch.setattr(fx, "read_table", lambda *a, **k: opened.append(a) or read(*a, **k))
+    spark.sparkContext.setJobGroup(f"build-{name}", "build only")
+    try:
+        all_queries()[name].build(spark, sf)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= len(opened)  # the footer of each Parquet table that is opened, nothing else
+
+
+def test_no_broadcast_hint_on_a_lookup(spark, sf):
+    r = load(spark, sf, "alpha").processed
+    assert "broadcast" not in r._jdf.queryExecution().analyzed().toString().lower()
 
 
 def test_hot_key_first_wins_uses_partial_aggregate(spark):

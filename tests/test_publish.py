@@ -71,3 +71,69 @@ def test_manifest_formats(spark):
         raise AssertionError("empty manifest accepted")
     except ValueError:
         pass
+
+
+def _fact(spark, rows):
+    name = f"t_fact_{uuid.uuid4().hex[:8]}"
+    S.create_table_if_missing(spark, name, SCHEMA, scratch_path(spark, "t-fact"), ["client_name", "month"])
+    S.insert_partitions(spark.createDataFrame(rows, FACT).withColumn("month", F.date_format("order_date", "yyyy-MM")),
+                        name, ["client_name", "month"])
+    return name
+
+
+def test_undated_load_rows_do_not_replace_undated_rows(spark):
+    name = _fact(spark, [("a", 1, 5.0, None, "alpha"), ("a", 1, 1.0, D(2024, 1, 10), "alpha"), ("a", 1, 2.0, None, "beta")])
+    load = spark.createDataFrame([("n", 9, 7.0, None, "alpha"), ("n", 9, 9.0, D(2024, 1, 5), "alpha")], FACT)
+    S.refresh_table_by_load(spark, name, load, scratch_path(spark, "t-scratch"))
+    got = sorted((r.client_name, str(r.order_date), r.revenue) for r in spark.table(name).collect())
+    assert got == [("alpha", "2024-01-05", 9.0), ("alpha", "2024-01-10", 1.0), ("alpha", "None", 5.0), ("alpha", "None", 7.0),
+                   ("beta", "None", 2.0)]
+
+
+def _jobs_of(spark, run):
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(jobs)
+
+
+def test_number_of_jobs_does_not_grow_with_the_range(spark):
+    counts = []
+    for last in (D(2024, 2, 5), D(2090, 2, 5)):
+        name = _fact(spark, [("a", 1, 1.0, D(2024, 1, 10), "alpha"), ("a", 1, 1.0, D(2024, 1, 10), "beta")])
+        load = spark.createDataFrame([("n", 9, 9.0, D(2024, 1, 5), "alpha"), ("n", 9, 9.0, last, "alpha")], FACT)
+        counts.append(_jobs_of(spark, lambda: S.refresh_table_by_load(spark, name, load, scratch_path(spark, "t-scratch"))))  # noqa: B023
+        assert spark.table(name).count() == 3
+    assert counts[1] <= counts[0] + 2
+
+
+def test_split_write_and_read(spark):
+    df = spark.createDataFrame([(1, []), (2, ["a", "b"]), (3, [])], "x int, quarantine_reasons array<string>")
+    path = scratch_path(spark, "t-split")
+    S.write_split(df, path)
+    schema = df.drop("quarantine_reasons").schema
+    assert sorted(r.x for r in S.read_split(spark, path, schema, False).collect()) == [1, 3]
+    assert [tuple(r) for r in S.read_split(spark, path, schema, True).collect()] == [(2, "a;b")]
+
+
+def test_csv_columns_come_from_the_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.csv").write_text('x, y ,z\n1,"say ""hi"", you",3\n')
+    (tmp_path / "a" / "2.csv").write_text('z,x\n30,10\n')
+    (tmp_path / "a" / "3.csv").write_text('x,z\n5,"two\nlines"\n')
+    got = S.read_csv_strings(spark, str(tmp_path / "a"), ["w"], quote_escape='"', multiline=True)
+    assert set(got.columns) == {"x", " y ", "z", "w"}
+    rows = {r["x"]: (r[" y "], r["z"], r["w"]) for r in got.collect()}
+    assert rows == {"1": ('say "hi", you', "3", None), "10": (None, "30", None), "5": (None, "two\nlines", None)}
+
+
+def test_landing_twice_keeps_every_byte_but_the_last_line_end(spark, tmp_path):
+    text = b"a,b\r\n\r\n1,2\n\n3,4"
+    (tmp_path / "in.csv").write_bytes(text)
+    dest = str(tmp_path / "out")
+    for _ in range(2):
+        S.land_raw(spark, str(tmp_path / "in.csv"), dest)
+    landed = b"".join(p.read_bytes() for p in sorted((tmp_path / "out").glob("part-*")))
+    assert landed.rstrip(b"\n") == text
