@@ -25,6 +25,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -134,7 +135,7 @@ def _visits(index: MultiIndex, length: int, hot: dict):
                             cells.append(i)
                             salts.append(salt)
                             seconds.append(bytes(js))
-                            own.append(j0[r] if i == i0[r] and hash(reps[r]) % n == salt else -1)
+                            own.append(j0[r] if i == i0[r] and crc32(str(reps[r]).encode()) % n == salt else -1)
                 taken = b.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*taken.columns, pa.array(cells, pa.int32()), pa.array(salts, pa.int32()),

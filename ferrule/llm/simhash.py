@@ -246,12 +246,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, k: int, distance: int,
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``."""
     fps = stage_table(spark, fingerprints(docs, k, id_col, text_col), "fingerprints")
     known = fps.where("doc_id IS NOT NULL")
-    # an id that repeats ties its fingerprints together: nodes are ids, the smallest of each fingerprint
+    # nodes are ids, the smallest of each fingerprint; an id that repeats ties its fingerprints together
     reps = stage_table(spark, known.groupBy("fp").agg(F.min("doc_id").alias("rep")), "representatives")
     found = fingerprint_links(spark, reps, distance, parts)
     a, b = reps.select(F.col("fp").alias("a"), F.col("rep").alias("ra")), reps.select(
         F.col("fp").alias("b"), F.col("rep").alias("rb"))
-    edges = found.join(a, "a").join(b, "b").select("ra", "rb")
+    links = found.join(a, "a").join(b, "b").select("ra", "rb")
+    several = known.groupBy("doc_id").agg(F.min("fp").alias("least"), F.max("fp").alias("most")).where("least != most")
+    tied = known.join(several.select("doc_id"), "doc_id").join(reps, "fp").select(F.col("doc_id").alias("ra"), "rep")
+    edges = links.union(tied)
     part = connected(spark, edges)
     named = stage_table(spark, reps.join(part, reps["rep"] == part["node"], "left").select(
         "fp", F.coalesce("component", "rep").alias("component")), "components-by-fingerprint")

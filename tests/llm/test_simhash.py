@@ -81,7 +81,8 @@ def test_links_against_brute_force(spark, hot, monkeypatch):
 def test_documents(spark, make_docs, words):
     text = words(200)
     rows = [(5, " ".join(text)), (3, " ".join(text).upper()), (9, " ".join(text)), (8, None), (7, ""), (1, "one"), (2, " one "),
-            (None, " ".join(text)), (4, " ".join(words(200))), (4, " ".join(words(200))), (6, " ".join(words(20_000)))]
+            (None, " ".join(text)), (4, " ".join(words(200))), (4, " ".join(words(200))), (6, " ".join(words(20_000))),
+            (50, "tied once"), (60, "tied once"), (60, "tied twice, to another text"), (70, "tied twice, to another text")]
     rows += [(100 + k, " ".join(text[:k] + ["other"] + text[k + 1:])) for k in range(0, 200, 5)]
     got = simhash.near_duplicates(spark, make_docs(rows), 4, 4).collect()
     assert sorted(r["fingerprint"] for r in got) == sorted(f"{brute_fingerprint(x, 4):016x}" for _, x in rows)
