@@ -122,6 +122,51 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
+OP2_SQL = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0b\\f\\r]+'), lambda x: x <> '') AS ws FROM documents
+), n AS (
+  SELECT doc_id, ws, len(ws) AS n FROM w
+), hashed AS (
+  SELECT doc_id, list_transform(range(1, n - {PASSAGE_WORDS - 2}),
+                                lambda p: md5(array_to_string(ws[p:p + {PASSAGE_WORDS - 1}], ' '))) AS hs
+  FROM n WHERE n >= {PASSAGE_WORDS}
+), windows AS (
+  SELECT doc_id, unnest(hs) AS h, generate_subscripts(hs, 1) AS p FROM hashed
+), firsts AS (
+  SELECT h, min(doc_id) AS d FROM windows GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, p + k AS i
+  FROM (SELECT doc_id, p FROM windows JOIN firsts USING (h) WHERE d < doc_id) x, range({PASSAGE_WORDS}) AS t(k)
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM n
+)
+SELECT n.doc_id, n.n AS n_words, count(gone.i) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY words.i) FILTER (WHERE gone.i IS NULL), '')) AS kept_sha256
+FROM n LEFT JOIN words ON words.doc_id = n.doc_id LEFT JOIN gone ON gone.doc_id = n.doc_id AND gone.i = words.i
+GROUP BY n.doc_id, n.n
+"""
+
+OP10_SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+), ok AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND vec_id IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}
+), reach AS (
+  SELECT vec_id AS node, vec_id AS other FROM v
+  UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other
+), least AS (
+  SELECT node, min(other) AS component_id FROM reach GROUP BY node
+)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_links, component_id,
+       v.vec_id = component_id AS kept
+FROM v JOIN least ON least.node = v.vec_id
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
@@ -134,4 +179,4 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_near_vectors": op10_near_vectors,
 }
-ORACLES = {"op8_chat_format": OP8_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op8_chat_format": OP8_SQL, "op10_near_vectors": OP10_SQL}
