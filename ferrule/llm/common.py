@@ -30,6 +30,12 @@ def text_of(df: DataFrame, text: str) -> Column:
     return F.coalesce(df[text].cast("string"), F.lit(""))
 
 
+def named(df: DataFrame, column: str, name: str) -> Column:
+    """A column under a name; without an alias if it has that name, so that plans that read
+    the same columns stay equal and share an exchange."""
+    return df[column] if column == name else df[column].alias(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ferrule.llm.common import shuffle_partitions, stage_table, text_of
+from ferrule.llm.common import named, shuffle_partitions, stage_table, text_of
 
 #: Perfect difference sets modulo 1, 7, 13, 21 and 31.
 COVERS = {1: (0,), 7: (1, 2, 4), 13: (0, 1, 3, 9), 21: (3, 6, 7, 12, 14), 31: (1, 5, 11, 24, 25, 27)}
@@ -77,37 +77,40 @@ def run_hashes(h: np.ndarray, length: int, base: int) -> np.ndarray:
     return out
 
 
-def _emit(batch: pa.RecordBatch, rows: list[int], positions: list[np.ndarray], hashes: list[list[np.ndarray]]):
-    counts = np.array([len(p) for p in positions], np.int64)
+def _emit(batch: pa.RecordBatch, rows: list[int], hashes: list[list[np.ndarray]]) -> list[pa.Array]:
+    counts = np.array([len(h) for h in hashes[0]], np.int64)
     at = pa.array(np.repeat(np.array(rows, np.int64), counts))
     cols = [pa.array(np.concatenate(h).view(np.int64)) for h in hashes]
-    return [*cols, batch.column("doc_id").take(at), batch.column("v").take(at),
-            pa.array(np.concatenate(positions).astype(np.int32))]
+    return [*cols, batch.column("doc_id").take(at), batch.column("v").take(at)]
 
 
-def _anchors(window: int):
+def anchors_of(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in the cover, and the hashes of the runs there, of a document's word hashes."""
     period, cover, length = cover_for(window)
+    p = np.arange(len(h) - length + 1)
+    p = p[np.isin(p % period, cover)]
+    return p, run_hashes(h, length, BASES[0])[p]
+
 
+def _anchors(window: int):
+    """Each document's distinct anchor hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 b = batch.slice(at, 256)
-                rows, positions, hashes = [], [], []
+                rows, hashes = [], []
                 for r, x in enumerate(b.column("text")):
                     words = x.as_py().encode("utf-8").split()
-                    if len(words) < window:
-                        continue
-                    p = np.arange(len(words) - length + 1)
-                    p = p[np.isin(p % period, cover)]
-                    rows.append(r)
-                    positions.append(p)
-                    hashes.append(run_hashes(word_hashes(words), length, BASES[0])[p])
+                    if len(words) >= window:
+                        rows.append(r)
+                        hashes.append(np.unique(anchors_of(word_hashes(words), window)[1]))
                 if rows:
-                    yield pa.RecordBatch.from_arrays(_emit(b, rows, positions, [hashes]), ["h", "doc_id", "v", "pos"])
+                    yield pa.RecordBatch.from_arrays(_emit(b, rows, [hashes]), ["h", "doc_id", "v"])
     return run
 
 
 def _windows(window: int):
+    """Hashes of the windows that hold a shared anchor within their first ``period`` positions."""
     period, _, _ = cover_for(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +121,8 @@ def _windows(window: int):
                 for r, (x, shared) in enumerate(zip(b.column("text"), b.column("shared"), strict=True)):
                     h = word_hashes(x.as_py().encode("utf-8").split())
                     n = len(h) - window + 1
-                    i = shared.values.to_numpy()
+                    i, own = anchors_of(h, window)
+                    i = i[np.isin(own, shared.values.to_numpy().view(np.uint64))]
                     edge = np.zeros(n + 1, np.int64)
                     np.add.at(edge, np.clip(i - period + 1, 0, n), 1)
                     np.add.at(edge, np.clip(i + 1, 0, n), -1)
@@ -130,14 +134,15 @@ def _windows(window: int):
                         two.append(run_hashes(h, window, BASES[1])[p])
                 if rows:
                     yield pa.RecordBatch.from_arrays(
-                        _emit(b, rows, positions, [one, two]), ["h", "h2", "doc_id", "v", "pos"])
+                        [*_emit(b, rows, [one, two]), pa.array(np.concatenate(positions).astype(np.int32))],
+                        ["h", "h2", "doc_id", "v", "pos"])
     return run
 
 
-def _meet(hash_columns: tuple[str, ...], suppliers: bool):
+def _meet(hash_columns: tuple[str, ...], suppliers: bool, carried: str):
     """Rows, sorted by hash and id, whose hash another document has too: those with an id above the
     group's smallest, and with ``suppliers`` the smallest id's rows as well."""
-    names = ["doc_id", "v", "pos"]
+    names = ["doc_id", "v", carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, first, paired = [], None, None, False
@@ -209,7 +214,7 @@ def _outcome(window: int):
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 50,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)`` for every row; ``kept`` is the words left, joined by one space."""
-    rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
+    rows = docs.select(named(docs, id_col, "doc_id"), text_of(docs, text_col).alias("text"))
     parts, kind = shuffle_partitions(spark), rows.schema["doc_id"].dataType.simpleString()
     known = rows.where("doc_id IS NOT NULL").withColumn(
         "digest", F.unhex(F.sha2("text", 256))).where("digest IS NOT NULL")
@@ -222,14 +227,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 50,
 
     texts = known.repartition(parts, "doc_id", "digest")
     anchors = texts.join(units.hint("shuffle_hash"), ["doc_id", "digest"]).select("doc_id", "v", "text").mapInArrow(
-        _anchors(window), f"h long, doc_id {kind}, v int, pos int")
-    shared = anchors.repartition(parts, "h").sortWithinPartitions("h", "doc_id", "v", "pos").mapInArrow(
-        _meet(("h",), True), f"doc_id {kind}, v int, pos int")
-    to_extend = shared.groupBy("doc_id", "v").agg(F.collect_list("pos").alias("shared")).join(units, ["doc_id", "v"])
+        _anchors(window), f"h long, doc_id {kind}, v int")
+    shared = anchors.repartition(parts, "h").sortWithinPartitions("h", "doc_id", "v").mapInArrow(
+        _meet(("h",), True, "h"), f"doc_id {kind}, v int, h long")
+    to_extend = shared.groupBy("doc_id", "v").agg(F.collect_set("h").alias("shared")).join(units, ["doc_id", "v"])
     windows = texts.join(to_extend.hint("shuffle_hash"), ["doc_id", "digest"]).select(
         "doc_id", "v", "text", "shared").mapInArrow(_windows(window), f"h long, h2 long, doc_id {kind}, v int, pos int")
     repeated = windows.repartition(parts, "h").sortWithinPartitions("h", "h2", "doc_id", "v", "pos").mapInArrow(
-        _meet(("h", "h2"), False), f"doc_id {kind}, v int, pos int")
+        _meet(("h", "h2"), False, "pos"), f"doc_id {kind}, v int, pos int")
     starts = repeated.groupBy("doc_id", "v").agg(F.collect_list("pos").alias("starts"))
     info = copies.join(starts, ["doc_id", "v"], "left").select("doc_id", "digest", "copy", "starts")
     judged = texts.join(info.hint("shuffle_hash"), ["doc_id", "digest"], "left").select("doc_id", "text", "copy", "starts")
