@@ -33,10 +33,13 @@ def test_refresh_by_load_semantics_and_idempotency(spark):
     assert rows(twice) == got
 
 
-def test_refresh_survivors_plans_broadcast_join(spark):
+def test_refresh_survivors_is_an_equi_join_left_to_aqe(spark):
+    """Joined on the client with the dates as a condition, never a nested loop, and without a hint."""
     fact = spark.createDataFrame([("a", 1, 1.0, D(2024, 1, 1), "alpha")], FACT_DDL)
     from tests.plan_utils import plan_text
-    assert "Broadcast" in plan_text(R.refresh_survivors(fact, fact))
+    text = plan_text(R.refresh_survivors(fact, fact))
+    assert "Join" in text and "NestedLoop" not in text and "Cartesian" not in text
+    assert "ResolvedHint" not in plan_text(R.refresh_survivors(fact, fact), "extended")
 
 
 def test_refresh_window_idempotent(spark):
