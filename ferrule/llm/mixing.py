@@ -4,7 +4,8 @@ Every document falls in a cell (source, language, topic); values without a targe
 as ``OTHER``, so the number of cells is bounded by the targets and does not grow with the data.
 Token weights of the cells are raked to the three target marginals in turn until they agree.  The
 sampling probabilities are calibrated the same way with their bound of 1: raked to the targets of
-the token budget, cut at 1, until they settle.  Documents are then sampled by a hash of their id,
+the token budget, cut at 1, until they settle, and scaled together to the budget where cells at the bound
+have left some of it.  Documents are then sampled by a hash of their id,
 so a rerun takes the same ones.
 
 A target names shares; ``OTHER`` keeps its share of the tokens unless it has a target, and the named
@@ -73,6 +74,19 @@ def rake(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray],
     return factor
 
 
+def scale_to(tokens: np.ndarray, probability: np.ndarray, amount: float) -> np.ndarray:
+    """``probability`` times one factor, cut at 1, such that the expected tokens are ``amount`` (all tokens, if fewer)."""
+    low, high = 0.0, 1.0
+    expected = lambda f: float((tokens * np.minimum(1.0, f * probability)).sum())
+    reachable = float(tokens[probability > 0].sum())
+    while expected(high) < min(amount, reachable * (1 - TOLERANCE)):
+        high *= 2
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if expected(middle) < amount else (low, middle)
+    return np.minimum(1.0, high * probability)
+
+
 def cell_table(spark: SparkSession, keyed: DataFrame, targets: list[dict[str, float]], budget: float) -> DataFrame:
     """``keyed`` has s, l, t and tokens.  A row for each cell: its weight and sampling probability."""
     found = keyed.groupBy("s", "l", "t").agg(F.sum("tokens").alias("tokens")).orderBy("s", "l", "t").collect()
@@ -90,7 +104,8 @@ def cell_table(spark: SparkSession, keyed: DataFrame, targets: list[dict[str, fl
         codes.append(code)
         shares.append(np.array([got.get(v, 0.0) for v in values]))
     weight = rake(tokens, codes, shares, float(tokens.sum()))
-    probability = rake(tokens, codes, shares, budget * float(tokens.sum()), 1.0)
+    amount = budget * float(tokens.sum())
+    probability = scale_to(tokens, rake(tokens, codes, shares, amount, 1.0), amount)
     kept = [(r["s"], r["l"], r["t"], float(w), float(p)) for r, w, p in zip(rows, weight, probability, strict=True)]
     return spark.createDataFrame(kept + [(r["s"], r["l"], r["t"], 1.0, 1.0) for r in found if not r["tokens"]], schema)
 

@@ -85,6 +85,14 @@ def test_rake_meets_the_marginals():
     assert p.max() <= 1 and np.allclose(p, brute_rake(tokens, codes, shares, 0.3 * tokens.sum(), 1.0), atol=1e-6)
 
 
+def test_scale_to_the_budget():
+    tokens, p = np.array([100.0, 50.0, 10.0, 40.0]), np.array([0.1, 1.0, 0.9, 0.0])
+    for amount in (5.0, 60.0, 75.0, 150.0):
+        got = mixing.scale_to(tokens, p, amount)
+        assert abs((got * tokens).sum() - amount) < 1e-6 and got.max() <= 1 and got[3] == 0
+    assert mixing.scale_to(tokens, p, 500.0).tolist() == [1, 1, 1, 0]
+
+
 def test_target_shares():
     assert mixing.target_shares({"a": 1, "b": 3}, {"a": 5.0, "b": 5.0}) == {"a": 0.25, "b": 0.75}
     assert mixing.target_shares({"a": 1, "b": 3}, {"a": 5.0, mixing.OTHER: 15.0}) == {"a": 0.25, mixing.OTHER: 0.75}
