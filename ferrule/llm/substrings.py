@@ -11,7 +11,9 @@ extended: every window that holds one within its first ``PERIOD`` positions is h
 and these meet in a second shuffle.  The result does not depend on which anchors are shared by chance.
 
 Scale: exact copies are settled first by the digest of their text (the smallest id supplies, the
-others lose every word if they have a window), so a hot copy sends no anchors.  Groups are
+others lose every word if they have a window), so a hot copy sends no anchors.  Equal hashes are combined before
+each shuffle, ``SLICE`` documents at a time: what a smaller id of the slice has too is decided there and
+dealt anywhere, so of a hot passage one document's rows a slice meet in its task.  Groups are
 never held: rows arrive sorted by hash and id, and a task keeps the first document's rows
 of the current group only.  Texts are shuffled once, by (id, digest), and that exchange serves all
 three passes over them.
@@ -77,11 +79,30 @@ def run_hashes(h: np.ndarray, length: int, base: int) -> np.ndarray:
     return out
 
 
-def _emit(batch: pa.RecordBatch, rows: list[int], hashes: list[list[np.ndarray]]) -> list[pa.Array]:
+#: What is known of a row before the shuffle: its hash is alone in its slice of documents; its document
+#: has the slice's smallest id among several that share the hash; a smaller id in the slice has it too.
+ALONE, LEAST, LATER = 0, 1, 2
+#: Documents whose equal hashes are combined before the shuffle.
+SLICE = 2048
+
+
+def _combined(batch: pa.RecordBatch, rows: list[int], hashes: list[list[np.ndarray]]) -> tuple[list[pa.Array], np.ndarray]:
+    """Columns (hashes, doc_id, v, state) of a slice's rows, and the order they are in."""
     counts = np.array([len(h) for h in hashes[0]], np.int64)
-    at = pa.array(np.repeat(np.array(rows, np.int64), counts))
-    cols = [pa.array(np.concatenate(h).view(np.int64)) for h in hashes]
-    return [*cols, batch.column("doc_id").take(at), batch.column("v").take(at)]
+    at = np.repeat(np.array(rows, np.int64), counts)
+    cols = [np.concatenate(h).view(np.int64) for h in hashes]
+    rank = np.unique(batch.column("doc_id").to_numpy(zero_copy_only=False), return_inverse=True)[1][at]
+    order = np.lexsort((rank, *reversed(cols)))
+    cols, at, rank = [c[order] for c in cols], at[order], rank[order]
+    new = np.ones(len(at), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(at)))
+    later = rank > np.repeat(rank[starts], sizes)
+    several = np.repeat(np.add.reduceat(later, starts) > 0, sizes)
+    state = np.where(later, LATER, np.where(several, LEAST, ALONE)).astype(np.int8)
+    taken = pa.array(at)
+    return [*map(pa.array, cols), batch.column("doc_id").take(taken), batch.column("v").take(taken), pa.array(state)], order
 
 
 def anchors_of(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,8 +117,8 @@ def _anchors(window: int):
     """Each document's distinct anchor hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, SLICE):
+                b = batch.slice(at, SLICE)
                 rows, hashes = [], []
                 for r, x in enumerate(b.column("text")):
                     words = x.as_py().encode("utf-8").split()
@@ -105,7 +126,7 @@ def _anchors(window: int):
                         rows.append(r)
                         hashes.append(np.unique(anchors_of(word_hashes(words), window)[1]))
                 if rows:
-                    yield pa.RecordBatch.from_arrays(_emit(b, rows, [hashes]), ["h", "doc_id", "v"])
+                    yield pa.RecordBatch.from_arrays(_combined(b, rows, [hashes])[0], ["h", "doc_id", "v", "state"])
     return run
 
 
@@ -115,8 +136,8 @@ def _windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, SLICE):
+                b = batch.slice(at, SLICE)
                 rows, positions, one, two = [], [], [], []
                 for r, (x, shared) in enumerate(zip(b.column("text"), b.column("shared"), strict=True)):
                     h = word_hashes(x.as_py().encode("utf-8").split())
@@ -133,20 +154,27 @@ def _windows(window: int):
                         one.append(run_hashes(h, window, BASES[0])[p])
                         two.append(run_hashes(h, window, BASES[1])[p])
                 if rows:
+                    cols, order = _combined(b, rows, [one, two])
                     yield pa.RecordBatch.from_arrays(
-                        [*_emit(b, rows, [one, two]), pa.array(np.concatenate(positions).astype(np.int32))],
-                        ["h", "h2", "doc_id", "v", "pos"])
+                        [*cols, pa.array(np.concatenate(positions).astype(np.int32)[order])],
+                        ["h", "h2", "doc_id", "v", "state", "pos"])
     return run
 
 
 def _meet(hash_columns: tuple[str, ...], suppliers: bool, carried: str):
     """Rows, sorted by hash and id, whose hash another document has too: those with an id above the
-    group's smallest, and with ``suppliers`` the smallest id's rows as well."""
+    group's smallest, and with ``suppliers`` the smallest id's rows as well.  Rows known to be later ones
+    come from anywhere and pass."""
     names = ["doc_id", "v", carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group, first, paired = [], None, None, False
         for b in batches:
+            state = b.column("state").to_numpy()
+            if (state == LATER).any():
+                yield b.select(names).filter(pa.array(state == LATER))
+                b = b.filter(pa.array(state != LATER))
+                state = state[state != LATER]
             n = b.num_rows
             if not n:
                 continue
@@ -164,6 +192,7 @@ def _meet(hash_columns: tuple[str, ...], suppliers: bool, carried: str):
             rows = b.select(names)
             keep = later.copy()
             if suppliers:
+                keep |= state == LEAST
                 ends = np.append(starts[1:], n)
                 has = np.add.reduceat(later, starts) > 0 if len(starts) else np.zeros(0, bool)
                 for_all = np.repeat(has, ends - starts)
@@ -211,6 +240,11 @@ def _outcome(window: int):
     return run
 
 
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows by hash; those that need no meeting anywhere, so that a hot hash is one row a slice in its task."""
+    return rows.repartition(parts, F.when(F.col("state") == LATER, F.xxhash64("doc_id", "h")).otherwise(F.col("h")))
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 50,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)`` for every row; ``kept`` is the words left, joined by one space."""
@@ -227,13 +261,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = 50,
 
     texts = known.repartition(parts, "doc_id", "digest")
     anchors = texts.join(units.hint("shuffle_hash"), ["doc_id", "digest"]).select("doc_id", "v", "text").mapInArrow(
-        _anchors(window), f"h long, doc_id {kind}, v int")
-    shared = anchors.repartition(parts, "h").sortWithinPartitions("h", "doc_id", "v").mapInArrow(
+        _anchors(window), f"h long, doc_id {kind}, v int, state tinyint")
+    shared = _dealt(anchors, parts).sortWithinPartitions("h", "doc_id", "v").mapInArrow(
         _meet(("h",), True, "h"), f"doc_id {kind}, v int, h long")
     to_extend = shared.groupBy("doc_id", "v").agg(F.collect_set("h").alias("shared")).join(units, ["doc_id", "v"])
     windows = texts.join(to_extend.hint("shuffle_hash"), ["doc_id", "digest"]).select(
-        "doc_id", "v", "text", "shared").mapInArrow(_windows(window), f"h long, h2 long, doc_id {kind}, v int, pos int")
-    repeated = windows.repartition(parts, "h").sortWithinPartitions("h", "h2", "doc_id", "v", "pos").mapInArrow(
+        "doc_id", "v", "text", "shared").mapInArrow(_windows(window), f"h long, h2 long, doc_id {kind}, v int, state tinyint, pos int")
+    repeated = _dealt(windows, parts).sortWithinPartitions("h", "h2", "doc_id", "v", "pos").mapInArrow(
         _meet(("h", "h2"), False, "pos"), f"doc_id {kind}, v int, pos int")
     starts = repeated.groupBy("doc_id", "v").agg(F.collect_list("pos").alias("starts"))
     info = copies.join(starts, ["doc_id", "v"], "left").select("doc_id", "digest", "copy", "starts")
