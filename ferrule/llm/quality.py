@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ferrule.llm.common import text_of
 
 BITS = 20
-SAMPLE, GRADES = 16_000, 3
+SAMPLE, GRADES = 10_000, 3
 STEPS, RATE, L2 = 300, 0.1, 0.05
 #: A feature is used if it is in so many sampled rows and, at weight zero, the loss falls with its weight
 #: by so many standard deviations.
@@ -98,8 +98,8 @@ class OrdinalModel:
         seen = np.bincount(grades, minlength=GRADES)
         share = np.cumsum(seen + 0.5) / (len(grades) + 0.5 * GRADES)
         cut = np.log(share[:-1] / (1 - share[:-1]))
-        flat = np.concatenate(rows)
-        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        flat = np.concatenate(rows).astype(np.int32)
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
         slope, _ = _gradient(np.zeros(len(rows)), grades, cut)
         slope -= slope.mean()
         size = 1 << BITS
@@ -183,7 +183,7 @@ def fit(spark: SparkSession, docs: DataFrame, ratings: DataFrame, sample: int =
     got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")])
     if not got.num_rows:
         return None
-    places = [x.values.to_numpy().astype(np.int64) for x in got.column("places")]
+    places = [x.values.to_numpy() for x in got.column("places")]
     return OrdinalModel.fit(places, got.column("grade").to_numpy())
 
 
