@@ -1,15 +1,17 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Rows are dealt over shards of about ``SHARD_ROWS`` by a hash of their id.  A shard's graph
-is built in one task of bounded size: rows get a random order and random levels, and on each
-level a row links, under the diversity rule, to nearest rows that precede it in the
+Equal vectors are combined first: a row of the index is a distinct vector with its k + 1 smallest ids, enough
+for any k neighbours besides the own id.  Rows are dealt over shards of about ``SHARD_ROWS`` by a hash of
+their smallest id.  A shard's graph is built in one task of bounded size: rows get a random order and random
+levels, and on each level a row links, under the diversity rule, to nearest rows that precede it in the
 order (what insertion one by one gives with a perfect search), and back.  Rows that
 pruning has cut off are linked again.  The index, one row a shard with flat
 neighbour arrays, is written to the shared folder.
 
 Every query meets every shard's graph in a stream sorted by shard: one index row, then the
 queries.  Distances are computed again in double precision on the original
-vectors, and the shards' results are merged to the k nearest, ties to the smaller id.
+vectors, the rows found are expanded to their ids, and the shards' results are merged to the k nearest,
+ties to the smaller id.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, vectors of
 another length than the table's common one, and rows with a null id take no part; rows that
@@ -33,7 +35,8 @@ from ferrule.llm import vectors
 from ferrule.llm.common import shuffle_partitions, stage_table
 
 SHARD_ROWS, LINKS, CANDIDATES, WIDTH = 4096, 12, 48, 96
-INDEX = "shard int, ids binary, vectors binary, nodes array<binary>, offsets array<binary>, neighbours array<binary>"
+SALTS = 16
+INDEX = "shard int, ids binary, starts binary, vectors binary, nodes array<binary>, offsets array<binary>, neighbours array<binary>"
 
 
 def _diverse(near: np.ndarray, dist: np.ndarray, x: np.ndarray, most: int) -> np.ndarray:
@@ -116,20 +119,25 @@ def _reachable(x: np.ndarray, offsets: np.ndarray, flat: np.ndarray) -> tuple[np
 
 
 class Graph:
-    """A shard's index: vectors, and for each level its rows and their flat neighbour arrays."""
+    """A shard's index: vectors, the ids of each (flat, row r has those from ``starts[r]`` to ``starts[r + 1]``),
+    and for each level its rows and their flat neighbour arrays."""
 
-    def __init__(self, ids, x, nodes, offsets, neighbours):
-        self.ids, self.x, self.nodes, self.offsets, self.neighbours = ids, x, nodes, offsets, neighbours
+    def __init__(self, ids, starts, x, nodes, offsets, neighbours):
+        self.ids, self.starts, self.x = ids, starts, x
+        self.nodes, self.offsets, self.neighbours = nodes, offsets, neighbours
         self.small = x.astype(np.float32)
         self.norm = (self.small * self.small).sum(1)
         self.place = [{int(v): k for k, v in enumerate(own)} for own in nodes[1:]]
 
     @staticmethod
-    def build(ids: np.ndarray, x: np.ndarray, seed: int) -> Graph:
+    def build(ids: np.ndarray, x: np.ndarray, seed: int, counts: np.ndarray | None = None) -> Graph:
+        """``counts``: how many of the flat ``ids`` each row has (default: one)."""
         rng = np.random.default_rng(seed)
-        order = rng.permutation(len(ids))
-        ids, x = ids[order], x[order]
-        level = np.floor(-np.log(rng.random(len(ids))) / np.log(LINKS)).astype(int)
+        order = rng.permutation(len(x))
+        counts = np.ones(len(x), np.int64) if counts is None else counts
+        starts = np.concatenate([[0], np.cumsum(counts[order])]).astype(np.int64)
+        ids, x = ids[_runs((np.cumsum(counts) - counts)[order], counts[order])], x[order]
+        level = np.floor(-np.log(rng.random(len(x))) / np.log(LINKS)).astype(int)
         if len(level):
             level[0] = level.max()
         scale = np.abs(x).max() or 1.0
@@ -141,14 +149,14 @@ class Graph:
             nodes.append(own.astype(np.int32))
             offsets.append(o)
             neighbours.append(own[f].astype(np.int32))
-        return Graph(ids, x, nodes, offsets, neighbours)
+        return Graph(ids, starts, x, nodes, offsets, neighbours)
 
     def _near(self, level: int, row: int) -> np.ndarray:
         k = self.place[level - 1][row] if level else row
         return self.neighbours[level][self.offsets[level][k]:self.offsets[level][k + 1]]
 
     def search(self, q: np.ndarray, k: int, width: int, own_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact distances of the nearest rows found, but for those of ``own_id``."""
+        """The k nearest ids of the rows found and their exact distances, but for ``own_id``."""
         q32 = q.astype(np.float32)
         q_norm = float((q32 * q32).sum())
         x, norm = self.small, self.norm
@@ -188,24 +196,45 @@ class Graph:
                     continue
                 heappush(open_, (dv, v))
         rows = np.array([v for _, v in found])
-        rows = rows[self.ids[rows] != own_id]
-        exact = np.sqrt(((self.x[rows] - q) ** 2).sum(1))
-        top = np.lexsort((self.ids[rows], exact))[:k]
-        return self.ids[rows][top], exact[top]
+        counts = self.starts[rows + 1] - self.starts[rows]
+        ids = self.ids[_runs(self.starts[rows], counts)]
+        exact = np.repeat(np.sqrt(((self.x[rows] - q) ** 2).sum(1)), counts)
+        ids, exact = ids[ids != own_id], exact[ids != own_id]
+        top = np.lexsort((ids, exact))[:k]
+        return ids[top], exact[top]
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of runs one after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _distinct(rows: DataFrame, k: int) -> DataFrame:
+    """``rows`` (id, vec) as one row for each distinct vector: its k + 1 smallest ids, sorted; an id that
+    repeats with the vector up to k times.  A vector's ids are cut per salt first, so that one that many
+    rows share is dealt over ``SALTS`` tasks."""
+    each = (rows.groupBy("vec", "id").agg(F.count("*").alias("n"))
+            .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))))
+    for keys in (["vec", "salt"], ["vec"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("id"))
+        each = each.withColumn("place", place).where(F.col("place") <= k + 1).drop("place")
+    found = F.array_sort(F.collect_list(F.struct("id", F.least("n", F.lit(k)).cast("int").alias("n"))))
+    return each.groupBy("vec").agg(F.flatten(F.transform(found, lambda s: F.array_repeat(s["id"], s["n"]))).alias("ids"))
 
 
 def build_index(spark: SparkSession, rows: DataFrame, shards: int, length: int) -> DataFrame:
-    """``rows`` (id, vec) as one index row a shard."""
+    """``rows`` (vec, ids), one for each distinct vector, as one index row a shard."""
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.iloc[pdf["ids"].str[0].argsort(kind="stable")]
         x = np.array(pdf["vec"].tolist(), np.float64).reshape(-1, length)
-        order = pdf["id"].argsort(kind="stable").to_numpy()
         shard = int(pdf["shard"].iloc[0])
-        g = Graph.build(pdf["id"].to_numpy(np.int64)[order], x[order], shard)
+        g = Graph.build(np.concatenate(pdf["ids"].tolist()).astype(np.int64), x, shard, pdf["ids"].str.len().to_numpy(np.int64))
         lists = [[a.tobytes() for a in arrays] for arrays in (g.nodes, g.offsets, g.neighbours)]
-        return pd.DataFrame({"shard": [shard], "ids": [g.ids.tobytes()], "vectors": [g.x.tobytes()],
-                             "nodes": [lists[0]], "offsets": [lists[1]], "neighbours": [lists[2]]})
+        return pd.DataFrame({"shard": [shard], "ids": [g.ids.tobytes()], "starts": [g.starts.tobytes()],
+                             "vectors": [g.x.tobytes()], "nodes": [lists[0]], "offsets": [lists[1]],
+                             "neighbours": [lists[2]]})
 
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(shards)).cast("int"))
     return stage_table(spark, dealt.groupBy("shard").applyInPandas(build, INDEX), "graphs")
 
 
@@ -219,7 +248,7 @@ def _searcher(k: int, width: int, length: int):
             for r in range(b.num_rows):
                 if is_index[r]:
                     row = b.slice(r, 1).to_pylist()[0]
-                    graph = Graph(np.frombuffer(row["ids"], np.int64),
+                    graph = Graph(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["starts"], np.int64),
                                   np.frombuffer(row["vectors"], np.float64).reshape(-1, length),
                                   *([np.frombuffer(a, np.int32) for a in row[c]] for c in ("nodes", "offsets", "neighbours")))
                     continue
@@ -241,8 +270,9 @@ def nearest(spark: SparkSession, df: DataFrame, is_query: Column, k: int = 10, w
     rows = df.select(df[id_col].cast("long").alias("id"), df[vec_col].alias("vec"))
     length = vectors.common_length(rows, "vec")
     valid = rows.where(F.col("id").isNotNull() & vectors.finite(F.col("vec")) & (F.size("vec") == length))
-    shards = max(1, -(-valid.count() // shard_rows))
-    index = build_index(spark, valid, shards, length)
+    distinct = stage_table(spark, _distinct(valid, k), "distinct-vectors")
+    shards = max(1, -(-distinct.count() // shard_rows))
+    index = build_index(spark, distinct, shards, length)
     present = index.select("shard").distinct()
     asked = valid.where(is_query).select(F.col("id").alias("query_id"), "vec").withColumn(
         "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

@@ -115,6 +115,35 @@ def test_nearest_small_tables_and_ties(spark):
     assert first[0] == 3 and len(got) == 2
 
 
+@pytest.mark.parametrize("shard_rows", [4096, 120])
+def test_nearest_with_many_equal_vectors(spark, shard_rows):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(700, 8)).astype(np.float32)
+    x[100:400] = x[100]  # 300 copies
+    x[690:] = x[100] + np.float32(0.001) * rng.normal(size=(10, 8)).astype(np.float32)  # beside the group
+    ids = rng.permutation(700)
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)]
+    asked = [int(ids[k]) for k in (100, 101, 399, 690, 695, 5, 50, 600)]
+    got = ann.nearest(spark, table(spark, rows), F.col("id").isin(asked), k=10, shard_rows=shard_rows).collect()
+    doubles = x.astype(np.float64)
+    for q in asked:
+        own = [(r["vec_id"], r["score"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])]
+        assert own == brute_nearest(ids, doubles, q, 10)
+
+
+def test_nearest_with_equal_vectors_and_repeated_ids(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(4, [1.0, 2], 0)] * 30 + [(6, [1.0, 2], 0)] * 2 + [(9, [1.0, 2], 0), (8, [1.0, 2.5], 0), (1, [-0.0, 2], 0), (2, [0.0, 2], 0)]
+    got = ann.nearest(spark, table(spark, rows), F.col("id").isin(1, 9), k=4).collect()
+    of = {q: [(r["vec_id"], r["score"]) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] for q in (1, 9)}
+    assert of == {1: [(2, 0.0), (4, 1.0), (4, 1.0), (4, 1.0)], 9: [(4, 0.0)] * 4}
+    got = ann.nearest(spark, table(spark, rows[29:]), F.col("id") == 4, k=4).collect()
+    assert [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"])] == [6, 6, 9, 8]
+
+
 def test_every_row_of_a_graph_can_be_reached():
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(size=(300, 8)), np.ones((200, 8)) * 50, 90 + 0.001 * rng.normal(size=(60, 8))])
