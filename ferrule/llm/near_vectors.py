@@ -11,8 +11,10 @@ The codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector
 queried.  Rows travel by (label, first codeword), once for each first codeword they
 visit, with the second codewords to visit there.  Equal vectors of a label are combined first and count
 with their number.  A (label, first codeword) with more than ``HOT_HOMES`` stored
-vectors is split: stored rows are dealt over salts, queries go to each salt.  From a task
-come link counts and a forest over the linked rows, never all pairs.
+vectors is split into its product cells, each a key of its own to which only the queries go that visit it; a
+product cell with more stored vectors than that is split further: stored rows are dealt over salts, queries go to
+each salt.  A task holds the stored vectors of one key and salt, about ``HOT_HOMES``, and the queries
+stream past them in blocks.  From a task come link counts and a forest over the linked rows, never all pairs.
 
 Defined cases: a null label, a vector that is null, zero or holds null or non-finite
 components or whose length is not the table's common one, and a null id take no part
@@ -38,7 +40,7 @@ from ferrule.llm.components import connected
 from ferrule.llm.forest import merge
 
 SAMPLE, CODEWORDS, ROUNDS = 20_000, 64, 12
-HOT_HOMES, HOT_LIST, PAIRS = 20_000, 50_000, 1 << 20
+HOT_HOMES, HOT_LIST, PAIRS, BLOCK = 20_000, 50_000, 1 << 20, 1024
 
 
 def fit_codebook(x: np.ndarray, size: int, seed: int) -> np.ndarray:
@@ -108,14 +110,16 @@ def _homes(index: MultiIndex, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                i, _ = index.home(vectors.unit(vectors.block(b.column("vec"), length)))
-                yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(i.astype(np.int32))], ["label", "cell"])
+                i, j = index.home(vectors.unit(vectors.block(b.column("vec"), length)))
+                yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32))],
+                                                 ["label", "cell", "second"])
     return run
 
 
 def _visits(index: MultiIndex, length: int, hot: dict):
-    """A row for each (vector, first codeword visited, salt): the second codewords to visit, and the own
-    one if the vector is stored there (else -1)."""
+    """A row for each (vector, first codeword visited), or in a hot one (vector, product cell visited, salt): the
+    second codewords to visit, and the own one if the vector is stored there (else -1).  ``split`` is the second
+    codeword of a product cell that is a key of its own (else -1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
@@ -123,90 +127,154 @@ def _visits(index: MultiIndex, length: int, hot: dict):
                 one, two = index.distances(vectors.unit(vectors.block(b.column("vec"), length)))
                 i0, j0 = one.argmin(1).tolist(), two.argmin(1).tolist()
                 labels, reps = b.column("label").to_pylist(), b.column("rep").to_pylist()
-                rows, cells, salts, seconds, own = [], [], [], [], []
+                rows, cells, splits, salts, seconds, own = [], [], [], [], [], []
                 for r in range(b.num_rows):
                     by_first = defaultdict(bytearray)
                     for i, j in index.traverse(one[r], two[r]):
                         by_first[i].append(j)
                     for i, js in by_first.items():
-                        n = hot.get((labels[r], i), 1)
-                        for salt in range(n):
-                            rows.append(r)
-                            cells.append(i)
-                            salts.append(salt)
-                            seconds.append(bytes(js))
-                            own.append(j0[r] if i == i0[r] and crc32(str(reps[r]).encode()) % n == salt else -1)
+                        cell = hot.get((labels[r], i))
+                        for split, asked in ((-1, js),) if cell is None else ((j, (j,)) for j in js):
+                            stored = i == i0[r] and split in (-1, j0[r])
+                            n = 1 if cell is None else cell.get(split, 1)
+                            for salt in range(n):
+                                rows.append(r)
+                                cells.append(i)
+                                splits.append(split)
+                                salts.append(salt)
+                                seconds.append(bytes(asked))
+                                own.append(j0[r] if stored and crc32(str(reps[r]).encode()) % n == salt else -1)
                 taken = b.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(cells, pa.int32()), pa.array(salts, pa.int32()),
+                    [*taken.columns, pa.array(cells, pa.int32()), pa.array(splits, pa.int32()), pa.array(salts, pa.int32()),
                      pa.array(seconds, pa.binary()), pa.array(own, pa.int32())],
-                    [*taken.schema.names, "cell", "salt", "seconds", "own"])
+                    [*taken.schema.names, "cell", "split", "salt", "seconds", "own"])
     return run
 
 
-def _verify(similarity: float, length: int):
-    """Links of the stored vectors and the queries of each (label, cell, salt); the input is sorted by them."""
-    def group(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        x = vectors.unit(vectors.block(rows.column("vec"), length))
-        weight = rows.column("n").to_numpy()
+class Stored:
+    """The stored vectors of one (label, cell, split, salt): queries are compared to them a block at a time."""
+
+    def __init__(self, rows: pa.Table, similarity: float, length: int):
+        self.similarity, self.length = similarity, length
+        self.rep = rows.column("rep").combine_chunks()
+        self.x = vectors.unit(vectors.block(rows.column("vec"), length))
+        self.weight = rows.column("n").to_numpy()
         own = rows.column("own").to_numpy()
+        self.of = {j: np.flatnonzero(own == j) for j in np.unique(own).tolist()}
+        self.labels = np.arange(len(self.x))
+
+    def compare(self, rows: pa.RecordBatch, at: int = -1) -> Iterator[pa.RecordBatch]:
+        """Links of a block of queries: rows that are not stored here, or (``at``) the stored ones from there on."""
+        n, known = rows.num_rows, len(self.x)
+        if at < 0:
+            x, place = vectors.unit(vectors.block(rows.column("vec"), self.length)), known + np.arange(n)
+        else:
+            x, place = self.x[at:at + n], at + np.arange(n)
         queries = defaultdict(list)
         for r, js in enumerate(rows.column("seconds").to_pylist()):
             for j in js:
-                queries[j].append(r)
-        labels, count = np.arange(len(x)), np.zeros(len(x), np.int64)
-        for j in np.unique(own[own >= 0]).tolist():
-            stored = np.flatnonzero(own == j)
-            asking = np.array(queries[j], np.int64)
+                if j in self.of:
+                    queries[j].append(r)
+        labels, count = np.concatenate([self.labels, known + np.arange(n)]), np.zeros(n, np.int64)
+        for j, asking in queries.items():
+            asking, stored = np.array(asking, np.int64), self.of[j]
             step = max(1, PAIRS // len(stored))
-            for at in range(0, len(asking), step):
-                q = asking[at:at + step]
-                hit = (x[q] @ x[stored].T >= similarity) & (q[:, None] != stored[None])
+            for first in range(0, len(asking), step):
+                q = asking[first:first + step]
+                hit = (x[q] @ self.x[stored].T >= self.similarity) & (place[q][:, None] != stored[None])
                 if hit.any():
                     a, b = np.nonzero(hit)
-                    count += np.bincount(q[a], weights=weight[stored[b]], minlength=len(x)).astype(np.int64)
-                    merge(labels, q[a], stored[b])
-        rep = rows.column("rep").combine_chunks()
-        some = np.flatnonzero(count)
-        joined = np.flatnonzero(labels != np.arange(len(x)))
-        if len(some):
-            yield pa.RecordBatch.from_arrays(
-                [rep.take(pa.array(some)), pa.array(count[some]), pa.nulls(len(some), rep.type)], ["rep", "links", "other"])
-        if len(joined):
-            yield pa.RecordBatch.from_arrays(
-                [rep.take(pa.array(joined)), pa.array(np.zeros(len(joined), np.int64)),
-                 rep.take(pa.array(labels[joined]))], ["rep", "links", "other"])
+                    count += np.bincount(q[a], weights=self.weight[stored[b]], minlength=n).astype(np.int64)
+                    merge(labels, place[q[a]], stored[b])
+        self.labels = labels[:known].copy()
+        rep = rows.column("rep")
+        yield from _links(rep, count, np.flatnonzero(count))
+        if at < 0:
+            joined = np.flatnonzero(labels[known:] < known)
+            yield from _forest(rep, joined, self.rep, labels[known + joined])
+
+    def forest(self) -> Iterator[pa.RecordBatch]:
+        joined = np.flatnonzero(self.labels != np.arange(len(self.x)))
+        yield from _forest(self.rep, joined, self.rep, self.labels[joined])
+
+
+def _links(rep: pa.Array, count: np.ndarray, some: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(some):
+        yield pa.RecordBatch.from_arrays(
+            [rep.take(pa.array(some)), pa.array(count[some]), pa.nulls(len(some), rep.type)], ["rep", "links", "other"])
+
+
+def _forest(rep: pa.Array, joined: np.ndarray, other: pa.Array, to: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(joined):
+        yield pa.RecordBatch.from_arrays(
+            [rep.take(pa.array(joined)), pa.array(np.zeros(len(joined), np.int64)), other.take(pa.array(to))],
+            ["rep", "links", "other"])
+
+
+def _verify(similarity: float, length: int):
+    """Links of the stored vectors and the queries of each (label, cell, split, salt); the input is sorted by
+    them, the stored rows of each first.  Only those are held."""
+    def settle(held: list[pa.RecordBatch]) -> tuple[Stored | None, list[pa.RecordBatch]]:
+        if not held:
+            return None, []
+        rows = pa.Table.from_batches(held)
+        stored, found = Stored(rows, similarity, length), []
+        for at in range(0, rows.num_rows, BLOCK):
+            found += stored.compare(rows.slice(at, BLOCK).combine_chunks().to_batches()[0], at)
+        return stored, found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
+        held, stored, open_, key = [], None, False, None
         for b in batches:
-            keys = list(zip(*(b.column(c).to_pylist() for c in ("label", "cell", "salt")), strict=True))
+            own = (b.column("own").to_numpy(zero_copy_only=False) >= 0).tolist()
+            keys = list(zip(*(b.column(c).to_pylist() for c in ("label", "cell", "split", "salt")), own, strict=True))
             at = 0
             while at < len(keys):
                 end = at + 1
                 while end < len(keys) and keys[end] == keys[at]:
                     end += 1
-                if held and keys[at] != key:
-                    yield from group(pa.Table.from_batches(held))
-                    held = []
-                key = keys[at]
-                held.append(b.slice(at, end - at))
+                if key is None or keys[at][:-1] != key:
+                    if open_:
+                        stored, found = settle(held)
+                        yield from found
+                    if stored:
+                        yield from stored.forest()
+                    held, stored, open_, key = [], None, True, keys[at][:-1]
+                if keys[at][-1]:
+                    held.append(b.slice(at, end - at))
+                else:
+                    if open_:
+                        stored, found = settle(held)
+                        yield from found
+                        held, open_ = [], False
+                    if stored:
+                        for start in range(at, end, BLOCK):
+                            yield from stored.compare(b.slice(start, min(BLOCK, end - start)))
                 at = end
-        if held:
-            yield from group(pa.Table.from_batches(held))
+        if open_:
+            stored, found = settle(held)
+            yield from found
+        if stored:
+            yield from stored.forest()
     return run
 
 
 def _hot_cells(spark: SparkSession, reps: DataFrame, index: MultiIndex, length: int) -> dict:
-    """Salts of each (label, first codeword) with too many stored vectors; at most ``HOT_LIST`` entries."""
+    """The hot (label, first codeword)s, those with too many stored vectors, and in each the salts of the product
+    cells that have too many themselves; at most ``HOT_LIST`` entries."""
     kind = reps.schema["label"].dataType.simpleString()
-    homes = stage_table(spark, reps.select("label", "vec").mapInArrow(_homes(index, length), f"label {kind}, cell int")
-                        .groupBy("label", "cell").count().where(F.col("count") > HOT_HOMES), "cells")
+    cells = stage_table(spark, reps.select("label", "vec").mapInArrow(_homes(index, length), f"label {kind}, cell int, second int")
+                        .groupBy("label", "cell", "second").count(), "cells")
+    firsts = cells.groupBy("label", "cell").agg(F.sum("count").alias("count"))
     limit = HOT_HOMES
     while True:
-        hot = homes.where(F.col("count") > limit)
-        if hot.count() <= HOT_LIST:
-            return {(r["label"], r["cell"]): -(-r["count"] // limit) for r in hot.collect()}
+        hot, split = firsts.where(F.col("count") > limit), cells.where(F.col("count") > limit)
+        if hot.count() + split.count() <= HOT_LIST:
+            found = {(r["label"], r["cell"]): {} for r in hot.collect()}
+            for r in split.collect():
+                found[r["label"], r["cell"]][r["second"]] = -(-r["count"] // limit)
+            return found
         limit *= 2
 
 
@@ -227,9 +295,9 @@ def near_duplicates(spark: SparkSession, df: DataFrame, similarity: float = 0.98
         index = MultiIndex(vectors.unit(vectors.block(drawn.column("vec"), length)), similarity, target)
         hot = _hot_cells(spark, reps, index, length)
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in reps.schema.fields)
-        visits = reps.mapInArrow(_visits(index, length, hot), f"{schema}, cell int, salt int, seconds binary, own int")
-        dealt = visits.repartition(shuffle_partitions(spark), "label", "cell", "salt").sortWithinPartitions(
-            "label", "cell", "salt")
+        visits = reps.mapInArrow(_visits(index, length, hot), f"{schema}, cell int, split int, salt int, seconds binary, own int")
+        key = ["label", "cell", "split", "salt"]
+        dealt = visits.repartition(shuffle_partitions(spark), *key).sortWithinPartitions(*key, F.col("own") < 0)
         kind = reps.schema["rep"].dataType.simpleString()
         found = dealt.mapInArrow(_verify(similarity, length), f"rep {kind}, links long, other {kind}")
     else:

@@ -59,6 +59,39 @@ def test_near_vectors_against_brute_force(spark, hot, monkeypatch):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values() if r["vec_id"] is not None)
 
 
+def test_hot_cell_holds_only_a_bounded_stored_block(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "HOT_HOMES", 40)
+    monkeypatch.setattr(near_vectors, "BLOCK", 32)
+    rng = np.random.default_rng(6)
+    x = (np.ones(16) + 0.01 * rng.normal(size=(400, 16))).astype(np.float32)  # one cell of near copies
+    x[300:] = rng.normal(size=(100, 16))
+    rows = [(k, x[k].tolist(), 1) for k in range(400)]
+    reps = spark.createDataFrame([(i, v, k, i, 1) for i, v, k in rows], "vec_id long, vec array<float>, label int, rep long, n long")
+    index = near_vectors.MultiIndex(near_vectors.vectors.unit(x[299:].astype(float)), 0.98, 0.999)
+    hot = near_vectors._hot_cells(spark, reps, index, 16)
+    assert any(n > 1 for cell in hot.values() for n in cell.values())
+    schema = "vec_id long, vec array<float>, label int, rep long, n long, cell int, split int, salt int, seconds binary, own int"
+    key = ["label", "cell", "split", "salt"]
+    visits = reps.coalesce(1).mapInArrow(near_vectors._visits(index, 16, hot), schema).sort(*key, near_vectors.F.col("own") < 0)
+    batches = visits.toArrow().combine_chunks().to_batches(max_chunksize=50)
+    sizes = []
+
+    block = near_vectors.vectors.block
+
+    def counted(column, length):
+        sizes.append(len(column))
+        return block(column, length)
+
+    monkeypatch.setattr(near_vectors.vectors, "block", counted)
+    out = [r for b in near_vectors._verify(0.98, 16)(iter(batches)) for r in b.to_pylist()]
+    assert max(sizes) <= 80  # a salt's stored rows or a block of queries, never the whole cell
+    links, _ = brute_links(rows, 0.98)
+    found = np.zeros(400, int)
+    for r in out:
+        found[r["rep"]] += r["links"]
+    assert found.sum() >= 0.99 * links.sum() and (found <= links).all()
+
+
 def test_traversal_is_in_order_of_the_sums():
     rng = np.random.default_rng(1)
     index = near_vectors.MultiIndex.__new__(near_vectors.MultiIndex)
