@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.llm import byte_bpe, mixing, pii, quality, simhash
-from ferrule.llm.common import read_documents, stage_table
+from ferrule.llm.common import read_documents, stage_table, text_of
 from ferrule.llm.queries import (
     MIXTURE,
     QUALITY_CUT,
@@ -23,10 +23,23 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    found = simhash.near_duplicates(spark, docs, SHINGLE_WORDS, SIMHASH_BITS)
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: that of the smallest id, and of the rows that repeat it the smallest by
+    text, then by the other columns in order (nulls first).  A row with a null id is a member of its text's
+    group like any other: it is dropped for one with an id, and of a group without ids the rows of the text with the
+    smallest SHA-256 stay, reduced to one in the same order."""
+    text = text_of(docs, "text")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                   F.when(F.col("doc_id").isNull(), F.sha2(text, 256)).otherwise("").alias("sha"))
+    keyed = docs.withColumn("group_key", key)
+    found = simhash.near_duplicates(spark, keyed, SHINGLE_WORDS, SIMHASH_BITS, id_col="group_key")
+    of_key = found.groupBy(F.col("doc_id").alias("group_key")).agg(
+        (F.col("group_key") == F.min("component_id")).alias("first"), F.count("*").alias("n"))
+    other = stage_table(spark, of_key.where("NOT first OR n > 1"), "copies")
+    repeated = stage_table(spark, other.where("first").select("group_key"), "repeated")
+    single = keyed.join(other, "group_key", "left_anti").select(*docs.columns)
+    columns = ["text", *(c for c in docs.columns if c != "text")]
+    least = keyed.join(repeated, "group_key", "left_semi").groupBy("group_key").agg(F.min(F.struct(*columns)).alias("row"))
+    return single.union(least.select(*(F.col("row")[c].alias(c) for c in docs.columns)))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

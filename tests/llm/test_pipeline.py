@@ -58,6 +58,25 @@ def test_odd_rows_pass_every_stage(spark, make_docs, sf):
         assert empty == (out.count() == 0)
 
 
+def test_one_row_of_each_group(spark, sf):
+    long = " ".join(f"word{k}" for k in range(400))
+    other, third = (" ".join(f"{w}{k}" for k in range(300)) for w in ("other", "third"))
+    rows = [(5, long, "en"), (5, long, "de"), (5, long, None), (9, long, "en"), (None, long, "en"),  # a repeated smallest id
+            (None, other, "fr"), (None, other, "de"), (None, other + " ", "aa"),  # no id at all
+            (7, third, "en"), (None, third, "en"), (8, "something of its own", "en"), (None, "also of its own", "en"),
+            (0, "number zero by itself", "en"), (None, None, "en"), (None, "", "de")]
+    docs = spark.createDataFrame([(i, x, lang, "s", 1) for i, x, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.keep_one_of_each(spark, docs, sf)
+    assert out.columns == docs.columns
+    got = [(r["doc_id"], r["text"], r["lang"]) for r in out.collect()]
+    kept = [other, other + " "]
+    text = min(kept, key=lambda x: hashlib.sha256(x.encode()).hexdigest())
+    want = [(5, long, None), (None, text, "de" if text == other else "aa"), (7, third, "en"), (8, "something of its own", "en"),
+            (None, "also of its own", "en"), (0, "number zero by itself", "en"), (None, None, "en")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert corpus_pipeline.keep_one_of_each(spark, docs.limit(0), sf).count() == 0
+
+
 def test_registered_names():
     import __spark_entry__
 
