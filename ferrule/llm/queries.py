@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.llm import (
-    ann, byte_bpe, chat, mixing, near_vectors, pii, quality, simhash, substrings, token_counts,
+    ann, byte_bpe, chat, merkle, mixing, near_vectors, pii, quality, simhash, substrings, token_counts,
 )
 from ferrule.llm.common import read_documents
 from ferrule.session import scratch_path
@@ -28,6 +28,7 @@ TOKEN_LIMIT = 1024
 SHINGLE_WORDS, SIMHASH_BITS = 4, 4
 COSINE = 0.98
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +103,17 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(spark, spark.read.parquet(table_path(sf_dir, "embeddings")), COSINE)
 
 
+def tampered_text(docs: DataFrame) -> Column:
+    """The text without line feeds where 2 divides the CRC-32 of the decimal id."""
+    chosen = F.crc32(docs["doc_id"].cast("string")) % 2 == 0
+    return F.when(chosen, F.replace(docs["text"], F.lit("\n"), F.lit(""))).otherwise(docs["text"])
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return merkle.manifest(spark, docs, MANIFEST_FIELDS, {"text": tampered_text(docs)})
+
+
 OP8_SQL = f"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -167,6 +179,66 @@ SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_link
 FROM v JOIN least ON least.node = v.vec_id
 """
 
+def _written_sql(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_written_sql(text if f == "text" else f) for f in MANIFEST_FIELDS) + ")"
+
+
+#: Trees of sources have a number of the source as ``g``; the tree of subroots has -1.
+OP13_SQL = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) AS r(b)
+), marked AS (
+  SELECT d.*, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+         xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                         lambda crc, b: xor(crc >> 8, t[CAST(xor(crc, b) & 255 AS INTEGER) + 1]), 4294967295), 4294967295) AS crc
+  FROM documents d, crc_table
+), leaves AS (
+  SELECT *, {_leaf_sql("text")} AS leaf,
+         {_leaf_sql("CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END")} AS claim
+  FROM marked
+), numbered AS (
+  SELECT doc_id, g, leaf, claim, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY g) AS n
+  FROM leaves
+), tree AS (
+  SELECT g, 0 AS level, pos, leaf AS node, n FROM numbered
+  UNION ALL
+  SELECT g, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM tree WHERE n > 1
+  GROUP BY g, level, pos // 3, n
+), subroots AS (
+  SELECT g, node, count(*) OVER () AS sources FROM tree WHERE n = 1
+), upper AS (
+  SELECT -1 AS g, 0 AS level, g AS pos, node, sources AS n FROM subroots
+  UNION ALL
+  SELECT g, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM upper WHERE n > 1
+  GROUP BY g, level, pos // 3, n
+), steps AS (
+  SELECT a.g, a.level, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM (SELECT * FROM tree UNION ALL SELECT * FROM upper) a
+  JOIN (SELECT * FROM tree UNION ALL SELECT * FROM upper) b ON a.g = b.g AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  WHERE a.n > 1 GROUP BY a.g, a.level, a.pos
+), found AS (
+  SELECT n.doc_id, n.leaf, n.claim, n.g, n.pos, s.level AS lvl, s.l, s.r
+  FROM numbered n JOIN range(64) AS t(k) ON pow(3, k) < n.n JOIN steps s ON s.g = n.g AND s.level = k AND s.pos = n.pos // CAST(pow(3, k) AS BIGINT)
+  UNION ALL
+  SELECT n.doc_id, n.leaf, n.claim, n.g, n.pos, 1000 + s.level, s.l, s.r
+  FROM numbered n JOIN range(64) AS t(k) ON k < 40 JOIN steps s ON s.g = -1 AND s.level = k AND s.pos = n.g // CAST(pow(3, k) AS BIGINT)
+), paths AS (
+  SELECT g, pos, list(l || '|' || r ORDER BY lvl) AS path FROM found GROUP BY g, pos
+)
+SELECT n.doc_id, n.leaf, s.node AS subroot, u.node AS root,
+       sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+       list_reduce(coalesce(path, []), lambda node, x: sha256(split_part(x, '|', 1) || node || split_part(x, '|', 2)), claim) AS folded_root,
+       list_reduce(coalesce(path, []), lambda node, x: sha256(split_part(x, '|', 1) || node || split_part(x, '|', 2)), claim) = u.node AS verified
+FROM numbered n LEFT JOIN paths p ON p.g = n.g AND p.pos = n.pos JOIN subroots s ON s.g = n.g JOIN upper u ON u.n = 1
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_substring_dedup": op2_substring_dedup,
@@ -178,5 +250,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_near_vectors": op10_near_vectors,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op8_chat_format": OP8_SQL, "op10_near_vectors": OP10_SQL}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op8_chat_format": OP8_SQL, "op10_near_vectors": OP10_SQL,
+           "op13_merkle_manifest": OP13_SQL}
