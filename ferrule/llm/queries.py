@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ferrule.llm import (
-    ann, byte_bpe, chat, merkle, mixing, near_vectors, pii, quality, simhash, substrings, token_counts,
+    ann, byte_bpe, chat, merkle, mixing, near_vectors, pii, quality, secret_scan, simhash, substrings, token_counts,
 )
 from ferrule.llm.common import read_documents
 from ferrule.session import scratch_path
@@ -103,6 +103,11 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(spark, spark.read.parquet(table_path(sf_dir, "embeddings")), COSINE)
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    return secret_scan.find(spark, docs, secret_scan.train(spark, docs))
+
+
 def tampered_text(docs: DataFrame) -> Column:
     """The text without line feeds where 2 divides the CRC-32 of the decimal id."""
     chosen = F.crc32(docs["doc_id"].cast("string")) % 2 == 0
@@ -250,6 +255,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_near_vectors": op10_near_vectors,
+    "op12_secret_scan": op12_secret_scan,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op8_chat_format": OP8_SQL, "op10_near_vectors": OP10_SQL,
