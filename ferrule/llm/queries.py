@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ferrule.llm import (
     ann, byte_bpe, chat, merkle, mixing, near_vectors, pii, quality, secret_scan, simhash, substrings, token_counts,
+    whitening,
 )
 from ferrule.llm.common import read_documents
 from ferrule.session import scratch_path
@@ -103,6 +104,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_duplicates(spark, spark.read.parquet(table_path(sf_dir, "embeddings")), COSINE)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, spark.read.parquet(table_path(sf_dir, "embeddings")))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     return secret_scan.find(spark, docs, secret_scan.train(spark, docs))
@@ -255,6 +260,7 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_near_vectors": op10_near_vectors,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_secret_scan": op12_secret_scan,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
