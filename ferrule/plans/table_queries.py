@@ -17,6 +17,7 @@ from ferrule.plans.registry import register
 from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources import sinks as S
+from ferrule.sources import versioned as V
 from ferrule.sources.tables import (CLIENT_FACT_TABLE, CLIENT_PROCESSED_SCHEMA, CLIENT_STAGING_TABLE, PARTNER_FACT_TABLE,
                                     table_definitions)
 
@@ -26,13 +27,13 @@ SELECT *, strftime(order_date, '%Y-%m') AS month FROM (
   SELECT 'late-' || discount_code, orders, revenue, NULL, client_name FROM refresh_load
   WHERE order_date = DATE '2000-06-05') x""", ids=("S13", "W2", "K10", "K14"))
 def fact_table_refresh(spark, sf):
-    """Create the fact table if missing, load the existing rows, refresh it
-    by a new load that has undated rows too, read it back."""
+    """Create the versioned fact if missing, publish the existing rows, refresh it
+    by a new load that has undated rows too, read what the view shows."""
     name = f"{CLIENT_FACT_TABLE}_{uuid.uuid4().hex[:10]}"
     schema, parts = table_definitions()[CLIENT_FACT_TABLE]
-    S.create_table_if_missing(spark, name, schema, scratch_path(spark, "fact-table"), parts)
+    V.create(spark, name, schema, scratch_path(spark, "fact-table"), parts)
     existing = fx.refresh_existing(spark, sf).withColumn("month", F.date_format("order_date", "yyyy-MM"))
-    S.insert_partitions(existing, name, ["client_name", "month"])
+    V.publish(spark, name, existing, lambda sets: sets)
     load = fx.refresh_load(spark, sf)
     late = load.where("order_date = DATE '2000-06-05'").withColumns({
         "discount_code": F.concat(F.lit("late-"), F.col("discount_code")), "order_date": F.lit(None).cast("date")})
@@ -50,12 +51,12 @@ def partner_fact_refresh(spark, sf):
     """The partner fact as a table: load the old rows, replace one week from staging, read it back."""
     name = f"{PARTNER_FACT_TABLE}_{uuid.uuid4().hex[:10]}"
     schema, parts = table_definitions()[PARTNER_FACT_TABLE]
-    S.create_table_if_missing(spark, name, schema, scratch_path(spark, "partner-fact"), parts)
+    V.create(spark, name, schema, scratch_path(spark, "partner-fact"), parts)
     at = lambda t: F.lit(t).cast("timestamp_ntz")
     old = partner_old(spark, sf).withColumns({"loaded_at": at("2024-01-01 00:00:00"), "month": F.date_format("date", "yyyy-MM")})
-    S.insert_partitions(old, name, parts)
+    V.publish(spark, name, old, lambda sets: sets)
     staging = partner_load(spark, sf).withColumn("loaded_at", at("2024-02-01 00:00:00"))
-    S.refresh_table_by_window(spark, name, staging, "adscribe", "2024-01-08", "2024-01-14", scratch_path(spark, "partner-refresh"))
+    S.refresh_table_by_window(spark, name, staging, "adscribe", "2024-01-08", "2024-01-14")
     return spark.table(name).select(*schema.fieldNames())
 
 

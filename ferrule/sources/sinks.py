@@ -238,7 +238,7 @@ def write_lineage(df: DataFrame, path: str) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(path))
 
 
-# --- catalog fact table (S13) and its refresh publish (W2, K14) -----------------------
+# --- catalog tables (S13) and the published refresh (W1, W2, K14) -----------------------
 
 def create_table_if_missing(spark: SparkSession, name: str, schema: T.StructType, location: str,
                             partition_cols: list[str]) -> None:
@@ -265,64 +265,56 @@ def insert_partitions(df: DataFrame, table: str, partition_cols: list[str]) -> N
         spark.conf.set(key, previous)
 
 
-def _swap(spark: SparkSession, table: str, current: DataFrame, refreshed: DataFrame, parts: list[str],
-          scratch: str) -> None:
-    """Stage ``refreshed`` (never overwrite what is being read), put its partitions in
-    place of the table's, and drop, in one statement, the partitions of ``current`` that it leaves empty."""
-    before = {tuple(r) for r in current.select(*parts).distinct().collect()}
-    refreshed.write.mode("overwrite").parquet(scratch)
-    staged = spark.read.schema(refreshed.schema).parquet(scratch)
-    after = {tuple(r) for r in staged.select(*parts).distinct().collect()}
-    insert_partitions(staged, table, parts)
-    gone = sorted(p for p in before - after if None not in p)
-    if gone:
-        quoted = lambda v: str(v).replace("\\", "\\\\").replace("'", "\\'")
-        specs = ", ".join("PARTITION (" + ", ".join(f"{c} = '{quoted(v)}'" for c, v in zip(parts, p, strict=True)) + ")"
-                          for p in gone)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+FEW_CLIENTS = 200
 
 
 def refresh_table_by_load(spark: SparkSession, table: str, load: DataFrame, scratch: str,
                           client_col: str = "client_name", date_col: str = "order_date",
                           month_col: str = "month") -> None:
-    """W2 published: recompute the (client, month) partitions that the load's
-    per-client [min, max] range touches and swap them in.
+    """W2 published: recompute the (client, month) partitions of a versioned table that the load's
+    per-client [min, max] range touches, and publish them in one statement (``versioned.publish``).
 
-    The load is staged once.  Its ranges, a row per client, become literal
-    partition filters on the fact, so other partitions are not listed or read; a client with
+    The load is staged once.  The ranges of up to ``FEW_CLIENTS`` clients become literal
+    partition filters on the fact; those of more are joined, with the months of all of them as a literal filter.  A client with
     undated rows also rereads its undated partition, whose rows stay.  The number
-    of jobs does not depend on the length of the range.
+    of jobs does not depend on the length of the range or the number of clients.
     """
     from ferrule.operators.refresh import refresh_by_load
+    from ferrule.sources import versioned
+    read = versioned.current_set(spark, table)
     fact = spark.table(table)
-    load.select(*[c for c in fact.columns if c != month_col]).write.mode("overwrite").parquet(f"{scratch}/load")
-    incoming = spark.read.parquet(f"{scratch}/load")
+    load.select(*[c for c in fact.columns if c != month_col]).write.mode("overwrite").parquet(scratch)
+    incoming = spark.read.schema(fact.drop(month_col).schema).parquet(scratch)
     month = lambda c: F.date_format(c, "yyyy-MM")
-    ranges = incoming.groupBy(client_col).agg(
-        month(F.min(date_col)).alias("lo"), month(F.max(date_col)).alias("hi"),
-        F.max(F.col(date_col).isNull()).alias("undated")).collect()
-    touched = F.lit(False)
-    for r in ranges:
-        months = F.lit(False)
-        if r["lo"] is not None:
-            months = F.col(month_col).between(r["lo"], r["hi"])
-        if r["undated"]:
-            months = months | F.col(month_col).isNull()
-        touched = touched | (F.col(client_col).eqNullSafe(F.lit(r[client_col])) & months)
-    current = fact.where(touched)
+    ranges = incoming.groupBy(F.col(client_col).alias("of")).agg(
+        month(F.min(date_col)).alias("lo"), month(F.max(date_col)).alias("hi"), F.max(F.col(date_col).isNull()).alias("undated"))
+    few = ranges.limit(FEW_CLIENTS + 1).collect()
+    hit = lambda lo, hi, undated: F.col(month_col).between(lo, hi) | (undated & F.col(month_col).isNull())
+    if len(few) <= FEW_CLIENTS:
+        touched = F.lit(False)
+        for r in few:
+            touched = touched | (F.col(client_col).eqNullSafe(F.lit(r["of"])) & hit(*map(F.lit, (r["lo"], r["hi"], r["undated"]))))
+        touched = F.coalesce(touched, F.lit(False))
+        current, untouched = fact.where(touched), lambda sets: sets.where(~touched)
+    else:
+        span = ranges.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+        inside = F.col(month_col).isNull() | F.coalesce(F.col(month_col).between(F.lit(span["lo"]), F.lit(span["hi"])), F.lit(False))
+        same = F.col(client_col).eqNullSafe(F.col("of")) & F.coalesce(hit(F.col("lo"), F.col("hi"), F.col("undated")), F.lit(False))
+        current, untouched = fact.where(inside).join(ranges, same, "left_semi"), lambda sets: sets.join(ranges, same, "left_anti")
     refreshed = refresh_by_load(current.drop(month_col), incoming, client_col, date_col).withColumn(
         month_col, month(F.col(date_col)))
-    _swap(spark, table, current, refreshed, [client_col, month_col], f"{scratch}/fact")
+    versioned.publish(spark, table, refreshed, untouched, read)
 
 
 def refresh_table_by_window(spark: SparkSession, table: str, staging: DataFrame, source_type: str, start: str, end: str,
-                            scratch: str, date_col: str = "date", source_col: str = "source_type",
-                            month_col: str = "month") -> None:
-    """W1 published: replace one source's rows dated inside [start, end] in a fact partitioned
-    by (source, month); only the window's months are read."""
+                            date_col: str = "date", source_col: str = "source_type", month_col: str = "month") -> None:
+    """W1 published: replace one source's rows dated inside [start, end] in a versioned fact partitioned
+    by (source, month); only the window's months are read, and one statement publishes them."""
     from ferrule.operators.refresh import refresh_window
-    fact = spark.table(table)
-    current = fact.where((F.col(source_col) == source_type) & F.col(month_col).between(start[:7], end[:7]))
+    from ferrule.sources import versioned
+    read = versioned.current_set(spark, table)
+    touched = F.coalesce((F.col(source_col) == source_type) & F.col(month_col).between(start[:7], end[:7]), F.lit(False))
+    current = spark.table(table).where(touched)
     refreshed = refresh_window(current.drop(month_col), staging, source_type, start, end, date_col, source_col).withColumn(
         month_col, F.date_format(date_col, "yyyy-MM"))
-    _swap(spark, table, current, refreshed, [source_col, month_col], scratch)
+    versioned.publish(spark, table, refreshed, lambda sets: sets.where(~touched), read)

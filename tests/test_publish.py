@@ -4,12 +4,14 @@ load's range; common cleaning keeps large amounts intact."""
 import datetime as dt
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrule.plans.client_load import common_cleaning
 from ferrule.session import scratch_path
 from ferrule.sources import sinks as S
+from ferrule.sources import versioned as V
 
 D = dt.date
 FACT = "discount_code string, orders bigint, revenue double, order_date date, client_name string"
@@ -19,13 +21,11 @@ SCHEMA = T.StructType([T.StructField("discount_code", T.StringType()), T.StructF
 
 
 def test_refresh_table_clears_emptied_month(spark):
-    name = f"t_fact_{uuid.uuid4().hex[:8]}"
-    S.create_table_if_missing(spark, name, SCHEMA, scratch_path(spark, "t-fact"), ["client_name", "month"])
-    existing = spark.createDataFrame([
+    existing = [
         ("a", 1, 1.0, D(2024, 1, 10), "alpha"), ("a", 1, 2.0, D(2024, 2, 10), "alpha"),
         ("a", 1, 3.0, D(2024, 3, 10), "alpha"), ("a", 1, 4.0, D(2024, 2, 10), "beta"),
-        ("a", 1, 5.0, None, "alpha")], FACT).withColumn("month", F.date_format("order_date", "yyyy-MM"))
-    S.insert_partitions(existing, name, ["client_name", "month"])
+        ("a", 1, 5.0, None, "alpha")]
+    name = _fact(spark, existing)
     load = spark.createDataFrame([("n", 9, 9.0, D(2024, 1, 5), "alpha"), ("n", 9, 9.5, D(2024, 3, 20), "alpha")],
                                  FACT)
     S.refresh_table_by_load(spark, name, load, scratch_path(spark, "t-fact-scratch"))
@@ -75,12 +75,78 @@ def test_manifest_formats(spark):
 
 def _fact(spark, rows):
     name = f"t_fact_{uuid.uuid4().hex[:8]}"
-    S.create_table_if_missing(spark, name, SCHEMA, scratch_path(spark, "t-fact"), ["client_name", "month"])
-    S.insert_partitions(spark.createDataFrame(rows, FACT).withColumn("month", F.date_format("order_date", "yyyy-MM")),
-                        name, ["client_name", "month"])
+    V.create(spark, name, SCHEMA, scratch_path(spark, "t-fact"), ["client_name", "month"])
+    V.publish(spark, name, spark.createDataFrame(rows, FACT).withColumn("month", F.date_format("order_date", "yyyy-MM")), lambda sets: sets)
     return name
 
 
+def _rows(spark, name):
+    return sorted((str(r.client_name), str(r.order_date), r.revenue) for r in spark.table(name).collect())
+
+
+OLD = [("a", 1, 1.0, D(2024, 1, 10), "alpha"), ("a", 1, 2.0, D(2024, 2, 10), "alpha"), ("a", 1, 3.0, D(2024, 3, 10), "alpha"),
+       ("a", 1, 4.0, D(2024, 2, 10), "beta"), ("a", 1, 5.0, None, "alpha"), ("a", 1, 6.0, D(2024, 2, 1), None), ("a", 1, 7.0, D(2024, 2, 1), "it's")]
+NEW = [("n", 9, 9.0, D(2024, 1, 5), "alpha"), ("n", 9, 9.5, D(2024, 3, 20), "alpha"), ("n", 9, 8.0, None, "beta"), ("n", 9, 6.5, D(2024, 2, 9), None)]
+SEEN = sorted([("alpha", "2024-01-05", 9.0), ("alpha", "2024-03-20", 9.5), ("alpha", "None", 5.0), ("beta", "2024-02-10", 4.0), ("beta", "None", 8.0),
+               ("None", "2024-02-01", 6.0), ("None", "2024-02-09", 6.5), ("it's", "2024-02-01", 7.0)])
+
+
+def test_readers_see_the_old_set_until_the_commit(spark, monkeypatch):
+    """A failure before the one committing statement leaves readers where they were; the retry publishes all."""
+    name = _fact(spark, OLD)
+    before, load = _rows(spark, name), spark.createDataFrame(NEW, FACT)
+    held = spark.table(name)  # a reader whose plan is older than the publish
+
+    def fail(*_):
+        assert _rows(spark, name) == before  # all data is written, none of it is seen
+        raise OSError("lost before the commit")
+
+    with monkeypatch.context() as m:
+        m.setattr(V, "_point", fail)
+        with pytest.raises(OSError):
+            S.refresh_table_by_load(spark, name, load, scratch_path(spark, "t-scratch"))
+    assert _rows(spark, name) == before
+    S.refresh_table_by_load(spark, name, load, scratch_path(spark, "t-scratch"))
+    assert _rows(spark, name) == SEEN
+    assert sorted((str(r.client_name), str(r.order_date), r.revenue) for r in held.collect()) == before
+
+
+def test_a_stale_writer_does_not_publish(spark):
+    name = _fact(spark, OLD)
+    read = V.current_set(spark, name)
+    rows = spark.table(name)
+    V.publish(spark, name, rows.where("client_name = 'beta'"), lambda sets: sets.where("false"), read)
+    with pytest.raises(V.StalePublish):
+        V.publish(spark, name, rows, lambda sets: sets, read)
+    assert _rows(spark, name) == [("beta", "2024-02-10", 4.0)]
+
+
+def test_many_clients_are_joined_not_listed(spark, monkeypatch):
+    monkeypatch.setattr(S, "FEW_CLIENTS", 1)
+    name = _fact(spark, OLD)
+    S.refresh_table_by_load(spark, name, spark.createDataFrame(NEW, FACT), scratch_path(spark, "t-scratch"))
+    assert _rows(spark, name) == SEEN
+
+
+def test_vacuum_drops_what_no_kept_set_names(spark):
+    name = _fact(spark, OLD)
+    load = spark.createDataFrame(NEW[:2], FACT)
+    for _ in range(3):
+        S.refresh_table_by_load(spark, name, load, scratch_path(spark, "t-scratch"))
+    seen = _rows(spark, name)
+    versions = lambda: spark.table(f"{name}_rows").select("version").distinct().count()
+    assert versions() == 4
+    assert V.vacuum(spark, name, keep=0) > 0
+    assert versions() == 2 and _rows(spark, name) == seen
+    assert spark.table(f"{name}_sets").select("set_id").distinct().count() == 1
+
+
+def test_untouched_partitions_are_not_read(spark):
+    name = _fact(spark, OLD)
+    plan = spark.table(name).where("client_name = 'beta' AND month = '2024-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "client_name" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_undated_load_rows_do_not_replace_undated_rows(spark):
     name = _fact(spark, [("a", 1, 5.0, None, "alpha"), ("a", 1, 1.0, D(2024, 1, 10), "alpha"), ("a", 1, 2.0, None, "beta")])
     load = spark.createDataFrame([("n", 9, 7.0, None, "alpha"), ("n", 9, 9.0, D(2024, 1, 5), "alpha")], FACT)
