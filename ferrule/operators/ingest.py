@@ -88,32 +88,47 @@ def event_rows(messages: DataFrame, known_clients: list[str], unwrap: bool = Fal
     })
 
 
-def first_per_key(rows: DataFrame, key: str | list[str], order: list[str]) -> DataFrame:
-    """Winner per key: the row with the smallest ``order`` tuple.
+EARLIEST_MICROS = -62_135_596_800_000_000
 
-    ``min`` over a struct is an ordinary aggregate, so a key holding a third
-    of the rows is reduced map-side before the shuffle.
-    """
+
+def arrival_rank(time: str, *ties: str) -> Column:
+    """Arrival order as one decimal(38,0): microseconds (null first), then 63 bits of a hash of ``ties``.
+
+    A decimal is a value that hash aggregation updates in place, so ``min`` of it is combined map-side in hash
+    tables, where a struct or string would be sorted.  Rows at the same microsecond come in the order of the hash."""
+    micros = F.coalesce(F.unix_micros(F.col(time).cast("timestamp")), F.lit(EARLIEST_MICROS)).cast("decimal(18,0)")
+    tie = F.shiftrightunsigned(F.xxhash64(*ties, *(F.col(c).isNull() for c in ties)), 1).cast("decimal(19,0)")
+    return (micros * F.lit(str(1 << 63)).cast("decimal(19,0)") + tie).cast("decimal(38,0)")
+
+
+def first_per_key(rows: DataFrame, key: str | list[str], rank: str) -> DataFrame:
+    """Winner per key: the smallest ``rank`` (``arrival_rank``), a hash aggregate with partial results before the shuffle."""
     keys = [key] if isinstance(key, str) else list(key)
-    return rows.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__first"))
+    return rows.groupBy(*keys).agg(F.min(rank).alias("__first"))
 
 
 def event_status(messages: DataFrame, known_clients: list[str], ledger_keys: DataFrame | None = None,
                  unwrap: bool = False, arrival: tuple[str, ...] = ("received_at", "message_id"),
-                 today: Column | None = None) -> DataFrame:
+                 today: Column | None = None, staged: str | None = None) -> DataFrame:
     """Q5 + D2: status of every (message, record).
 
     Records with a valid known client are ``stored`` when they are the first
     arrival of their idempotency key and the key is not already in the ledger
-    (J5); later arrivals are ``duplicate_event``.
+    (J5); later arrivals are ``duplicate_event``.  ``staged``: a folder for the parsed rows; with it
+    the messages are read and parsed once, and both the winners and the rows that
+    are held against them come from that table, which keeps the bodies of rejected rows only.
     """
-    rows = event_rows(messages, known_clients, unwrap, today)
-    order = list(arrival) + ["rec_idx"]
+    time, *ties = arrival
+    rows = event_rows(messages, known_clients, unwrap, today).withColumn("__rank", arrival_rank(time, *ties, "rec_idx"))
+    if staged:
+        rows = rows.withColumn("body", F.when(F.col("pre_status").isNotNull(), F.col("body")))
+        rows.write.mode("overwrite").parquet(staged)
+        rows = messages.sparkSession.read.schema(rows.schema).parquet(staged)
     candidates = fenced_where(rows, F.col("pre_status").isNull())
     if ledger_keys is not None:
         seen = ledger_keys.select(F.col("key").alias("idempotency_key")).distinct()
         candidates = candidates.join(seen, "idempotency_key", "left_anti")
-    winners = first_per_key(candidates, "idempotency_key", order).withColumnRenamed("idempotency_key", "__jk")
+    winners = first_per_key(candidates, "idempotency_key", "__rank").withColumnRenamed("idempotency_key", "__jk")
     # rows without a key (parse errors, invalid or unknown records) get a
     # unique, deterministic join key so they spread over partitions instead
     # of all hashing to the null-key partition; such keys match no winner
@@ -121,9 +136,9 @@ def event_status(messages: DataFrame, known_clients: list[str], ledger_keys: Dat
                           F.concat(F.lit("\u0000"), F.col("message_id").cast("string"), F.lit("#"),
                                    F.coalesce(F.col("rec_idx").cast("string"), F.lit(""))))
     flagged = (rows.withColumn("__jk", join_key).join(winners, "__jk", "left").drop("__jk"))
-    is_first = F.coalesce(F.struct(*[F.col(c) for c in order]) == F.col("__first"), F.lit(False))
+    is_first = F.coalesce(F.col("__rank") == F.col("__first"), F.lit(False))
     status = F.coalesce(F.col("pre_status"), F.when(is_first, F.lit(STORED)).otherwise(F.lit(DUPLICATE)))
-    return flagged.withColumn("status", status).drop("__first")
+    return flagged.withColumn("status", status).drop("__first", "__rank")
 
 
 def received_items(status_rows: DataFrame, created_at: Column | None = None) -> DataFrame:

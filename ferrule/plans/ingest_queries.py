@@ -11,6 +11,7 @@ from ferrule.operators import ingest as I
 from ferrule.operators.lookup import _spec_items, match_file_type
 from ferrule.oracles import sql_lit, with_fixtures
 from ferrule.plans.registry import register
+from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.spec import load_required_files
 
@@ -28,7 +29,7 @@ def known_clients():
 
 
 def statuses(spark, sf, unwrap=False):
-    return I.event_status(fx.upload_messages(spark, sf), known_clients(), unwrap=unwrap)
+    return I.event_status(fx.upload_messages(spark, sf), known_clients(), unwrap=unwrap, staged=scratch_path(spark, "parsed-events"))
 
 
 _LEDGERS: dict[tuple[str, str], str] = {}
@@ -39,7 +40,6 @@ def stored_items(spark, sf):
     session to a table in the shared checkpoint folder and read back — the
     gate, lock and payload steps read the ledger table, as in production,
     instead of re-parsing every message in each branch of their plans."""
-    from ferrule.session import scratch_path
     from ferrule.streaming.ingest_stream import ITEM_LEDGER_DDL
     key = (spark.sparkContext.applicationId, sf)
     path = _LEDGERS.get(key)

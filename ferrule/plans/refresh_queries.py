@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ferrule.operators import refresh as R
 from ferrule.operators.aggregate import load_bounds
-from ferrule.operators.ledger import fold_ledger, lookback_window, reserve_batches
+from ferrule.operators import ledger as L
+from ferrule.operators.ledger import lookback_window, reserve_batches
 from ferrule.oracles import FIXTURE_CTES, with_fixtures
 from ferrule.plans.cleaning_queries import partner_load
 from ferrule.plans.load_queries import load, processed_all
 from ferrule.plans.registry import register
+from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources.tables import read_table
 
@@ -146,7 +148,15 @@ SELECT key, arg_max(status, seq) AS status, max(seq) AS last_seq, arg_max(update
        arg_max(error, seq) FILTER (WHERE error IS NOT NULL) AS error
 FROM batch_events GROUP BY key""", ids=("W7",))
 def batch_ledger_fold(spark, sf):
-    return fold_ledger(fx.batch_status_events(spark, sf), LEDGER_ATTRS)
+    """Appended in three chunks, one of them twice (a retried run), with a snapshot after the first: the fold reads the
+    snapshot and the later chunks."""
+    root, events = scratch_path(spark, "batch-ledger"), fx.batch_status_events(spark, sf)
+    L.append_events(events.where("seq <= 2"), root)
+    L.compact(spark, root, events.schema, LEDGER_ATTRS)
+    L.append_events(events.where("seq = 4"), root)
+    for _ in range(2):
+        L.append_events(events.where("seq = 3"), root)
+    return L.read_ledger(spark, root, events.schema, LEDGER_ATTRS)
 
 
 @register("batch_reservation", with_fixtures("days") + """

@@ -48,7 +48,7 @@ def test_scan_prunes_columns(spark, sf):
 
 
 @pytest.mark.parametrize("name", ["client_load_alpha", "client_load_revenue_daily", "refresh_by_load", "kpi_client",
-                                  "event_status", "partner_load"])
+                                  "partner_load"])
 def test_building_a_query_starts_no_job(spark, sf, name, monkeypatch):
     read, opened = fx.read_table, []
     monkeypatch.setattr(fx, "read_table", lambda *a, **k: opened.append(a) or read(*a, **k))
@@ -67,10 +67,27 @@ def test_no_broadcast_hint_on_a_lookup(spark, sf):
 
 
 def test_hot_key_first_wins_uses_partial_aggregate(spark):
-    from ferrule.operators.ingest import first_per_key
-    df = spark.range(1000).select((F.col("id") % 3 == 0).cast("string").alias("k"), F.col("id").alias("t"))
-    text = plan_text(first_per_key(df, "k", ["t"]), "simple")
-    assert text.count("HashAggregate") + text.count("ObjectHashAggregate") + text.count("SortAggregate") >= 2
+    from ferrule.operators.ingest import arrival_rank, first_per_key
+    df = spark.range(1000).select((F.col("id") % 3 == 0).cast("string").alias("k"), F.col("id").alias("t"),
+                                  F.timestamp_seconds("id").alias("at"))
+    ranked = df.select("k", arrival_rank("at", "t").alias("rank"))
+    text = plan_text(first_per_key(ranked, "k", "rank"), "simple")
+    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
+
+
+def test_event_status_parses_once_and_hashes(spark, sf, tmp_path):
+    """The messages are read by the write of the parsed rows alone; first arrivals come from hash aggregates."""
+    from ferrule.operators import ingest as I
+    from ferrule.plans.ingest_queries import known_clients
+    src, staged = str(tmp_path / "messages"), str(tmp_path / "parsed")
+    fx.upload_messages(spark, sf).write.parquet(src)
+    out = I.event_status(spark.read.parquet(src), known_clients(), staged=staged)
+    text = plan_text(out, "simple")
+    assert "messages" not in text and "from_json" not in text and "SortAggregate" not in text and "Window" not in text
+    assert {f.split("/")[-2] for f in out.inputFiles()} == {"parsed"}
+    plain = I.event_status(spark.read.parquet(src), known_clients())
+    cols = ["message_id", "rec_idx", "status"]
+    assert sorted(map(str, out.select(cols).collect())) == sorted(map(str, plain.select(cols).collect()))
 
 
 def test_details_page_is_top_k_not_global_sort(spark, sf):

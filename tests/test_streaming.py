@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ferrule.session import scratch_path
 from ferrule.spec import load_required_files
 from ferrule.streaming.ingest_stream import (ITEM_LEDGER_DDL, LOCK_LEDGER_DDL, PAYLOAD_DDL, IngestPaths, compact_ledger,
-                                             create_ledgers, process_batch, stream_dedupe)
+                                             create_ledgers, fired_groups, fired_payloads, process_batch, stored_items,
+                                             stream_dedupe)
+from ferrule.streaming import ingest_stream
 from tests.test_ingest import msg
 
 SPECS = load_required_files()
@@ -115,3 +117,34 @@ def test_compaction_keeps_the_rows(spark):
     read = lambda p: spark.read.schema(ITEM_LEDGER_DDL).parquet(p)
     assert sorted(r.key for r in read(target).collect()) == sorted(r.key for r in read(paths.items).collect())
     assert read(target).select("event_date", "batch_id").distinct().count() == 1
+
+
+BOTH = [("m1", msg("raw/client_uploads/alpha/creator_alpha_orders.csv"), 1), ("m2", msg("raw/client_uploads/alpha/creator_alpha_codes.csv"), 2)]
+
+
+def test_writers_that_do_not_see_each_other_fire_once(spark, monkeypatch):
+    """Each writer reads its own entries only, as if the other's were not yet there; the fold leaves one."""
+    paths, plain = _paths(spark), ingest_stream._ledger
+    for writer in ("west", "east"):
+        with monkeypatch.context() as m:
+            m.setattr(ingest_stream, "_ledger", lambda *a, w=writer: plain(*a).where(F.col("writer") == w))
+            process_batch(_batch(spark, BOTH), 0, paths, SPECS, writer=writer)
+    assert spark.read.schema(LOCK_LEDGER_DDL).parquet(paths.locks).count() == 2
+    won = fired_groups(spark, paths).collect()
+    assert [(r.key, r.writer) for r in won] == [("execution_lock|alpha|2024-01-02", "east")]  # equal times: the smaller writer
+    assert sorted(r.file_name for r in fired_payloads(spark, paths).collect()) == ["creator_alpha_codes.csv", "creator_alpha_orders.csv"]
+    assert stored_items(spark, paths).count() == 2
+    process_batch(_batch(spark, BOTH), 1, paths, SPECS, writer="west")  # it sees both now
+    assert [r.writer for r in fired_groups(spark, paths).collect()] == ["east"] and fired_payloads(spark, paths).count() == 2
+
+
+def test_a_new_file_is_no_new_version(spark):
+    paths = _paths(spark)
+    process_batch(_batch(spark, BOTH), 0, paths, SPECS, refire_on_new_etag=True)
+    other = [("m3", msg("raw/client_uploads/alpha/creator_alpha_orders_2.csv"), 3)]
+    process_batch(_batch(spark, other), 1, paths, SPECS, refire_on_new_etag=True)
+    assert fired_groups(spark, paths).count() == 1
+    changed = [("m4", msg("raw/client_uploads/alpha/creator_alpha_codes.csv", etag="second"), 4)]
+    for k in (2, 2, 3):  # new, replayed, delivered again
+        process_batch(_batch(spark, changed), k, paths, SPECS, refire_on_new_etag=True)
+    assert fired_groups(spark, paths).count() == 2
