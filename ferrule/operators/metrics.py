@@ -9,9 +9,11 @@ the scan as ``PushedFilters`` and partition filters.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ferrule.functions.clean import money_sum
@@ -211,20 +213,24 @@ def breakdown(fact: DataFrame, domain: str = CLIENT_DOMAIN, dimension: str | Non
     return out.limit(n) if n is not None else out
 
 
-def page_key(row, domain: str = CLIENT_DOMAIN, sort_by: str | None = "date") -> tuple:
-    """The ``after`` key of a fact row: its sort value, then its identifying columns.  A
-    sort value that the page shows as zero instead of null is zero here too."""
-    domain = parse_domain(domain)
-    column = parse_sort_by(sort_by, domain)
-    ident = DETAIL_IDENT[domain]
-    value = row[column]
-    if value is None and column not in ident:
-        value = 0
-    return (value, *(row[c] for c in ident if c != column))
+class PageEnd(NamedTuple):
+    """Where a page ends: the last row's place in the order (``page_key``), and how many rows with that very key have been shown."""
+    key: tuple
+    shown: int
+
+
+def page_end(rows: list[Row], before: PageEnd | None = None) -> PageEnd | None:
+    """The end of a page read with ``keyed=True``, ``before`` the end of the page before it; pass it on as ``after``."""
+    if not rows:
+        return before
+    keys = [tuple(r["page_key"]) for r in rows]
+    alike = len(list(itertools.takewhile(lambda k: k == keys[-1], reversed(keys))))
+    carried = before.shown if before and alike == len(keys) and before.key == keys[-1] else 0
+    return PageEnd(keys[-1], alike + carried)
 
 
-def _beyond(keys: list[tuple[Column, bool]], last: tuple) -> Column:
-    """Rows after ``last`` in an order by ``keys``, (column, descending): nulls
+def _beyond(keys: list[tuple[Column, bool]], last: tuple, itself: bool = False) -> Column:
+    """Rows after ``last`` (and with ``itself`` those at it) in an order by ``keys``, (column, descending): nulls
     come first in a descending key and last in an ascending one."""
     out, equal = F.lit(False), F.lit(True)
     for (column, descending), value in zip(keys, last, strict=True):
@@ -235,7 +241,7 @@ def _beyond(keys: list[tuple[Column, bool]], last: tuple) -> Column:
             later = F.lit(False) if value is None else (column.isNull() | (column > v))
         out = out | (equal & later)
         equal = equal & column.eqNullSafe(v)
-    return out
+    return out | equal if itself else out
 
 
 CLIENT_DETAIL_COLUMNS = ["date", "client_name", "discount_code", "revenue", "orders"]
@@ -245,14 +251,15 @@ PARTNER_DETAIL_COLUMNS = ["date", "client_name", "show_name", "revenue", "orders
 
 def details(fact: DataFrame, domain: str = CLIENT_DOMAIN, sort_by: str | None = "date",
             sort_order: str | None = "desc", limit: int | None = DEFAULT_LIMIT, offset: int | None = 0,
-            client_label: str = "client_name", after: tuple | None = None, **filters) -> DataFrame:
+            client_label: str = "client_name", after: PageEnd | None = None, keyed: bool = False, **filters) -> DataFrame:
     """L1 / L4 + P16: one page of detail rows.
 
     Sorted by the whitelisted column (nulls first on DESC, last on ASC, like
-    the warehouse), then by the row's identifying columns so pages are
-    deterministic.  Plans as a TakeOrderedAndProject: each task keeps
-    ``offset + limit`` rows.  For pages far into the result pass ``after``, the last row's sort key and
-    tie-breakers (``page_key``) instead of an offset: each task then keeps ``limit`` rows.
+    the warehouse), then by the row's identifying columns, then by 96 bits of hashes of all its columns,
+    so that only rows that are equal in every column share a place.  Plans as a TakeOrderedAndProject: each task keeps
+    ``offset + limit`` rows.  For pages far into the result read with ``keyed=True`` (a last column ``page_key``)
+    and pass ``after``, the ``page_end`` of the page before, instead of an offset: the rows before it are filtered out, those that share its key
+    are skipped by their number, and each task keeps ``limit`` rows and that number.  Pages of any size give each row of a fact once.
     """
     domain = parse_domain(domain)
     lim, off = parse_pagination(limit, offset)
@@ -270,14 +277,17 @@ def details(fact: DataFrame, domain: str = CLIENT_DOMAIN, sort_by: str | None =
     # ORDER BY resolves output aliases first (so revenue sorts by the
     # null-as-zero value); other names fall back to the input columns.
     extras = [c for c in dict.fromkeys([sort_col] + ident) if c not in out_names]
-    paged = f.select(*[c.alias(n) for n, c in proj.items()], *[F.col(c).alias(f"__s_{c}") for c in extras])
+    marks = [F.col(c).isNull() for c in f.columns]
+    digest = {"__d1": F.xxhash64(*f.columns, *marks), "__d2": F.hash(*f.columns, *marks)}
+    paged = f.select(*[c.alias(n) for n, c in proj.items()], *[F.col(c).alias(f"__s_{c}") for c in extras],
+                     *[c.alias(n) for n, c in digest.items()])
 
     def ref(c: str) -> Column:
         return F.col(c) if c in out_names else F.col(f"__s_{c}")
 
-    primary = ref(sort_col).desc_nulls_first() if order == "desc" else ref(sort_col).asc_nulls_last()
-    ties = [ref(c).asc_nulls_last() for c in ident if c != sort_col]
+    keys = [(ref(sort_col), order == "desc")] + [(ref(c), False) for c in ident if c != sort_col] + [(F.col(d), False) for d in digest]
     if after is not None:
-        keys = [(ref(sort_col), order == "desc")] + [(ref(c), False) for c in ident if c != sort_col]
-        paged = paged.where(_beyond(keys, after))
-    return paged.orderBy(primary, *ties).offset(off).limit(lim).select(*out_names)
+        paged, off = paged.where(_beyond(keys, after.key, True)), off + after.shown
+    shown = [*out_names, F.struct(*(c.alias(f"k{i}") for i, (c, _) in enumerate(keys))).alias("page_key")] if keyed else out_names
+    ordered = paged.orderBy(*(c.desc_nulls_first() if down else c.asc_nulls_last() for c, down in keys))
+    return ordered.offset(off).limit(lim).select(*shown)

@@ -19,7 +19,7 @@ from ferrule.plans.registry import register
 from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources import sinks as S
-from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA, PARTNER_PROCESSED_SCHEMA, read_parquet_paths
+from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA, PARTNER_PROCESSED_SCHEMA, read_parquet_paths, read_table
 
 PARTS = ("year", "month", "day")
 
@@ -46,6 +46,45 @@ def scan_csv_typed(spark, sf):
     return both.select(*src.columns, "note")
 
 
+_BENT = '''
+SELECT CASE WHEN o_orderkey % 50 = 1 THEN o_orderkey || ',' || o_custkey
+            WHEN o_orderkey % 50 = 2 THEN o_orderkey || ',"' || o_orderpriority || '",' || o_custkey || ',9'
+            WHEN o_orderkey % 50 = 3 THEN o_orderkey || ',"' || o_orderpriority || ',' || o_custkey
+            ELSE o_orderkey || ',"' || o_orderpriority || ', ""x""",' || o_custkey END AS line,
+       CASE WHEN o_orderkey % 50 = 1 THEN 'too_few_fields' WHEN o_orderkey % 50 = 2 THEN 'too_many_fields'
+            WHEN o_orderkey % 50 = 3 THEN 'broken_quote' END AS reason, o_orderkey
+FROM orders'''
+
+
+def _bent_csv(spark, sf):
+    """Order lines as CSV text, three of fifty of them bent, and the two sides of their scan."""
+    read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderpriority"]).createOrReplaceTempView("bent_orders")
+    lines = spark.sql(_BENT.replace("FROM orders", "FROM bent_orders")).select("line")
+    path = scratch_path(spark, "bent-csv")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # every file begins with the header: a task writes its header line first
+    heads = spark.range(n).select(F.lit("key,priority,customer").alias("line"), F.col("id").alias("file"))
+    body = lines.withColumn("file", F.pmod(F.xxhash64("line"), F.lit(n)))
+    both = heads.withColumn("rank", F.lit(0)).unionByName(body.withColumn("rank", F.lit(1)))
+    both.repartition(n, "file").sortWithinPartitions("file", "rank").select("line", "file").write.partitionBy("file").text(path)
+    return S.scan_csv(spark, f"{path}/file=*", quote_escape='"')
+
+
+@register("csv_rejects", f"SELECT line, reason FROM ({_BENT}) x WHERE reason IS NOT NULL", ids=("S1", "Q1"))
+def csv_rejects(spark, sf):
+    """Bad lines of CSV files, with their text and reason, as the quarantine has them after the load wrote them."""
+    path = scratch_path(spark, "csv-rejects")
+    _bent_csv(spark, sf)[1].write.parquet(path)
+    return spark.read.schema("source_key string, line string, reason string").parquet(path).select("line", "reason")
+
+
+@register("csv_good_lines", """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderpriority || ', "x"' AS priority, CAST(o_custkey AS VARCHAR) AS customer FROM orders
+WHERE o_orderkey % 50 NOT IN (1, 2, 3)""", ids=("S1",))
+def csv_good_lines(spark, sf):
+    return _bent_csv(spark, sf)[0]
+
+
 @register("scan_parquet_by_load", with_fixtures("beta_processed") + "SELECT * FROM beta_processed",
           ids=("S3", "F6", "S10"))
 def scan_parquet_by_load(spark, sf):

@@ -23,3 +23,33 @@ def folder_names(spark: SparkSession, path: str, complete: bool = False) -> list
 def drop_folder(spark: SparkSession, path: str) -> None:
     fs, p = _at(spark, path)
     fs.delete(p, True)
+
+
+def first_lines(spark: SparkSession, paths: list[str], most: int = 1000) -> dict[str, str] | None:
+    """The first line of each file under ``paths`` (files, folders or patterns; empty files left out), read alone; None if there are over ``most``
+    files, which are for a job, not for the driver."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    files = []
+    for path in paths:
+        fs, p = _at(spark, path)
+        for status in fs.globStatus(p) or ():
+            if status.isDirectory():
+                files += [(fs, s.getPath()) for s in fs.listStatus(status.getPath()) if s.isFile()]
+            else:
+                files.append((fs, status.getPath()))
+        if len(files) > most:
+            return None
+    out = {}
+    for fs, p in files:
+        if p.getName().startswith(("_", ".")):
+            continue
+        stream, codec = fs.open(p), codecs.getCodec(p)
+        try:
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        if line is not None:
+            out[p.toString()] = line
+    return out

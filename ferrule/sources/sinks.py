@@ -10,11 +10,14 @@ load holding a third of all rows — across several writers.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrule.functions.clean import path_safe_key
+from ferrule.sources.folders import first_lines
 
 
 def all_string_schema(columns: list[str]) -> T.StructType:
@@ -26,18 +29,65 @@ def all_string_schema(columns: list[str]) -> T.StructType:
 def file_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     """The first line of every CSV file under ``paths``, grouped: header line → files.
 
-    One job over the files' first blocks; what comes back is a row per file of the upload.
+    One line a file is read; uploads of over a thousand files are read by a job over the files' first blocks instead, of which a
+    row per file comes back.
     """
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"))
-    firsts = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found = first_lines(spark, paths)
+    if found is None:
+        lines = spark.read.option("lineSep", "\n").text(paths).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"))
+        firsts = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+        found = {r["file"]: r["header"].removesuffix("\r") for r in firsts.collect()}
     out: dict[str, list[str]] = {}
-    for r in firsts.orderBy("file").collect():
-        out.setdefault(r["header"], []).append(r["file"])
+    for file in sorted(found):
+        out.setdefault(found[file], []).append(file)
     return out
 
 
+TOO_FEW, TOO_MANY, BROKEN_QUOTE = "too_few_fields", "too_many_fields", "broken_quote"
+
+
+def scan_csv(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
+             quote_escape: str = "\\") -> tuple[DataFrame, DataFrame]:
+    """The good lines of CSV files as string columns (as ``read_csv_strings``), and the bad ones as
+    ``(source_key, line, reason)``: lines with fewer or more fields than their file's header, and lines with a quoted field that does not end.
+
+    One scan of the text per distinct header; both results are filters over it, so every line is in
+    exactly one of them.  Blank lines are neither, and a line that repeats its file's header is a header, not
+    data.  Records do not go over line ends here (``read_csv_strings(multiline=True)`` reads such files).
+    """
+    inside = r'[^"]*+(?:""[^"]*+)*+' if quote_escape == '"' else r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+    good = bad = None
+    for header, files in file_headers(spark, [path] if isinstance(path, str) else list(path)).items():
+        names = spark.range(1).select(F.from_csv(F.lit(header), F.lit(", ".join(
+            f"c{k} string" for k in range(header.count(",") + 1))), {"escape": quote_escape}).alias("h")).first()["h"]
+        bare = F.regexp_replace("line", rf'(^|,)"{inside}"(?=,|$)', "$1")  # quoted fields left empty
+        width = F.size(F.split(bare, ",", -1))
+        names = list(names)[:_width(header, inside)]
+        reason = (F.when(bare.rlike('(^|,)"'), BROKEN_QUOTE).when(width < len(names), TOO_FEW).when(width > len(names), TOO_MANY))
+        lines = spark.read.text(files).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_key"))
+        lines = lines.where((F.trim("line") != "") & (F.col("line") != header)).withColumn("reason", reason)
+        schema = ", ".join(f"c{k} string" for k in range(len(names)))
+        fields = F.from_csv("line", schema, {"escape": quote_escape, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+        parsed = lines.where(F.col("reason").isNull()).select(fields.alias("f"))
+        part = parsed.select(*(F.col(f"f.c{k}").alias(n) for k, n in enumerate(names)))
+        own = lines.where(F.col("reason").isNotNull()).select("source_key", "line", "reason")
+        good = part if good is None else good.unionByName(part, allowMissingColumns=True)
+        bad = own if bad is None else bad.unionByName(own)
+    if good is None:
+        return (spark.createDataFrame([], all_string_schema(columns or [])),
+                spark.createDataFrame([], all_string_schema(["source_key", "line", "reason"])))
+    have = {c.strip() for c in good.columns}
+    missing = [c for c in columns or [] if c.strip() not in have]
+    return (good.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else good), bad
+
+
+def _width(line: str, inside: str) -> int:
+    """The number of fields of a line."""
+    return len(re.sub(rf'(^|,)"{inside}"(?=,|$)', r"\1", line).split(","))
+
+
 def read_csv_strings(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
                      quote_escape: str = "\\", multiline: bool = False) -> DataFrame:
     """CSV with a header, every column read as STRING (no inference —
