@@ -9,7 +9,8 @@ pruning has cut off are linked again.  The index, one row a shard with flat
 neighbour arrays, is written to the shared folder.
 
 Every query meets every shard's graph in a stream sorted by shard: one index row, then the
-queries.  Distances are computed again in double precision on the original
+queries.  Graphs are built and searched on vectors about the shard's medians, over its largest deviation, in double precision, so offsets and
+scales of the values don't matter (unless they differ by over 150 orders of magnitude within a shard).  Distances are computed again in double precision on the original
 vectors, the rows found are expanded to their ids, and the shards' results are merged to the k nearest,
 ties to the smaller id.
 
@@ -125,8 +126,8 @@ class Graph:
     def __init__(self, ids, starts, x, nodes, offsets, neighbours):
         self.ids, self.starts, self.x = ids, starts, x
         self.nodes, self.offsets, self.neighbours = nodes, offsets, neighbours
-        self.small = x.astype(np.float32)
-        self.norm = (self.small * self.small).sum(1)
+        self.centre, self.scale = _frame(x)
+        self.seen = _framed(x, self.centre, self.scale)
         self.place = [{int(v): k for k, v in enumerate(own)} for own in nodes[1:]]
 
     @staticmethod
@@ -140,8 +141,7 @@ class Graph:
         level = np.floor(-np.log(rng.random(len(x))) / np.log(LINKS)).astype(int)
         if len(level):
             level[0] = level.max()
-        scale = np.abs(x).max() or 1.0
-        scaled = x / scale
+        scaled = _framed(x, *_frame(x))
         nodes, offsets, neighbours = [], [], []
         for k in range(int(level.max()) + 1 if len(level) else 0):
             own = np.flatnonzero(level >= k)
@@ -156,19 +156,18 @@ class Graph:
         return self.neighbours[level][self.offsets[level][k]:self.offsets[level][k + 1]]
 
     def search(self, q: np.ndarray, k: int, width: int, own_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest ids of the rows found and their exact distances, but for ``own_id``."""
-        q32 = q.astype(np.float32)
-        q_norm = float((q32 * q32).sum())
-        x, norm = self.small, self.norm
-        at, best = 0, float(norm[0] - 2 * (x[0] @ q32) + q_norm)
+        """The k nearest ids of the rows found and their exact distances, but for ``own_id``.  The search compares
+        sums of squared differences in the shard's frame, in double precision."""
+        x, p = self.seen, _framed(q, self.centre, self.scale)
+        at, best = 0, float(((x[0] - p) ** 2).sum())
         for level in range(len(self.nodes) - 1, 0, -1):
             while True:
                 near = self._near(level, at)
                 if not len(near):
                     break
-                d = norm[near] - 2 * (x[near] @ q32) + q_norm
+                d = ((x[near] - p) ** 2).sum(1)
                 i = int(d.argmin())
-                if d[i] >= best:
+                if not d[i] < best:  # only a strict improvement goes on
                     break
                 at, best = int(near[i]), float(d[i])
         seen = np.zeros(len(x), bool)
@@ -183,7 +182,7 @@ class Graph:
             if not len(near):
                 continue
             seen[near] = True
-            dist = norm[near] - 2 * (x[near] @ q32) + q_norm
+            dist = ((x[near] - p) ** 2).sum(1)
             if len(found) >= width:
                 ok = dist < -found[0][0]
                 near, dist = near[ok], dist[ok]
@@ -198,12 +197,37 @@ class Graph:
         rows = np.array([v for _, v in found])
         counts = self.starts[rows + 1] - self.starts[rows]
         ids = self.ids[_runs(self.starts[rows], counts)]
-        exact = np.repeat(np.sqrt(((self.x[rows] - q) ** 2).sum(1)), counts)
+        exact = np.repeat(distances(self.x[rows], q), counts)
         ids, exact = ids[ids != own_id], exact[ids != own_id]
         top = np.lexsort((ids, exact))[:k]
         return ids[top], exact[top]
 
 
+def _frame(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """The middle of a shard's rows (medians, which single far rows don't move) and their largest deviation from it."""
+    if not len(x):
+        return np.zeros(x.shape[1:]), 1.0
+    centre = np.median(x / 2, axis=0) * 2
+    return centre, float(np.abs(x / 2 - centre / 2).max()) or 1.0
+
+
+def _framed(x: np.ndarray, centre: np.ndarray, scale: float) -> np.ndarray:
+    """Rows about the middle, at most 2 in any component for the shard's own; far queries are held at 1e150, where squares don't overflow."""
+    with np.errstate(over="ignore"):
+        return np.clip((x / 2 - centre / 2) / scale * 2, -1e150, 1e150)
+
+
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances in double precision; those whose squares leave its range are computed on scaled differences."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = np.sqrt(((x - q) ** 2).sum(1))
+        largest = np.abs(x - q).max(1, initial=0)
+        odd = (largest > 0) & np.isfinite(largest) & ((largest > 1e150) | (largest < 1e-150))
+        if odd.any():
+            out[odd] = np.sqrt((((x[odd] - q) / largest[odd, None]) ** 2).sum(1)) * largest[odd]
+    return out
+
+
 def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The places of runs one after the other."""
     return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())

@@ -1,11 +1,12 @@
 """Personal data: base patterns, and spans added by a character-level BiLSTM-CRF.
 
-The tagger is trained on the driver, in numpy, from labelled spans: windows of a bounded sample of the
-documents with their base spans, and windows into which other ways of writing the same kinds of data
+The tagger is trained on the driver, in numpy, from labelled spans: at most ``SAMPLE_WINDOWS`` windows of at most about ``SAMPLE_DOCUMENTS``
+documents (by a hash of the id) with their base spans, and ``WRITTEN_WINDOWS`` windows into which other ways of writing the same kinds of data
 have been put (``WRITTEN``).  In tasks every text is cut into overlapping windows of
 ``WINDOW`` characters.  Each kind has a digit or ``@`` in every span, so windows without one cannot give a
 span and are not scored; all others are decoded.  The windows' spans are then reconciled over the whole
-text: a span that an inner window edge cuts gives way to the one the next window sees whole, spans found by more
+text: a span that an inner window edge cuts gives way to the one the next window sees whole, or, where no window does (over 47
+characters), is put together from the parts that adjoining windows see; spans found by more
 windows go before others, and an added span must keep its kind's form (``plausible``) and touch no base span.
 
 Defined cases: null text is empty; null ids stay null; rows that repeat are read each; without any
@@ -111,9 +112,12 @@ def window_classes(code: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def spans_of(tags: np.ndarray, start: int, length: int) -> list[Span]:
-    """Whole spans of a window's tags; those cut by an inner edge are left to the next window."""
-    out, at, n = [], 0, min(WINDOW, length - start)
+Cut = tuple[int, int, int, bool, bool]  # a span, and whether the window's edge cuts its start and its end
+
+
+def spans_of(tags: np.ndarray, start: int, length: int) -> tuple[list[Span], list[Cut]]:
+    """Whole spans of a window's tags, and those that an inner edge of the window cuts."""
+    out, cut, at, n = [], [], 0, min(WINDOW, length - start)
     tags = tags.tolist()
     while at < n:
         if not tags[at]:
@@ -122,9 +126,32 @@ def spans_of(tags: np.ndarray, start: int, length: int) -> list[Span]:
         kind, end = (tags[at] - 1) // 2, at + 1
         while end < n and tags[end] == 2 + 2 * kind:
             end += 1
-        if (at > 0 or start == 0) and (end < WINDOW or start + end == length):
+        begun, goes_on = at == 0 and start > 0, end == WINDOW and start + end < length
+        if begun or goes_on:
+            cut.append((start + at, kind, start + end, begun, goes_on))
+        else:
             out.append((start + at, kind, start + end))
         at = end
+    return out, cut
+
+
+def joined(cut: list[Cut]) -> list[Span]:
+    """Spans put together from the parts that adjoining windows see: each goes on where the next, of the same kind and
+    touching it, has begun.  Parts whose start or end no window sees are left out."""
+    out = []
+    for kind in range(len(KINDS)):
+        at = None
+        for s, _, e, begun, goes_on in sorted(c for c in cut if c[1] == kind):
+            if at and at[2] and begun and s <= at[1]:
+                if e >= at[1]:
+                    at = (at[0], e, goes_on)
+            elif not begun:
+                at = (s, e, goes_on)
+            else:
+                at = None
+            if at and not at[2]:
+                out.append((at[0], kind, at[1]))
+                at = None
     return out
 
 
@@ -161,9 +188,13 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> Iterator[tuple[list[Span], li
     at = 0
     for text, own in zip(texts, plans, strict=True):
         base = base_spans(text)
-        found = [x for k, s in enumerate(own) for x in spans_of(tags[at + k], s, len(text))]
+        found, cut = [], []
+        for k, s in enumerate(own):
+            whole, parts = spans_of(tags[at + k], s, len(text))
+            found += whole
+            cut += parts
         at += len(own)
-        yield base, reconcile(text, base, found)
+        yield base, reconcile(text, base, found + joined(cut))
 
 
 #: Ways of writing each kind that the base patterns leave out, and look-alikes that are none:

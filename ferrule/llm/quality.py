@@ -6,8 +6,8 @@ grades; ordered thresholds cut the score, ``P(grade <= k) = logistic(threshold_k
 From these come the expected grade and the tail probability of at least the accepted grade,
 which decides selection.
 
-The model is fitted on a bounded sample of rated rows (``SAMPLE``, by a hash of the id),
-whose features are computed on the executors ; features without a clear effect there (score test) have weight
+The model is fitted on a bounded sample of rated rows (``SAMPLE``, by a hash of the id, ties and ids that repeat by
+id and grade), of which those of one grade with all features equal count once; their features are computed on the executors; features without a clear effect there (score test) have weight
 zero.  No weight is above zero: a feature can only lower the grade, so that a
 long text does not outweigh what is wrong with it.  Every text is scored whole.
 
@@ -92,8 +92,8 @@ class OrdinalModel:
         """From the features and the grade (0 .. GRADES - 1) of each row; None without two grades."""
         if len(np.unique(grades)) < 2:
             return None
-        alike = {(int(g), r[:4].tobytes()): i for i, (r, g) in enumerate(zip(rows, grades, strict=True))}
-        own = sorted(alike.values())  # near copies share their smallest places; one of them is enough
+        alike = {(int(g), r.tobytes()): i for i, (r, g) in enumerate(zip(rows, grades, strict=True))}
+        own = sorted(alike.values())  # of rows of one grade with all features equal one is enough
         rows, grades = [rows[i] for i in own], grades[own]
         seen = np.bincount(grades, minlength=GRADES)
         share = np.cumsum(seen + 0.5) / (len(grades) + 0.5 * GRADES)
@@ -167,7 +167,8 @@ def fit(spark: SparkSession, docs: DataFrame, ratings: DataFrame, sample: int =
     if not total:
         return None
     share = min(1.0, 0.95 * sample / total)
-    drawn = rated.where(F.pmod(F.xxhash64("doc_id", F.lit("rated")), F.lit(1 << 30)) <= int(share * (1 << 30))).limit(sample)
+    place = F.pmod(F.xxhash64("doc_id", F.lit("rated")), F.lit(1 << 30))
+    drawn = rated.where(place <= int(share * (1 << 30))).orderBy(place, "doc_id", "grade").limit(sample)
     texts = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).join(
         F.broadcast(drawn), "doc_id").select("doc_id", "text", "grade")
 
@@ -179,7 +180,8 @@ def fit(spark: SparkSession, docs: DataFrame, ratings: DataFrame, sample: int =
                 [b.column("doc_id"), b.column("grade"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "grade", "places"])
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    got = texts.mapInArrow(run, f"doc_id {kind}, grade int, places array<int>").limit(2 * sample).toArrow()
+    got = texts.mapInArrow(run, f"doc_id {kind}, grade int, places array<int>").orderBy(
+        F.xxhash64("doc_id", F.lit("rated")), "doc_id", "grade", "places").limit(2 * sample).toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("grade", "ascending")])
     if not got.num_rows:
         return None

@@ -134,3 +134,32 @@ def test_empty_table(spark, make_docs):
     tagger = pii.train(spark, docs)
     assert pii.find(spark, docs, tagger).count() == 0
     assert pii.redact(spark, docs, tagger).count() == 0
+
+
+@pytest.mark.parametrize("size", [10, 47, 48, 60, 95, 96, 150, 400])
+def test_long_spans_are_joined_at_every_offset(size):
+    """A span that every window tags rightly is found whole, wherever it lies, beside another kind."""
+    for start in range(0, 110):
+        n = start + size + 70
+        gold = np.zeros(n, np.int8)
+        gold[start], gold[start + 1:start + size] = 5, 6
+        gold[start + size], gold[start + size + 1:start + size + 5] = 7, 8
+        whole, cut = [], []
+        for s in pii.windows(n):
+            tags = np.zeros(pii.WINDOW, np.int8)
+            own = gold[s:s + pii.WINDOW].copy()
+            if own[0] and own[0] % 2 == 0:
+                own[0] -= 1  # a window can't go on with what it has not begun
+            tags[:len(own)] = own
+            a, b = pii.spans_of(tags, s, n)
+            whole += a
+            cut += b
+        found = set(whole + pii.joined(cut))
+        assert found == {(start, 2, start + size), (start + size, 3, start + size + 5)}
+
+
+def test_parts_without_an_end_are_left_out():
+    assert pii.joined([(10, 0, 96, False, True)]) == []
+    assert pii.joined([(48, 0, 70, True, False)]) == []
+    assert pii.joined([(10, 0, 96, False, True), (48, 1, 99, True, False)]) == []
+    assert pii.joined([(10, 0, 96, False, True), (48, 0, 99, True, False)]) == [(10, 0, 99)]

@@ -3,10 +3,12 @@ import hashlib
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ferrule.llm import mixing, pii, simhash
+from ferrule.llm import byte_bpe, mixing, pii, simhash
 from ferrule.llm.common import read_documents, stage_table
 from ferrule.llm.queries import MIXTURE, ORACLES, QUERIES
 
@@ -82,4 +84,29 @@ def test_registered_names():
 
     queries = __spark_entry__.queries()
     assert {*QUERIES, "pipeline"} <= set(queries) and set(ORACLES) <= set(QUERIES)
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
+
+
+def test_clashing_names_and_ids_of_text(spark, make_docs, sf):
+    """Columns named like the stages' own stay as they are; ids may be strings."""
+    docs = make_docs([(1, "one two three four five"), (2, "one two three four five"), (3, "other words stand here now and then"), (None, "no id here at all")])
+    named = docs.selectExpr("'d' || doc_id AS doc_id", "text", "lang", "source", "n_chars", "'mine' AS group_key", "7 AS row_id", "'g' AS Group_Key_")
+    single = corpus_pipeline.keep_one_of_each(spark, named, sf)
+    assert single.columns == named.columns
+    rows = {r["doc_id"]: r for r in single.collect()}
+    assert set(rows) == {"d1", "d3", None} and all(r["group_key"] == "mine" and r["Group_Key_"] == "g" and r["row_id"] == 7 for r in rows.values())
+    out = {r["doc_id"]: r for r in corpus_pipeline.tokenise(spark, single, sf).collect()}
+    assert set(out) == set(rows)
+    for i, r in out.items():
+        assert r["decoded_sha256"] == hashlib.sha256(rows[i]["text"].encode()).hexdigest()
+        assert len(r["ids"]) == 4 * r["n_tokens"] and hashlib.sha256(r["ids"]).hexdigest() == r["ids_sha256"]
+
+
+def test_a_wrong_id_fails_the_last_stage(spark, make_docs):
+    path, pattern = corpus_pipeline.op6_vocabulary()
+    docs = make_docs([(1, "one two"), (2, "three four")]).selectExpr("struct(doc_id, sha2(text, 256) AS sha) AS doc_id", "text")
+    ids = byte_bpe.encode(spark, docs, path, pattern)
+    assert {r["doc_id"] for r in corpus_pipeline.checked(byte_bpe.decode(spark, ids, path)).collect()} == {1, 2}
+    bent = ids.withColumn("ids", F.when(F.col("doc_id.doc_id") == 2, F.expr("substring(ids, 1, 4)")).otherwise(F.col("ids")))
+    with pytest.raises(Exception, match="differ from the text of document 2"):
+        corpus_pipeline.checked(byte_bpe.decode(spark, bent, path)).collect()

@@ -57,6 +57,21 @@ def test_quality_edge_cases(spark, make_docs, words):
     assert quality.score_documents(spark, make_docs([]), model).count() == 0
 
 
+def test_rows_that_share_some_features_all_count():
+    """Rows with the same smallest places but other features are different rows."""
+    alike = np.array([1, 2, 3, 4])
+    rows = [np.append(alike, 10 + k % 2) for k in range(40)] + [np.append(alike, [10, 20 + k]) for k in range(40)]
+    grades = np.array([0 if k % 2 else 2 for k in range(40)] + [2] * 40)
+    model = quality.OrdinalModel.fit(rows, grades)
+    seen = []
+    plain, quality._gradient = quality._gradient, lambda score, grade, cut: seen.append(len(grade)) or plain(score, grade, cut)
+    try:
+        quality.OrdinalModel.fit(rows, grades)
+    finally:
+        quality._gradient = plain
+    assert model is not None and set(seen) == {2 + 40}  # two of the forty that repeat, and all others
+
+
 def test_ratings(spark):
     labels = spark.createDataFrame([(1, 0, 0), (2, 1, 1), (3, 1, 0), (4, None, None), (5, 1, None), (6, 0, 1)], "doc_id long, quality int, toxic int")
     assert dict(quality.ratings_of(labels).collect()) == {1: 1, 2: 0, 3: 2, 4: None, 5: 2, 6: 0}

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -188,3 +190,20 @@ def test_every_row_of_a_graph_can_be_reached():
                 seen.add(v)
                 stack.append(v)
     assert len(seen) == len(x)
+
+
+@pytest.mark.parametrize("shift, scale", [(0, 1), (1000, 0.1), (1e9, 1), (0, 1e-25), (0, 1e20), (0, 1e200), (0, 1e-200)])
+def test_graph_search_in_any_range(shift, scale):
+    """Offsets, tiny and huge values: recall, an end within a time limit, exact distances."""
+    rng = np.random.default_rng(12)
+    x = shift + scale * rng.normal(size=(800, 24))
+    x[-1] = 1e20 if 1e-30 < scale < 1e20 else x[-1]  # one row far from the rest
+    graph, hit, begun = ann.Graph.build(np.arange(len(x)), x, 1), 0, time.monotonic()
+    for i in range(0, 800, 20):
+        ids, score = graph.search(x[i], 10, ann.WIDTH, i)
+        exact = ann.distances(x, x[i])
+        assert np.array_equal(score, exact[ids])
+        hit += len(set(ids.tolist()) & set(np.argsort(np.where(np.arange(800) == i, np.inf, exact), kind="stable")[:10].tolist()))
+    assert hit >= 0.95 * 400 and time.monotonic() - begun < 20
+    assert np.isfinite(ann.distances(x, x[0])).all() and (ann.distances(x, x[0])[1:] > 0).all()
+    graph.search(np.full(24, 1e308), 10, ann.WIDTH, -1)
