@@ -13,13 +13,13 @@ from pyspark.sql import types as T
 
 from ferrule.oracles import with_fixtures
 from ferrule.operators.conform import normalize_headers, schema_drift, schema_drift_columns
-from ferrule.plans.cleaning_queries import partner
+from ferrule.plans.cleaning_queries import partner, partner_ctx
 from ferrule.plans.load_queries import load, processed_all
 from ferrule.plans.registry import register
 from ferrule.session import scratch_path
 from ferrule.sources import fixtures as fx
 from ferrule.sources import sinks as S
-from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA, PARTNER_PROCESSED_SCHEMA, read_parquet_paths, read_table
+from ferrule.sources.tables import CLIENT_PROCESSED_SCHEMA, PARTNER_PROCESSED_SCHEMA, read_table
 
 PARTS = ("year", "month", "day")
 
@@ -159,6 +159,29 @@ def schema_drift_sample(spark, sf):
     return S.read_partitioned(spark, f"{path}/sample", schema, PARTS)
 
 
+@register("schema_drift_file_sample", """
+SELECT 'alpha' AS client_name, CAST(o_orderdate AS DATE) AS order_date, 'r' || o_orderkey % 7 AS region,
+       o_orderpriority AS note, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, strftime(o_orderdate, '%d') AS day,
+       'note,region' AS extra_columns FROM orders""", ids=("S9", "P10"))
+def schema_drift_file_sample(spark, sf):
+    """Columns that came with a file beyond the spec's: their values by day, beside the report, both read back."""
+    from ferrule.plans.load_queries import spec
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"])
+    wanted = list(spec("alpha").rename_columns)
+    path, out = scratch_path(spark, "csv-drift"), scratch_path(spark, "drift-files")
+    S.write_csv(o.select(F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+                         *[F.lit("x").alias(c) for c in wanted if c != "order_date"],
+                         F.concat(F.lit("r"), F.col("o_orderkey") % 7).alias(" region"), F.col("o_orderpriority").alias("note")), path)
+    found = normalize_headers(S.scan_csv(spark, path, quote_escape='"')[0])
+    report = schema_drift(spark, found.columns, wanted, "alpha")
+    extra = sorted(set(found.columns) - set(wanted) - {"order_date"})
+    S.write_drift(report, S.drift_sample(found.withColumn("order_date", F.col("order_date").cast("date")), "alpha", extra), out)
+    told = spark.read.schema(report.schema).json(f"{out}/report").select("client_name", F.array_join("extra_columns", ",").alias("extra_columns"))
+    schema = T.StructType([T.StructField("client_name", T.StringType()), T.StructField("order_date", T.DateType()),
+                           *[T.StructField(c, T.StringType()) for c in extra]])
+    return S.read_partitioned(spark, f"{out}/sample", schema, PARTS).join(told, "client_name")
+
+
 @register("stage_append", with_fixtures("client_processed") + """
 SELECT *, TIMESTAMP '2024-01-31 12:00:00' AS created_at FROM client_processed""", ids=("S10", "P8"))
 def stage_append(spark, sf):
@@ -189,16 +212,27 @@ SELECT batch_id, run_id, source_key, CAST(min(date) AS VARCHAR) AS window_start,
        CAST(max(date) AS VARCHAR) AS window_end, count(*) AS rows_written
 FROM partner_processed GROUP BY batch_id, run_id, source_key""", ids=("S12",))
 def batch_lineage(spark, sf):
-    p = partner(spark, sf).processed
-    lin = p.groupBy("batch_id", "run_id", "source_key").agg(
-        F.min("date").cast("string").alias("window_start"), F.max("date").cast("string").alias("window_end"),
-        F.count(F.lit(1)).alias("rows_written"))
-    path = scratch_path(spark, "lineage")
-    S.write_lineage(lin, path)
+    """The counts and the window come from the write of the batch: the load runs once."""
+    p, path, data = partner(spark, sf).processed, scratch_path(spark, "lineage"), scratch_path(spark, "lineage-data")
+    batch = {f: getattr(partner_ctx(), f) for f in ("batch_id", "run_id", "source_key")}
+    S.write_batch_with_lineage(p, data, path, batch)
     schema = "batch_id string, run_id string, source_key string, window_start string, window_end string, rows_written bigint"
     return spark.read.schema(schema).json(path).drop("batch")
 
 
+@register("undated_rows", with_fixtures("alpha_processed") + """
+SELECT count(*) AS rows_in, count(order_date) AS rows_written, count(*) - count(order_date) AS undated FROM (
+  SELECT order_date FROM alpha_processed UNION ALL
+  SELECT CASE WHEN orders % 2 = 0 THEN order_date END FROM alpha_processed) x""", ids=("F3", "S6", "S12"))
+def undated_rows(spark, sf):
+    """What a partitioned write says of the rows it dropped: the load, and again with every odd row undated."""
+    rows = load(spark, sf, "alpha").processed
+    odd = rows.withColumn("order_date", F.when(F.col("orders") % 2 == 0, F.col("order_date")))
+    counts = S.write_partitioned_by_date(rows.unionByName(odd), scratch_path(spark, "undated"), mode="overwrite")
+    return spark.createDataFrame([(counts["rows_in"], counts["rows_written"], counts["undated"])],
+                                 "rows_in bigint, rows_written bigint, undated bigint")
+
+
 @register("assert_nonempty", with_fixtures("gamma_processed") + "SELECT * FROM gamma_processed", ids=("F7",))
 def assert_nonempty(spark, sf):
     path = scratch_path(spark, "staged-gamma")
@@ -234,10 +268,10 @@ def manifest_entries(spark, sf):
 @register("load_manifest", with_fixtures("partner_processed") + """
 SELECT * FROM partner_processed WHERE date >= DATE '2024-01-15'""", ids=("S3", "S4", "S5"))
 def load_manifest(spark, sf):
-    """The rows of the files that the manifest lists, by one multi-path scan."""
+    """The rows of the files that the manifest lists, its entries joined to the scan."""
     path, entries = _manifest(spark, sf)
-    urls = [r["url"] for r in entries.select("url").collect()]   # the files of one load
-    return read_parquet_paths(spark, urls, path).select(*PARTNER_PROCESSED_SCHEMA.fieldNames())
+    return S.read_manifest_rows(spark, path, entries, PARTNER_PROCESSED_SCHEMA, ("batch",) + PARTS).select(
+        *PARTNER_PROCESSED_SCHEMA.fieldNames())
 
 
 @register("raw_landing", with_fixtures("partner_raw") + """
@@ -258,6 +292,24 @@ def raw_landing(spark, sf):
         "data_rows", ((F.col("n") == F.col("gn")) & (F.col("c") == F.col("gc"))).alias("unchanged"))
 
 
+@register("raw_landing_objects", with_fixtures("partner_raw") + """
+SELECT count(*) AS data_rows, true AS unchanged FROM partner_raw""", ids=("S14", "S12"))
+def raw_landing_objects(spark, sf):
+    """Land the raw files as objects, twice (a retry); every file's length and digest, taken from the source again, are the landed ones,
+    and the landed bytes hold the rows."""
+    src, dest = scratch_path(spark, "partner-raw-src"), scratch_path(spark, "partner-raw-objects")
+    S.write_csv(fx.partner_raw(spark, sf), src)
+    for _ in range(2):
+        S.land_objects(spark, src, dest, "*.csv")
+    given = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(src).select(
+        F.col("path").alias("source_key"), F.octet_length("content").cast("long").alias("n"), F.sha2("content", 256).alias("given"))
+    landed = S.read_objects(spark, dest).withColumn("own", F.sha2("content", 256))
+    same = (F.col("n") == F.col("length")) & (F.col("given") == F.col("sha256")) & (F.col("own") == F.col("sha256"))
+    lines = F.size(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n")) - 1  # without the header
+    return given.join(landed, "source_key", "full").agg(
+        F.sum(lines).cast("long").alias("data_rows"), F.bool_and(F.coalesce(same, F.lit(False))).alias("unchanged"))
+
+
 @register("client_load_alpha_csv", with_fixtures("alpha_processed") + "SELECT * FROM alpha_processed",
           ids=("S1", "P1", "J1", "A1", "P5"))
 def client_load_alpha_csv(spark, sf):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fnmatch import fnmatch
+
 from pyspark.sql import SparkSession
 
 
@@ -53,3 +55,17 @@ def first_lines(spark: SparkSession, paths: list[str], most: int = 1000) -> dict
         if line is not None:
             out[p.toString()] = line
     return out
+
+
+def empty_files(spark: SparkSession, path: str, glob: str = "*") -> list[tuple[str, int]]:
+    """(name, modification time in milliseconds) of the files of no bytes under ``path``, which Spark's scans leave out."""
+    fs, p = _at(spark, path)
+    out = []
+    for root in fs.globStatus(p) or ():
+        found = fs.listFiles(root.getPath(), True)
+        while found.hasNext():
+            f = found.next()
+            name = f.getPath().getName()
+            if f.getLen() == 0 and fnmatch(name, glob) and not name.startswith(("_", ".")):
+                out.append((f.getPath().toString(), f.getModificationTime()))
+    return out

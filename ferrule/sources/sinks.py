@@ -12,12 +12,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferrule.functions.clean import path_safe_key
-from ferrule.sources.folders import first_lines
+from ferrule.sources.folders import empty_files, first_lines
 
 
 def all_string_schema(columns: list[str]) -> T.StructType:
@@ -136,23 +136,44 @@ def with_date_parts(df: DataFrame, date_col: str) -> DataFrame:
                            "day": F.date_format(d, "dd")})
 
 
+def _observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with counts taken as its rows pass.  Put it after the last exchange: there a row counts once, also
+    where tasks of an earlier stage run again on other executors."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), seen
+
+
 def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "order_date",
                               extra_partitions: tuple[str, ...] = (), mode: str = "append",
-                              fmt: str = "parquet") -> None:
-    """Drop undated rows, partition by (extras..., year, month, day)."""
+                              fmt: str = "parquet") -> dict:
+    """Drop undated rows, partition by (extras..., year, month, day).  Returns ``rows_in``, ``rows_written``, ``undated``,
+    ``first_date`` and ``last_date``, observed in the write itself."""
     parts = list(extra_partitions) + ["year", "month", "day"]
-    out = with_date_parts(df.where(F.col(date_col).isNotNull()), date_col)
-    (out.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts)
-     .format(fmt).save(path))
+    date = F.col(date_col)
+    dealt, seen = _observed(with_date_parts(df, date_col).hint("rebalance", *parts), rows_in=F.count(F.lit(1)), rows_written=F.count(date),
+                            undated=F.count_if(date.isNull()), first_date=F.min(date).cast("string"), last_date=F.max(date).cast("string"))
+    dealt.where(date.isNotNull()).write.mode(mode).partitionBy(*parts).format(fmt).save(path)
+    return seen.get
 
 
 def write_batch_partitioned(df: DataFrame, path: str, date_col: str = "date", batch_col: str = "batch_id",
-                            fmt: str = "parquet", mode: str = "append") -> None:
+                            fmt: str = "parquet", mode: str = "append") -> dict:
     """Batch-rooted layout ``batch=<path-safe id>/year/month/day``.  One
     partitioned write replaces the per-day Python loop; ``fmt='csv'`` is the
     fallback format."""
     out = df.withColumn("batch", path_safe_key(F.col(batch_col)))
-    write_partitioned_by_date(out, path, date_col, ("batch",), mode, fmt)
+    return write_partitioned_by_date(out, path, date_col, ("batch",), mode, fmt)
+
+
+def write_batch_with_lineage(df: DataFrame, path: str, lineage_path: str, batch: dict[str, str], date_col: str = "date") -> dict:
+    """S7 + S12: one batch written, and its lineage row (``batch``: batch_id, run_id and the like, the window and the
+    counts) from what the write saw: the load runs once."""
+    counts = write_batch_partitioned(df.withColumn("batch_id", F.lit(batch["batch_id"])), path, date_col, mode="overwrite")
+    row = {**batch, "window_start": counts["first_date"], "window_end": counts["last_date"], "rows_in": counts["rows_in"],
+           "rows_written": counts["rows_written"], "undated": counts["undated"]}
+    ddl = ", ".join(f"{k} {'bigint' if k in ('rows_in', 'rows_written', 'undated') else 'string'}" for k in row)
+    write_lineage(df.sparkSession.createDataFrame([tuple(row.values())], ddl), lineage_path)
+    return row
 
 
 def write_quarantine(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
@@ -160,12 +181,17 @@ def write_quarantine(df: DataFrame, path: str, batch_col: str = "batch_id") -> N
     replace_partitions(df.withColumn("batch", path_safe_key(F.col(batch_col))), path, ["batch"])
 
 
-def write_split(flagged: DataFrame, path: str, reasons_col: str = "quarantine_reasons") -> None:
+def write_split(flagged: DataFrame, path: str, reasons_col: str = "quarantine_reasons", reasons: tuple[str, ...] = ()) -> dict:
     """Q1 / Q2: good and bad rows in one write, so the load runs once.  ``reasons_col`` is an array
-    of reasons; rows go to ``is_quarantined=false`` or ``=true``."""
+    of reasons; rows go to ``is_quarantined=false`` or ``=true``.  Returns ``rows_in``, ``good``, ``bad`` and the rows that have each of
+    ``reasons``, observed in the write."""
+    by_reason = {r: F.count_if(F.array_contains(reasons_col, r)) for r in reasons}
+    flagged, seen = _observed(flagged, rows_in=F.count(F.lit(1)), good=F.count_if(F.size(reasons_col) == 0),
+                              bad=F.count_if(F.size(reasons_col) > 0), **by_reason)
     out = flagged.withColumn("quarantine_reason", F.array_join(reasons_col, ";")).withColumn(
         "is_quarantined", F.size(reasons_col) > 0).drop(reasons_col)
     out.write.mode("overwrite").partitionBy("is_quarantined").parquet(path)
+    return seen.get
 
 
 def read_split(spark: SparkSession, path: str, schema: T.StructType, quarantined: bool) -> DataFrame:
@@ -248,6 +274,43 @@ def land_raw(spark: SparkSession, source: str, dest: str) -> DataFrame:
     return raw.groupBy("source_key").agg(F.count(F.lit(1)).alias("lines"))
 
 
+def land_objects(spark: SparkSession, source: str, dest: str, glob: str = "*") -> DataFrame:
+    """Every source file landed unchanged as one object: a row with its key, byte length, SHA-256 and bytes, whatever its line
+    ends, empty files included.  ``dest`` is the load's own folder: landing again replaces it.  A file is one row in one
+    task, so it must fit there (Spark reads files of up to 2 GB so and fails on larger ones; ``land_raw`` takes those by lines).
+    Returns the landed objects without their bytes."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(source)
+    empty = spark.createDataFrame(empty_files(spark, source, glob), "path string, ms bigint").select(
+        "path", F.timestamp_millis("ms").alias("modificationTime"), F.lit(0).cast("bigint").alias("length"), F.lit("").cast("binary").alias("content"))
+    files.unionByName(empty).select(
+        F.col("path").alias("source_key"), F.col("modificationTime").alias("modified_at"), "length",
+        F.sha2("content", 256).alias("sha256"), "content").write.mode("overwrite").parquet(dest)
+    return read_objects(spark, dest).drop("content")
+
+
+def read_objects(spark: SparkSession, dest: str) -> DataFrame:
+    return spark.read.schema("source_key string, modified_at timestamp, length bigint, sha256 string, content binary").parquet(dest)
+
+
+def _plain_url(c: Column) -> Column:
+    """File names written with one or three slashes are the same."""
+    return F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+
+
+def read_manifest_rows(spark: SparkSession, base: str, entries: DataFrame, schema: T.StructType, parts: tuple[str, ...]) -> DataFrame:
+    """The rows of the files that a manifest lists, under the partitioned folder ``base``.  The entries are joined to the scan, so no
+    list of files comes to the driver: by the partition values in their urls, which prune folders while the query runs
+    where the entries are small enough for Catalyst to broadcast, and by file.  ``parts`` are read as strings."""
+    value = lambda p: F.regexp_extract("url", f"/{p}=([^/]+)/", 1).alias(f"__{p}")
+    wanted = entries.where(F.col("url") > "").select(_plain_url(F.col("url")).alias("__file"), *map(value, parts)).distinct()
+    full = T.StructType([*schema.fields, *[T.StructField(p, T.StringType()) for p in parts]])
+    rows = spark.read.schema(full).parquet(base).withColumn("__at", _plain_url(F.col("_metadata.file_path")))
+    same = F.col("__at") == F.col("__file")
+    for p in parts:
+        same = same & (F.col(p) == F.col(f"__{p}"))
+    return rows.join(wanted, same, "left_semi").drop("__at")
+
+
 def assert_nonempty(df: DataFrame, what: str = "load") -> DataFrame:
     """fail when a load has no rows.  Pass the staged rows: on an aggregated
     plan ``isEmpty`` would run the load."""
