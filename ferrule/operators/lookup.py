@@ -86,8 +86,8 @@ def file_type_column(specs: dict[str, list], name_col: str = "file_name",
     ``exclusive`` (K12 fixed): the most specific matching pattern wins (more
     literal characters; ties go to the earlier spec), so one file satisfies
     one spec.  Otherwise an array of every spec type the file satisfies.
-    Patterns are spec constants, so this is a ``CASE`` inside codegen — no
-    join, no shuffle.
+    A ``CASE`` branch a pattern inside codegen, no join and no shuffle: for the
+    few patterns of declared specs.  Tables of patterns go through ``globs.match_globs``.
     """
     name = F.lower(F.col(name_col))
     items = _spec_items(specs)
@@ -106,9 +106,7 @@ def file_type_column(specs: dict[str, list], name_col: str = "file_name",
 def match_file_type(files: DataFrame, specs: dict[str, list], name_col: str = "file_name",
                     client_col: str = "client_name", exclusive: bool = True) -> DataFrame:
     """Files with the spec type they satisfy; unmatched files dropped.
-    Non-exclusive matching yields one row per satisfied type."""
-    if exclusive:
-        from ferrule.operators.rules import fenced_where
-        typed = files.withColumn("file_type", file_type_column(specs, name_col, client_col, True))
-        return fenced_where(typed, F.col("file_type").isNotNull())
-    return files.withColumn("file_type", F.explode(file_type_column(specs, name_col, client_col, False)))
+    Non-exclusive matching yields one row per satisfied type.  The specs go in as a
+    table of patterns (``globs.match_globs``), so their number is not bounded by an expression's size."""
+    from ferrule.operators.globs import match_globs, pattern_table
+    return match_globs(files, pattern_table(files.sparkSession, specs), name_col, client_col, exclusive)

@@ -30,6 +30,7 @@ _MODULES = (
     "ferrule.plans.sink_queries",
     "ferrule.plans.stream_queries",
     "ferrule.plans.table_queries",
+    "ferrule.plans.feed_queries",
 )
 
 
