@@ -15,6 +15,8 @@ vectors is split into its product cells, each a key of its own to which only the
 product cell with more stored vectors than that is split further: stored rows are dealt over salts, queries go to
 each salt.  A task holds the stored vectors of one key and salt, about ``HOT_HOMES``, and the queries
 stream past them in blocks.  From a task come link counts and a forest over the linked rows, never all pairs.
+A link counts for both ends whichever end's traversal finds it: the query that finds a stored vector also works out if that
+vector's own traversal visits the query's cell, and counts for it where it does not.
 
 Defined cases: a null label, a vector that is null, zero or holds null or non-finite
 components or whose length is not the table's common one, and a null id take no part
@@ -84,6 +86,11 @@ class MultiIndex:
     def distances(self, x: np.ndarray) -> list[np.ndarray]:
         return [half_distances(x[:, :self.cut], self.words[0]), half_distances(x[:, self.cut:], self.words[1])]
 
+    def reach(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distances to both codebooks and the sum up to which each row's traversal goes."""
+        one, two = self.distances(x)
+        return one, two, one.min(1) + two.min(1) + self.excess
+
     def home(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         one, two = self.distances(x)
         return one.argmin(1), two.argmin(1)
@@ -155,14 +162,16 @@ def _visits(index: MultiIndex, length: int, hot: dict):
 class Stored:
     """The stored vectors of one (label, cell, split, salt): queries are compared to them a block at a time."""
 
-    def __init__(self, rows: pa.Table, similarity: float, length: int):
-        self.similarity, self.length = similarity, length
+    def __init__(self, rows: pa.Table, similarity: float, length: int, index: MultiIndex):
+        self.similarity, self.length, self.index = similarity, length, index
         self.rep = rows.column("rep").combine_chunks()
         self.x = vectors.unit(vectors.block(rows.column("vec"), length))
         self.weight = rows.column("n").to_numpy()
         own = rows.column("own").to_numpy()
         self.of = {j: np.flatnonzero(own == j) for j in np.unique(own).tolist()}
         self.labels = np.arange(len(self.x))
+        self.reach = index.reach(self.x)
+        self.missed = np.zeros(len(self.x), np.int64)  # links that only the other end found
 
     def compare(self, rows: pa.RecordBatch, at: int = -1) -> Iterator[pa.RecordBatch]:
         """Links of a block of queries: rows that are not stored here, or (``at``) the stored ones from there on."""
@@ -177,6 +186,8 @@ class Stored:
                 if j in self.of:
                     queries[j].append(r)
         labels, count = np.concatenate([self.labels, known + np.arange(n)]), np.zeros(n, np.int64)
+        weight, (i0, j0) = rows.column("n").to_numpy(), self.index.home(x)
+        one, two, limit = self.reach
         for j, asking in queries.items():
             asking, stored = np.array(asking, np.int64), self.of[j]
             step = max(1, PAIRS // len(stored))
@@ -187,6 +198,9 @@ class Stored:
                     a, b = np.nonzero(hit)
                     count += np.bincount(q[a], weights=self.weight[stored[b]], minlength=n).astype(np.int64)
                     merge(labels, place[q[a]], stored[b])
+                    a, b = q[a], stored[b]
+                    alone = one[b, i0[a]] + two[b, j0[a]] > limit[b]
+                    np.add.at(self.missed, b[alone], weight[a[alone]])
         self.labels = labels[:known].copy()
         rep = rows.column("rep")
         yield from _links(rep, count, np.flatnonzero(count))
@@ -194,7 +208,9 @@ class Stored:
             joined = np.flatnonzero(labels[known:] < known)
             yield from _forest(rep, joined, self.rep, labels[known + joined])
 
-    def forest(self) -> Iterator[pa.RecordBatch]:
+    def close(self) -> Iterator[pa.RecordBatch]:
+        """The forest of the stored vectors, and their links that only queries found."""
+        yield from _links(self.rep, self.missed, np.flatnonzero(self.missed))
         joined = np.flatnonzero(self.labels != np.arange(len(self.x)))
         yield from _forest(self.rep, joined, self.rep, self.labels[joined])
 
@@ -212,14 +228,14 @@ def _forest(rep: pa.Array, joined: np.ndarray, other: pa.Array, to: np.ndarray)
             ["rep", "links", "other"])
 
 
-def _verify(similarity: float, length: int):
+def _verify(similarity: float, length: int, index: MultiIndex):
     """Links of the stored vectors and the queries of each (label, cell, split, salt); the input is sorted by
     them, the stored rows of each first.  Only those are held."""
     def settle(held: list[pa.RecordBatch]) -> tuple[Stored | None, list[pa.RecordBatch]]:
         if not held:
             return None, []
         rows = pa.Table.from_batches(held)
-        stored, found = Stored(rows, similarity, length), []
+        stored, found = Stored(rows, similarity, length, index), []
         for at in range(0, rows.num_rows, BLOCK):
             found += stored.compare(rows.slice(at, BLOCK).combine_chunks().to_batches()[0], at)
         return stored, found
@@ -239,7 +255,7 @@ def _verify(similarity: float, length: int):
                         stored, found = settle(held)
                         yield from found
                     if stored:
-                        yield from stored.forest()
+                        yield from stored.close()
                     held, stored, open_, key = [], None, True, keys[at][:-1]
                 if keys[at][-1]:
                     held.append(b.slice(at, end - at))
@@ -256,7 +272,7 @@ def _verify(similarity: float, length: int):
             stored, found = settle(held)
             yield from found
         if stored:
-            yield from stored.forest()
+            yield from stored.close()
     return run
 
 
@@ -299,7 +315,7 @@ def near_duplicates(spark: SparkSession, df: DataFrame, similarity: float = 0.98
         key = ["label", "cell", "split", "salt"]
         dealt = visits.repartition(shuffle_partitions(spark), *key).sortWithinPartitions(*key, F.col("own") < 0)
         kind = reps.schema["rep"].dataType.simpleString()
-        found = dealt.mapInArrow(_verify(similarity, length), f"rep {kind}, links long, other {kind}")
+        found = dealt.mapInArrow(_verify(similarity, length, index), f"rep {kind}, links long, other {kind}")
     else:
         kind = reps.schema["rep"].dataType.simpleString()
         found = spark.createDataFrame([], f"rep {kind}, links long, other {kind}")

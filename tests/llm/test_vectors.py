@@ -85,7 +85,7 @@ def test_hot_cell_holds_only_a_bounded_stored_block(spark, monkeypatch):
         return block(column, length)
 
     monkeypatch.setattr(near_vectors.vectors, "block", counted)
-    out = [r for b in near_vectors._verify(0.98, 16)(iter(batches)) for r in b.to_pylist()]
+    out = [r for b in near_vectors._verify(0.98, 16, index)(iter(batches)) for r in b.to_pylist()]
     assert max(sizes) <= 80  # a salt's stored rows or a block of queries, never the whole cell
     links, _ = brute_links(rows, 0.98)
     found = np.zeros(400, int)
@@ -94,6 +94,47 @@ def test_hot_cell_holds_only_a_bounded_stored_block(spark, monkeypatch):
     assert found.sum() >= 0.99 * links.sum() and (found <= links).all()
 
 
+def planted_pairs(pairs, d, cosine, rng):
+    """Unit vectors, two by two with the given cosine, and otherwise at random."""
+    one, step = rng.normal(size=(2, pairs, d))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    step -= (step * one).sum(1, keepdims=True) * one
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    out = np.empty((2 * pairs, d))
+    out[::2], out[1::2] = one, cosine * one + np.sqrt(1 - cosine ** 2) * step
+    return out
+
+
+def test_planted_pairs_at_the_limit_over_many_labels(spark):
+    """Pairs just above 0.98 are found by both ends, pairs just below by none."""
+    rng = np.random.default_rng(8)
+    near, far = planted_pairs(1500, 64, 0.9805, rng), planted_pairs(500, 64, 0.9795, rng)
+    x = np.concatenate([near, far])
+    rows = [(k, x[k].tolist(), k // 2 % 40) for k in range(len(x))]
+    rows += [(5000 + k, x[2 * k + 1].tolist(), 99) for k in range(50)]  # near copies of another label
+    got = {r["vec_id"]: r for r in near_vectors.near_duplicates(spark, table(spark, rows)).collect()}
+    links = np.array([got[k]["n_links"] for k in range(3000)])
+    assert (links[::2] == links[1::2]).all() and links.max() == 1
+    assert links.mean() >= 0.998
+    assert all(got[k]["component_id"] == k - k % 2 * links[k] for k in range(3000))
+    assert all(got[k]["n_links"] == 0 and got[k]["kept"] for k in got if k >= 3000)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_links_found_by_one_end_count_for_both(spark, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(near_vectors, "HOT_HOMES", 20)
+    rng = np.random.default_rng(9)
+    x = planted_pairs(1000, 16, 0.981, rng)
+    rows = [(k, x[k].tolist(), 1) for k in range(2000)] + [(3000 + k, x[k].tolist(), 1) for k in range(0, 2000, 20)]
+    got = {r["vec_id"]: r for r in near_vectors.near_duplicates(spark, table(spark, rows), target=0.6).collect()}
+    joined = [k for k in range(0, 2000, 2) if got[k + 1]["component_id"] == k]
+    assert 600 < len(joined) < 1000  # a low target: many links are found by one end or none
+    copies = [k % 20 == 0 for k in joined]
+    assert all(got[k]["n_links"] == 1 + c and got[k + 1]["n_links"] == 1 + c for k, c in zip(joined, copies, strict=True))
+    assert all(got[k + 1]["n_links"] == 0 for k in range(0, 2000, 2) if k not in set(joined))
+
+
 def test_traversal_is_in_order_of_the_sums():
     rng = np.random.default_rng(1)
     index = near_vectors.MultiIndex.__new__(near_vectors.MultiIndex)
