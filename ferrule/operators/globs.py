@@ -6,6 +6,9 @@ under one *anchor*: the whole text if it has no wildcard, else a piece of its li
 its own anchors, so the join is an equi-join on (client, anchor) and the pattern itself is checked
 on what comes out.  Only patterns without any literal (``*``, ``???``) are held against every name of their client.
 
+An index made from at most ``SMALL`` characters of patterns and types (measured, or known to the caller) is broadcast, so names ask
+where they are; a larger one is joined by shuffling the anchors that names ask for, some 35 each.
+
 Names and patterns are compared in lower case.  ``*`` is any text, ``?`` one character, ``[...]`` and ``[!...]`` one
 character in or not in a set; a bracket that opens no such set is itself.  A null client, name or
 pattern matches nothing.
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECES, GRAM = (1, 2, 4, 8, 16), 3
+SMALL = 1 << 20  # a character becomes at most six of a regex, so an index of about 20 MB
 EXACT, PREFIX, SUFFIX, INSIDE, ANY = "e", "p", "s", "i", "a"
 SET = r"\[(?:![^\]]+|[^!\]][^\]]*)\]"
 PATTERN_DDL = "client_name string, file_type string, pattern string, spec_order int"
@@ -92,18 +96,25 @@ def glob_matches(names: DataFrame, index: DataFrame) -> DataFrame:
             .select("client", "name", "file_type", "rank"))
 
 
+def is_small(patterns: DataFrame) -> bool:
+    """Whether the patterns, each with 64 characters for what comes with it, make an index that may be broadcast: one small aggregate."""
+    size = sum((F.coalesce(F.length(c), F.lit(0)) for c in ("pattern", "file_type", "client_name")), F.lit(64))
+    return (patterns.agg(F.sum(size).alias("size")).first()["size"] or 0) <= SMALL
+
+
 def match_globs(files: DataFrame, patterns: DataFrame, name_col: str = "file_name", client_col: str = "client_name",
-                exclusive: bool = True) -> DataFrame:
+                exclusive: bool = True, small: bool | None = None) -> DataFrame:
     """``files`` with the ``file_type`` they satisfy, from a table of patterns of any size.
 
     ``exclusive``: each file has the type of its most specific pattern; otherwise a row for each distinct type it
-    satisfies.  Files that match nothing are left out.  Each distinct (client, name) is matched once, however many files have it.
+    satisfies.  Files that match nothing are left out.  ``small``: whether the index may be broadcast (None: measured).  Each distinct (client, name) is matched once, however many files have it.
     """
     index = glob_index(patterns)
     keyed = files.drop("file_type").withColumns({"__client": F.col(client_col), "__name": F.lower(F.col(name_col))})
     names = keyed.select(F.col("__client").alias("client"), F.col("__name").alias("name")).where(
         F.col("client").isNotNull() & F.col("name").isNotNull()).distinct()
-    found = glob_matches(names, index)
+    small = is_small(patterns) if small is None else small
+    found = glob_matches(names, F.broadcast(index) if small else index)
     if exclusive:
         best = found.groupBy("client", "name").agg(F.min("rank").alias("rank"))
         types = index.select("client", "rank", "file_type")

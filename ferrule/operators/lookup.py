@@ -108,5 +108,6 @@ def match_file_type(files: DataFrame, specs: dict[str, list], name_col: str = "f
     """Files with the spec type they satisfy; unmatched files dropped.
     Non-exclusive matching yields one row per satisfied type.  The specs go in as a
     table of patterns (``globs.match_globs``), so their number is not bounded by an expression's size."""
-    from ferrule.operators.globs import match_globs, pattern_table
-    return match_globs(files, pattern_table(files.sparkSession, specs), name_col, client_col, exclusive)
+    from ferrule.operators.globs import SMALL, match_globs, pattern_table
+    small = sum(64 + len(c) + len(t) + len(p) for c, t, p, _, _ in _spec_items(specs)) <= SMALL
+    return match_globs(files, pattern_table(files.sparkSession, specs), name_col, client_col, exclusive, small)

@@ -3,8 +3,10 @@
 import fnmatch
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from ferrule.operators import globs
 from ferrule.operators.globs import PATTERN_DDL, glob_index, match_globs
 from tests.plan_utils import plan_text
 
@@ -27,14 +29,15 @@ def _best(files, patterns):
     return {n: t for n, (_, _, t) in best.items()}
 
 
-def _both(spark, files, patterns):
+def _both(spark, files, patterns, small=None):
     f, p = spark.createDataFrame(files, FILES_DDL), spark.createDataFrame(patterns, PATTERN_DDL)
-    one = [(r.n, r.file_type) for r in match_globs(f, p).collect()]
-    all_ = [(r.n, r.file_type) for r in match_globs(f, p, exclusive=False).collect()]
+    one = [(r.n, r.file_type) for r in match_globs(f, p, small=small).collect()]
+    all_ = [(r.n, r.file_type) for r in match_globs(f, p, exclusive=False, small=small).collect()]
     return one, all_
 
 
-def test_a_thousand_random_patterns(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_a_thousand_random_patterns(spark, small):
     rng = random.Random(4)
     words = ["sales", "orders", "creator", "codes", "shows", "x", "2024", "q[1]", "a.b", "\\d", "(z)"]
     bits = [*words, "*", "*", "?", "[a-s]", "[!a-s]", "_", ".csv", ".CSV"]
@@ -42,7 +45,7 @@ def test_a_thousand_random_patterns(spark):
                 for k in range(1000)]
     files = [(f"c{rng.randrange(3)}", "_".join(rng.choice(words) for _ in range(rng.randrange(1, 4))) + rng.choice(["", ".csv", ".Csv"]), k)
              for k in range(400)]
-    one, all_ = _both(spark, files, patterns)
+    one, all_ = _both(spark, files, patterns, small)
     assert len(one) == len(set(one)) and dict(one) == _best(files, patterns) and len(one) > 100
     assert len(all_) == len(set(all_)) and set(all_) == {(n, t) for n, t, _, _ in _pairs(files, patterns)}
 
@@ -78,3 +81,14 @@ def test_joined_on_keys_without_a_case_chain(spark):
     patterns = spark.createDataFrame([("a", f"t{k}", f"s{k}*", k) for k in range(1000)], PATTERN_DDL)
     text = plan_text(match_globs(files, patterns))
     assert "NestedLoop" not in text and "Cartesian" not in text and "EvalPython" not in text and "t999" not in text
+
+
+def test_only_a_measured_small_index_is_broadcast(spark, monkeypatch):
+    files = spark.createDataFrame([("a", "s1.csv", 1)], FILES_DDL)
+    patterns = spark.createDataFrame([("a", f"t{k}", f"s{k}*", k) for k in range(100)], PATTERN_DDL)
+    hinted = "ResolvedHint (strategy=broadcast)"
+    text = match_globs(files, patterns)._jdf.queryExecution().analyzed().toString()
+    assert hinted in text and globs.is_small(patterns.limit(0))
+    monkeypatch.setattr(globs, "SMALL", 1000)
+    assert hinted not in match_globs(files, patterns)._jdf.queryExecution().analyzed().toString()
+    assert [r.file_type for r in match_globs(files, patterns).collect()] == ["t1"]
