@@ -56,7 +56,8 @@ class Tagger:
         states, kept = np.zeros((n, b, HIDDEN), table.dtype), []
         for t in range(n) if side == "f" else range(n - 1, -1, -1):
             z = table[x[:, t]] + h @ wh
-            i, f, o = (_sigmoid(z[:, k * HIDDEN:(k + 1) * HIDDEN]) for k in (0, 1, 2))
+            gates = _sigmoid(z[:, :3 * HIDDEN])
+            i, f, o = (gates[:, k * HIDDEN:(k + 1) * HIDDEN] for k in (0, 1, 2))
             g = np.tanh(z[:, 3 * HIDDEN:])
             before_h, before_c = h, c
             c = f * c + i * g
@@ -98,19 +99,21 @@ class Tagger:
         s, both, kept = self.scores(x, True)
         move, (n, b, _) = self._moves(), s.shape
         rows = np.arange(b)
-        alpha, beta = np.zeros_like(s), np.zeros_like(s)
-        alpha[0] = s[0] + self.p["start"]
-        for t in range(1, n):
-            alpha[t] = _lse(alpha[t - 1][:, :, None] + move[None], 1) + s[t]
-        beta[-1] = self.p["end"]
+        # forward and backward sums, each step scaled to one; exp of a barred move is zero
+        step, shift = np.exp(move), s.max(2)
+        e = np.exp(s - shift[:, :, None])
+        alpha, beta, scale = np.zeros_like(s), np.zeros_like(s), np.zeros((n, b))
+        for t in range(n):
+            alpha[t] = e[t] * (alpha[t - 1] @ step if t else np.exp(self.p["start"]))
+            scale[t] = alpha[t].sum(1)
+            alpha[t] /= scale[t][:, None]
+        last = alpha[-1] @ np.exp(self.p["end"])
+        beta[-1] = np.exp(self.p["end"]) / last[:, None]
         for t in range(n - 2, -1, -1):
-            beta[t] = _lse(move[None] + (s[t + 1] + beta[t + 1])[:, None, :], 2)
-        total = _lse(alpha[-1] + self.p["end"], 1)
-        ds = np.exp(alpha + beta - total[None, :, None])
-        to_move = np.zeros_like(move)
-        for t in range(1, n):
-            pair = alpha[t - 1][:, :, None] + move[None] + (s[t] + beta[t])[:, None, :] - total[:, None, None]
-            to_move += np.exp(pair).sum(0)
+            beta[t] = (e[t + 1] * beta[t + 1]) @ step.T / scale[t + 1][:, None]
+        total = np.log(last) + np.log(scale).sum(0) + shift.sum(0)
+        ds = alpha * beta
+        to_move = step * (alpha[:-1].reshape(-1, TAGS).T @ (e[1:] * beta[1:] / scale[1:, :, None]).reshape(-1, TAGS))
         g = gold.T
         told = s[np.arange(n)[:, None], rows[None], g].sum(0) + self.p["start"][g[0]] + self.p["end"][g[-1]]
         told += move[g[:-1], g[1:]].sum(0)
@@ -138,8 +141,11 @@ class Tagger:
             carry_h = dz @ wh.T
             to_wh += before_h.T @ dz
             at_gates[t] = dz
-        seen = (x.T.reshape(-1, 1) == np.arange(CLASSES)).astype(np.float64)
-        grad["x" + side], grad["h" + side] = seen.T @ at_gates.reshape(-1, 4 * HIDDEN), to_wh
+        flat = x.T.ravel()
+        order = flat.argsort(kind="stable")
+        own, first = np.unique(flat[order], return_index=True)
+        grad["x" + side], grad["h" + side] = np.zeros_like(self.p["x" + side]), to_wh
+        grad["x" + side][own] = np.add.reduceat(at_gates.reshape(-1, 4 * HIDDEN)[order], first)
 
     def train(self, x: np.ndarray, gold: np.ndarray, steps: int, batch: int, rate: float, seed: int = 4) -> list[float]:
         """Adam with a falling rate on random batches; the loss of each step."""
@@ -164,8 +170,3 @@ class Tagger:
     def light(self) -> dict[str, np.ndarray]:
         """The parameters as 32-bit floats, for decoding in tasks."""
         return {k: v.astype(np.float32) for k, v in self.p.items()}
-
-
-def _lse(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis, keepdims=True)
-    return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
