@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -127,6 +129,11 @@ def test_mixture_of_the_documents(spark, sf):
         for value, share in targets.items():
             if (got[column] == value).any():
                 assert abs(raked[got[column] == value].sum() / total - share / sum(targets.values())) < 0.01
+    for name, _, share in MIXTURE["topics"]:
+        assert abs(raked[got.topic == name].sum() / total - share) < 0.01
+    patterns = [(name, re.compile(pattern)) for name, pattern, _ in MIXTURE["topics"] if pattern]
+    first = got.text.map(lambda x: next((name for name, p in patterns if p.search(x or "")), MIXTURE["rest"]))
+    assert (first == got.topic).all()
     chosen = got[got.selected]
     assert abs(chosen.n_tokens.sum() / expected.sum() - 1) < 0.1
     again = mixing.mix(spark, docs.repartition(5), **MIXTURE).where("selected").select("doc_id")
