@@ -92,3 +92,40 @@ def test_only_a_measured_small_index_is_broadcast(spark, monkeypatch):
     monkeypatch.setattr(globs, "SMALL", 1000)
     assert hinted not in match_globs(files, patterns)._jdf.queryExecution().analyzed().toString()
     assert [r.file_type for r in match_globs(files, patterns).collect()] == ["t1"]
+
+
+def _numbered(spark, n):
+    """A pattern a number in three forms, all sharing their words, and the files of those numbers."""
+    forms = "CASE id % 3 WHEN 0 THEN concat('*cust', k, '.*') WHEN 1 THEN concat('F_*cust', k, '*') ELSE concat('*_cust', k, '.csv') END"
+    ids = spark.range(n).selectExpr("id", "CAST(100000 + id * 7919 % 900000 AS STRING) AS k")
+    patterns = ids.selectExpr("'a' AS client_name", "concat('t', id) AS file_type", f"{forms} AS pattern", "CAST(id AS INT) AS spec_order")
+    return ids.selectExpr("'a' AS client_name", "concat('F_1995-03-12_Cust', k, '.csv') AS file_name", "CAST(id AS INT) AS n"), patterns
+
+
+def test_an_anchor_stays_with_few_patterns_however_many_there_are(spark):
+    widest = glob_index(_numbered(spark, 6000)[1]).groupBy("client", "anchor").count().agg(F.max("count")).first()[0]
+    assert widest <= 2                                     # three characters of the digits meet 17 of these patterns
+
+
+@pytest.mark.parametrize("words", [1, 1024])
+def test_a_full_summary_lets_names_through_and_loses_none(spark, monkeypatch, words):
+    files, patterns = _numbered(spark, 3000)
+    monkeypatch.setattr(globs, "_words", lambda n: words)
+    for exclusive in (True, False):
+        found = match_globs(files, patterns, exclusive=exclusive, small=False)
+        assert found.where("file_type = concat('t', n)").count() == found.count() == 3000
+
+
+def test_a_summary_holds_its_forms_and_every_anchor(spark):
+    index = glob_index(_numbered(spark, 500)[1])
+    summary = globs.glob_summary(index, 1024).first()[0]
+    forms = {r.form for r in index.selectExpr("concat(left(anchor, 1), length(anchor) - 1) AS form").distinct().collect()}
+    assert len(summary) == 1025 and {f for k, f in enumerate(globs.FORMS) if summary[0] >> k & 1} == forms
+    word, bits = globs._mark(globs._key(F.col("client"), F.col("anchor")), 1024)
+    assert all(summary[r.word] & r.bits == r.bits for r in index.select(word.alias("word"), bits.alias("bits")).collect())
+    assert globs.glob_summary(index.limit(0), 0).first()[0] == [0]
+
+
+@pytest.mark.parametrize("n,words", [(0, 1024), (4096, 1024), (4097, 2048), (900_000, 1 << 18), (10 ** 9, 1 << 20)])
+def test_words_of_a_summary(n, words):
+    assert globs._words(n) == words
