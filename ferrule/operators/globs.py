@@ -47,8 +47,8 @@ def _tagged(tag: str, text: Column) -> Column:
     return F.concat(F.lit(tag), text)
 
 
-def _grams(run: Column, size: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(run) - (size - 1)), lambda at: _tagged(INSIDE, F.substring(run, at, F.lit(size))))
+def _grams(run: Column, size: int, made) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(run) - (size - 1)), lambda at: made(F.substring(run, at, F.lit(size))))
 
 
 def _longest(length: Column, sizes: tuple[int, ...], made, otherwise: Column) -> Column:
@@ -67,19 +67,32 @@ def _entered(glob: Column) -> Column:
     none, no_text = F.array().cast("array<string>"), F.lit(None).cast("string")
     ends = F.array(_longest(F.length(prefix), PIECES, lambda n: _tagged(PREFIX, F.left(prefix, F.lit(n))), no_text),
                    _longest(F.length(suffix), PIECES, lambda n: _tagged(SUFFIX, F.right(suffix, F.lit(n))), no_text), F.lit(ANY))
-    grams = F.flatten(F.transform(runs, lambda run: _longest(F.length(run), GRAMS, lambda n: _grams(run, n), none)))
+    grams = F.flatten(F.transform(runs, lambda run: _longest(F.length(run), GRAMS, lambda n: _grams(run, n, lambda text: _tagged(INSIDE, text)), none)))
     return F.when(~glob.rlike(r"[*?\[]"), F.array(_tagged(EXACT, glob))).otherwise(F.concat(F.array_compact(ends), grams))
 
 
-def _asked(name: Column, held: Column) -> Column:
-    """A name's own anchors, of the forms whose bits are set in ``held``."""
-    def when(form: str, size: int = 0) -> Column:
-        return F.when((F.length(name) >= size) & (held.bitwiseAND(F.lit(1 << FORMS.index(form))) != 0), F.lit(True))
-    one = [F.when(when(ANY), F.lit(ANY)), F.when(when(EXACT), _tagged(EXACT, name))]
-    one += [F.when(when(f"{PREFIX}{n}", n), _tagged(PREFIX, F.left(name, F.lit(n)))) for n in PIECES]
-    one += [F.when(when(f"{SUFFIX}{n}", n), _tagged(SUFFIX, F.right(name, F.lit(n)))) for n in PIECES]
-    none = F.array().cast("array<string>")
-    return F.concat(F.array_compact(F.array(*one)), *[F.when(when(f"{INSIDE}{n}", n), _grams(name, n)).otherwise(none) for n in GRAMS])
+def _seed(client: Column, kind: Column) -> Column:
+    return F.xxhash64(client, kind)
+
+
+def _key(client: Column, anchor: Column) -> Column:
+    """The hash by which a name and a pattern meet."""
+    return F.xxhash64(_seed(client, F.left(anchor, F.lit(1))), F.substring(anchor, F.lit(2), F.length(anchor)))
+
+
+def _asked(client: Column, name: Column, held: Column, seed: Column) -> Column:
+    """The keys of a name's own anchors, of the forms whose bits are set in ``held``; ``seed``: of the client's grams, made once a name."""
+    def when(form: str, key: Column, size: int = 0) -> Column:
+        return F.when((F.length(name) >= size) & (held.bitwiseAND(F.lit(1 << FORMS.index(form))) != 0), key)
+
+    def one(kind: str, text: Column) -> Column:
+        return F.xxhash64(_seed(client, F.lit(kind)), text)
+    ends = [when(ANY, one(ANY, F.lit(""))), when(EXACT, one(EXACT, name))]
+    ends += [when(f"{PREFIX}{n}", one(PREFIX, F.left(name, F.lit(n))), n) for n in PIECES]
+    ends += [when(f"{SUFFIX}{n}", one(SUFFIX, F.right(name, F.lit(n))), n) for n in PIECES]
+    none = F.array().cast("array<bigint>")
+    grams = [when(f"{INSIDE}{n}", _grams(name, n, lambda text: F.xxhash64(seed, text)), n).otherwise(none) for n in GRAMS]
+    return F.array_distinct(F.concat(F.array_compact(F.array(*ends)), *grams))
 
 
 def pattern_table(spark: SparkSession, specs: dict[str, list]) -> DataFrame:
@@ -126,10 +139,6 @@ def _mark(key: Column, words: int) -> tuple[Column, Column]:
     return F.shiftrightunsigned(key, 18).bitwiseAND(F.lit(words - 1)) + 1, bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
 
 
-def _key(client: Column, anchor: Column) -> Column:
-    return F.xxhash64(client, anchor)
-
-
 def glob_summary(index: DataFrame, words: int) -> DataFrame:
     """One array of longs: the ``FORMS`` that the index holds as bits, then ``words`` words (a power of two, or none) of a Bloom filter of its anchors."""
     kind = F.left("anchor", F.lit(1))
@@ -148,13 +157,13 @@ def glob_summary(index: DataFrame, words: int) -> DataFrame:
 
 
 def glob_matches(names: DataFrame, index: DataFrame, words: int = 0, small: bool = False) -> DataFrame:
-    """``(client, name, file_type, rank)`` for every pair of a name (in lower case) and a pattern that it matches; a pair
-    may come more than once.  ``words``: the size of the summary that names see first (none: they ask for all they have)."""
+    """``(client, name, file_type, rank)`` for every pair of a distinct name (in lower case) and a pattern that it matches.
+    ``words``: the size of the summary that names see first (none: they ask for all they have)."""
     name, key = F.col("name"), F.col("key")
     summary = glob_summary(index, words)
-    held = names.withColumn("held", F.get(summary.scalar(), F.lit(0)))
-    keys = F.transform(_asked(name, F.col("held")), lambda anchor: _key(F.col("client"), anchor))
-    probes = held.select("client", "name", F.explode(F.array_distinct(keys)).alias("key"))
+    held = names.withColumns({"held": F.get(summary.scalar(), F.lit(0)), "seed": _seed(F.col("client"), F.lit(INSIDE))})
+    asked = _asked(F.col("client"), name, F.col("held"), F.col("seed"))
+    probes = held.select("client", "name", F.explode(asked).alias("key"))
     if words:
         word, bits = _mark(key, words)
         probes = probes.where(F.get(summary.scalar(), word).bitwiseAND(bits) == bits)
@@ -199,6 +208,6 @@ def match_globs(files: DataFrame, patterns: DataFrame, name_col: str = "file_nam
     found = glob_matches(names, index, words, small)
     if exclusive:
         best = found.groupBy("client", "name").agg(F.min("rank").alias("rank"))
-        found = best.join(index.select("client", "rank", "file_type"), ["client", "rank"])
+        found = best.join(_ranked(patterns).select("client", "rank", "file_type"), ["client", "rank"])
     typed = found.select(F.col("client").alias("__client"), F.col("name").alias("__name"), "file_type").distinct()
     return keyed.join(typed, ["__client", "__name"]).drop("__client", "__name")
